@@ -31,3 +31,189 @@ def q_match_query(spark, sf_dir):
     """BM25 ``match`` of every benchmark passage over document text, top 10."""
     idx = documents_index(spark, sf_dir)
     return S.match_query(idx, src.benchmark_queries(spark, sf_dir), "content", k=10)
+
+
+# --- pages, links, titles --------------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from quarry.functions import text as T  # noqa: E402
+from quarry.operators import graph as G  # noqa: E402
+from quarry.operators import links as L  # noqa: E402
+from quarry.operators import pages as P  # noqa: E402
+
+
+def _parsed(spark, sf_dir):
+    return P.parse_pages(src.pages(spark, sf_dir))
+
+
+def _page_titles(spark, sf_dir):
+    return _parsed(spark, sf_dir).select("page_id", "url", F.coalesce("title", F.lit("")).alias("raw_title"))
+
+
+@query("scan_pages")
+def q_scan_pages(spark, sf_dir):
+    return src.pages(spark, sf_dir)
+
+
+@query("page_title")
+def q_page_title(spark, sf_dir):
+    """Title of every page; pages without one are dropped."""
+    return _page_titles(spark, sf_dir).filter(F.col("raw_title") != "").select("page_id", F.col("raw_title").alias("title"))
+
+
+@query("page_paragraphs")
+def q_page_paragraphs(spark, sf_dir):
+    """Text blocks of every page, one row per block."""
+    return _parsed(spark, sf_dir).select("page_id", F.posexplode("blocks").alias("pos", "block"))
+
+
+@query("extract_pages")
+def q_extract_pages(spark, sf_dir):
+    r = src.web_records(spark, sf_dir, link_pattern=L.SITE_LINK_PATTERN)
+    return r.select("page_id", *P.RECORD_COLUMNS)
+
+
+@query("extract_anchors")
+def q_extract_anchors(spark, sf_dir):
+    return L.extract_anchors(_parsed(spark, sf_dir)).select("page_id", "pos", "href", "text")
+
+
+def _resolved(spark, sf_dir):
+    return L.resolve_links(L.extract_anchors(_parsed(spark, sf_dir)))
+
+
+@query("resolve_links")
+def q_resolve_links(spark, sf_dir):
+    return _resolved(spark, sf_dir).select("page_id", "pos", "href", "target")
+
+
+@query("link_text_map")
+def q_link_text_map(spark, sf_dir):
+    return L.link_text_map(_resolved(spark, sf_dir))
+
+
+@query("filter_http")
+def q_filter_http(spark, sf_dir):
+    return L.filter_http(_resolved(spark, sf_dir)).select("page_id", "pos", "target")
+
+
+@query("filter_links")
+def q_filter_links(spark, sf_dir):
+    """Raw hrefs of each page filtered by the site article pattern."""
+    hrefs = _parsed(spark, sf_dir).select("page_id", F.transform("anchors", lambda a: a["href"]).alias("links"))
+    return L.filter_links(hrefs).select("page_id", F.size("links").alias("n_links"), "links")
+
+
+@query("title_key")
+def q_title_key(spark, sf_dir):
+    t = _page_titles(spark, sf_dir).filter(F.col("raw_title") != "")
+    return t.select("page_id", T.title_key("raw_title").alias("title_key"))
+
+
+@query("record_title")
+def q_record_title(spark, sf_dir):
+    t = _page_titles(spark, sf_dir)
+    return t.select("page_id", T.record_title("raw_title").alias("title"))
+
+
+@query("normalize_text")
+def q_normalize_text(spark, sf_dir):
+    d = src.table(spark, sf_dir, "documents")
+    return d.select("doc_id", T.normalize_text("text").alias("text"))
+
+
+@query("parse_publish_time")
+def q_parse_publish_time(spark, sf_dir):
+    """Event times printed as ``yyyy-MM-dd HH:mm`` parse; the props strings
+    do not (NULL)."""
+    e = src.table(spark, sf_dir, "events")
+    return e.select(
+        "event_id",
+        T.parse_publish_time(F.date_format("ts", "yyyy-MM-dd HH:mm")).alias("publish_time"),
+        T.parse_publish_time("props").alias("bad_time"),
+    )
+
+
+@query("title_url_map")
+def q_title_url_map(spark, sf_dir):
+    return P.title_url_map(_page_titles(spark, sf_dir))
+
+
+@query("join_title_url")
+def q_join_title_url(spark, sf_dir):
+    """Records take their URL from the title map (last crawl per title)."""
+    pt = _page_titles(spark, sf_dir)
+    recs = P.to_records(_parsed(spark, sf_dir))
+    return P.join_title_url(recs, P.title_url_map(pt)).select("page_id", "title_key", "url", "title")
+
+
+@query("missing_titles")
+def q_missing_titles(spark, sf_dir):
+    """Pages whose title key is absent from the map built from the pages
+    that have a title (so: the untitled pages)."""
+    pt = _page_titles(spark, sf_dir)
+    return P.missing_titles(pt, P.title_url_map(pt))
+
+
+@query("clean_titles")
+def q_clean_titles(spark, sf_dir):
+    """File-name clean-up of every titled page with a suffix list of two
+    punctuation endings seen in the titles."""
+    return P.clean_titles(_page_titles(spark, sf_dir), ["&", "."])
+
+
+@query("snapshot_lookup")
+def q_snapshot_lookup(spark, sf_dir):
+    """Snapshot requests: every conversation user turn's first line used as
+    a title, plus every page's own title (hits)."""
+    pt = _page_titles(spark, sf_dir)
+    req_pages = pt.filter(F.col("raw_title") != "").select(F.col("page_id").alias("request_id"), F.col("raw_title").alias("title"))
+    conv = src.table(spark, sf_dir, "conversations").filter(F.col("role") == "user").select(
+        (-(F.col("conv_id") * 1000 + F.col("turn")) - 1).alias("request_id"), F.substring_index("text", "\n", 1).alias("title")
+    )
+    return P.snapshot_lookup(req_pages.unionByName(conv), pt, src.pages(spark, sf_dir)).select(
+        "request_id", "page_id", "status", F.length("snapshot").alias("snapshot_chars")
+    )
+
+
+def _web_edges(spark, sf_dir):
+    """Edges: page URL to every resolved http(s) link target."""
+    r = L.filter_http(_resolved(spark, sf_dir))
+    return r.select(F.col("url").alias("src"), F.col("target").alias("dst")).distinct()
+
+
+@query("link_edges")
+def q_link_edges(spark, sf_dir):
+    return _web_edges(spark, sf_dir)
+
+
+@query("link_nodes")
+def q_link_nodes(spark, sf_dir):
+    e = _web_edges(spark, sf_dir)
+    return G.link_nodes(src.pages(spark, sf_dir), e)
+
+
+@query("out_degree")
+def q_out_degree(spark, sf_dir):
+    return G.out_degree(_web_edges(spark, sf_dir))
+
+
+def _pagerank(spark, sf_dir, iterations=10):
+    e = _web_edges(spark, sf_dir)
+    nodes = G.link_nodes(src.pages(spark, sf_dir), e)
+    return G.pagerank(e, nodes, iterations=iterations)
+
+
+@query("pagerank")
+def q_pagerank(spark, sf_dir):
+    """Ten PageRank rounds over the resolved link graph of all pages."""
+    pr = _pagerank(spark, sf_dir)
+    return pr.select("node", F.round("pagerank", 12).alias("pagerank"))
+
+
+@query("attach_pagerank")
+def q_attach_pagerank(spark, sf_dir):
+    pr = _pagerank(spark, sf_dir)
+    recs = src.pages(spark, sf_dir).select("page_id", "url")
+    return G.attach_pagerank(recs, pr).select("page_id", "url", F.round("pagerank", 12).alias("pagerank"))

@@ -39,3 +39,22 @@ def conversation_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("turn").alias("seq"),
         F.col("text").alias("query"),
     )
+
+
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select("page_id", "url", "html")
+
+
+def web_records(spark: SparkSession, sf_dir: str, link_pattern: str | None = None) -> DataFrame:
+    """Page records of every page; the URL is the page's own crawl URL."""
+    from quarry.operators.pages import extract_pages
+
+    return extract_pages(pages(spark, sf_dir), link_pattern=link_pattern)
+
+
+def web_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The multi-field corpus: one document per page (doc_id = page_id)."""
+    r = web_records(spark, sf_dir)
+    return r.select(
+        F.col("page_id").alias("doc_id"), "url", "title", "source", "publish_time", "editor", "content", "links"
+    )
