@@ -217,3 +217,137 @@ def q_attach_pagerank(spark, sf_dir):
     pr = _pagerank(spark, sf_dir)
     recs = src.pages(spark, sf_dir).select("page_id", "url")
     return G.attach_pagerank(recs, pr).select("page_id", "url", F.round("pagerank", 12).alias("pagerank"))
+
+
+# --- index tables and search -----------------------------------------------
+
+from quarry.operators.index import URL, Dictionary, analyze  # noqa: E402
+
+WEB_FIELDS = {"title": STANDARD, "content": STANDARD, "url": URL, "editor": STANDARD, "source": STANDARD}
+
+
+def web_index(spark, sf_dir):
+    return build_index(src.web_docs(spark, sf_dir), WEB_FIELDS)
+
+
+def benchmark_words(spark, sf_dir):
+    """Dictionary of the benchmark vocabulary (its distinct standard tokens)."""
+    b = src.table(spark, sf_dir, "benchmark")
+    return b.select(F.explode(T.standard_tokens("text")).alias("word")).distinct()
+
+
+def tp_index(spark, sf_dir):
+    """Index with dictionary-segmented title and content (Han runs)."""
+    words = benchmark_words(spark, sf_dir)
+    d = Dictionary(words)
+    return build_index(src.web_docs(spark, sf_dir), {"title": d, "content": d, "url": URL, "editor": STANDARD})
+
+
+def wildcard_patterns(spark, sf_dir):
+    """One pattern per benchmark passage from its longest word (first on
+    ties): first letter as ``?``, the last two letters as ``*``."""
+    b = src.table(spark, sf_dir, "benchmark")
+    w = b.select("item_id", F.posexplode(T.standard_tokens("text")).alias("pos", "w"))
+    best = w.groupBy("item_id").agg(F.max_by("w", F.struct(F.length("w"), -F.col("pos"))).alias("w"))
+    return best.select(
+        F.col("item_id").alias("query_id"),
+        F.concat(F.lit("?"), F.expr("substring(w, 2, length(w) - 3)"), F.lit("*")).alias("query"),
+    )
+
+
+def site_queries(spark, sf_dir):
+    """Every distinct host of the crawled URLs, as a site query."""
+    p = src.pages(spark, sf_dir).select("page_id", F.expr("parse_url(url, 'HOST')").alias("host"))
+    return p.groupBy("host").agg(F.min("page_id").alias("query_id")).select("query_id", F.col("host").alias("query"))
+
+
+@query("tokenize")
+def q_tokenize(spark, sf_dir):
+    d = src.documents_docs(spark, sf_dir)
+    return analyze(d, "doc_id", {"content": STANDARD}).select("doc_id", "pos", "term")
+
+
+@query("build_postings")
+def q_build_postings(spark, sf_dir):
+    return documents_index(spark, sf_dir).postings.select("field", "term", "doc_id", "tf", "positions")
+
+
+@query("term_stats")
+def q_term_stats(spark, sf_dir):
+    return documents_index(spark, sf_dir).term_stats
+
+
+@query("field_stats")
+def q_field_stats(spark, sf_dir):
+    return documents_index(spark, sf_dir).field_stats.select("field", "n_docs", F.round("avg_len", 6).alias("avg_len"))
+
+
+@query("multi_match")
+def q_multi_match(spark, sf_dir):
+    """best_fields over page title, content and editor, top 10."""
+    return S.multi_match(web_index(spark, sf_dir), src.benchmark_queries(spark, sf_dir), ["title", "content", "editor"], k=10)
+
+
+@query("simple_search")
+def q_simple_search(spark, sf_dir):
+    return S.simple_search(web_index(spark, sf_dir), src.benchmark_queries(spark, sf_dir), k=10)
+
+
+@query("topk_per_query")
+def q_topk_per_query(spark, sf_dir):
+    """Top 3 per query of the should search over document title and content."""
+    return S.should_match(documents_index(spark, sf_dir), src.benchmark_queries(spark, sf_dir), ["title", "content"], k=3)
+
+
+@query("match_phrase")
+def q_match_phrase(spark, sf_dir):
+    """Each benchmark passage as one phrase over document text."""
+    return S.match_phrase(documents_index(spark, sf_dir), src.benchmark_queries(spark, sf_dir), "content", k=10)
+
+
+@query("one_phrase_search")
+def q_one_phrase_search(spark, sf_dir):
+    return S.one_phrase_search(web_index(spark, sf_dir), src.benchmark_queries(spark, sf_dir), k=1000)
+
+
+@query("multi_phrase_search")
+def q_multi_phrase_search(spark, sf_dir):
+    """Every word of the passage must occur in the document text."""
+    return S.multi_phrase_search(documents_index(spark, sf_dir), src.benchmark_queries(spark, sf_dir), "content", k=10)
+
+
+@query("wildcard_terms")
+def q_wildcard_terms(spark, sf_dir):
+    return S.wildcard_terms(web_index(spark, sf_dir), wildcard_patterns(spark, sf_dir), ["title", "content", "editor", "url"])
+
+
+@query("wildcard_search")
+def q_wildcard_search(spark, sf_dir):
+    return S.wildcard_search(tp_index(spark, sf_dir), wildcard_patterns(spark, sf_dir), k=10)
+
+
+@query("site_search")
+def q_site_search(spark, sf_dir):
+    return S.site_search(web_index(spark, sf_dir), site_queries(spark, sf_dir), k=1000)
+
+
+@query("document_search")
+def q_document_search(spark, sf_dir):
+    return S.document_search(documents_index(spark, sf_dir), src.benchmark_queries(spark, sf_dir), k=10)
+
+
+@query("keyword_match")
+def q_keyword_match(spark, sf_dir):
+    """Exact URL match: each page's URL as a query against the page docs."""
+    docs = src.pages(spark, sf_dir).select(F.col("page_id").alias("doc_id"), "url")
+    qs = src.pages(spark, sf_dir).select(F.col("page_id").alias("query_id"), F.col("url").alias("query"))
+    return S.keyword_match(docs, qs, "url")
+
+
+@query("dictionary_segment")
+def q_dictionary_segment(spark, sf_dir):
+    """Page titles segmented with the benchmark vocabulary over letter runs."""
+    from quarry.operators.index import dictionary_segment
+
+    titles = _page_titles(spark, sf_dir).select("page_id", F.col("raw_title").alias("text"))
+    return dictionary_segment(titles, "page_id", "text", Dictionary(benchmark_words(spark, sf_dir), run_pattern=r"\p{L}+"))
