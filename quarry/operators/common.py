@@ -42,3 +42,22 @@ def rank_within(df: DataFrame, key: str | list[str], k: int | None, score: str =
     if k is not None:
         out = out.filter(F.col("rank") <= k)
     return out
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as a Parquet table under the session's shared
+    checkpoint folder and read it back.
+
+    Used where one plan would otherwise recompute an expensive input several
+    times (the page job, the postings) or where lineage must be cut (rounds
+    of an iteration).  Unlike ``checkpoint()`` the result is columnar, so
+    later scans prune columns and push filters, and it is computed once.
+    """
+    import uuid
+
+    from quarry.session import checkpoint_dir
+
+    base = checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{base}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -93,7 +93,7 @@ def analyze(df: DataFrame, id_col: str, fields: dict[str, object], out_id: str =
     return out
 
 
-def doc_lengths(df: DataFrame, id_col: str, fields: dict[str, object]) -> DataFrame:
+def doc_lengths(df: DataFrame, id_col: str, fields: dict[str, object], tokens: DataFrame | None = None) -> DataFrame:
     """``(field, doc_id, len)`` per document and field (no token explosion for
     column analyzers)."""
     parts = []
@@ -117,12 +117,12 @@ def doc_lengths(df: DataFrame, id_col: str, fields: dict[str, object]) -> DataFr
         )
     dict_fields = {f: a for f, a in fields.items() if isinstance(a, Dictionary)}
     if dict_fields:
-        toks = analyze(df, id_col, dict_fields)
-        lens = toks.groupBy("field", "doc_id").agg(F.count(F.lit(1)).alias("len"))
-        ids = df.select(F.col(id_col).alias("doc_id")).crossJoin(
-            F.broadcast(df.sparkSession.createDataFrame([(f,) for f in dict_fields], "field string"))
+        # documents without a token in the field are left out: lengths only
+        # feed the field statistics, which count non-empty fields anyway
+        toks = tokens if tokens is not None else analyze(df, id_col, dict_fields)
+        parts.append(
+            toks.filter(F.col("field").isin(list(dict_fields))).select("field", "doc_id", F.col("dl").alias("len")).distinct()
         )
-        parts.append(ids.join(lens, ["field", "doc_id"], "left").select("field", "doc_id", F.coalesce("len", F.lit(0)).alias("len")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -167,13 +167,22 @@ class SearchIndex:
         return self.analyzers[f]
 
 
-def build_index(docs: DataFrame, fields: dict[str, object], id_col: str = "doc_id") -> SearchIndex:
-    """Index ``fields`` of ``docs``; ``docs`` keeps the stored columns."""
+def build_index(docs: DataFrame, fields: dict[str, object], id_col: str = "doc_id", materialized: bool = True) -> SearchIndex:
+    """Index ``fields`` of ``docs``; ``docs`` keeps the stored columns.
+
+    ``materialized`` writes postings and lengths once (see
+    ``common.materialize``) so the several scans of one search plan read
+    them instead of re-analysing the text."""
+    from quarry.operators.common import materialize
+
     if id_col != "doc_id":
         docs = docs.withColumnRenamed(id_col, "doc_id")
     tokens = analyze(docs, "doc_id", fields)
     postings = build_postings(tokens)
-    dl = doc_lengths(docs, "doc_id", fields)
+    dl = doc_lengths(docs, "doc_id", fields, tokens)
+    if materialized:
+        postings = materialize(postings, "postings")
+        dl = materialize(dl, "doc_len")
     return SearchIndex(
         docs=docs,
         analyzers=dict(fields),
@@ -218,92 +227,54 @@ def read_index(spark, path: str, analyzers: dict[str, object]) -> SearchIndex:
 
 # --- dictionary segmentation ---------------------------------------------
 
-# (word, 0-based character offset) for each match of an extracted array, in
-# order: every search starts where the previous match ended.
-_OFFSET_FOLD = (
-    "aggregate({arr}, named_struct('acc', cast(array() as array<struct<w:string,p:int>>), 'from', 1), "
-    "(a, x) -> named_struct('acc', array_append(a.acc, named_struct('w', x, 'p', locate(x, {text}, a.from) - 1)), "
-    "'from', locate(x, {text}, a.from) + length(x)), a -> a.acc)"
-)
-
 def dictionary_segment(df: DataFrame, id_col: str, text_col: str, analyzer: Dictionary) -> DataFrame:
     """``(id, pos, term, kind)`` for a dictionary analyzer.
 
-    Every substring of each run whose length is at most the longest
-    dictionary word is a candidate; candidates are semi-joined with the word
-    table.  The longest word length comes from the table itself (a one-row
-    aggregate), so no word is ever missed.  Run characters covered by no
-    word are single-character tokens.  Text outside runs gets standard
-    tokens.  ``pos`` is the character offset of the token start.
+    The text is cut into pieces: runs (``run_pattern``) and, between them,
+    standard words.  Inside a run every substring no longer than the longest
+    dictionary word is a candidate, semi-joined with the word table; the
+    longest word length comes from the table itself (a one-row aggregate),
+    so no word is missed.  Run characters covered by no word become
+    single-character tokens (kind ``char``).  ``pos`` is the ordinal of the
+    piece a token comes from, so tokens of one run share a position.
     """
-    spark = df.sparkSession
     text = F.lower(F.col(text_col)) if analyzer.lowercase else F.col(text_col)
     words = analyzer.words.select(
         (F.lower("word") if analyzer.lowercase else F.col("word")).alias("term")
     ).filter(F.length("term") > 0).distinct()
     max_len = words.agg(F.max(F.length("term")).alias("max_len"))
-
-    base = df.select(F.col(id_col).alias("_id"), text.alias("_t"))
-    # runs with their start offsets: split text on the run pattern is not
-    # offset-aware, so locate runs by a regex over the positions instead.
-    runs = base.select(
-        "_id",
-        "_t",
-        F.regexp_extract_all("_t", F.lit("(" + analyzer.run_pattern + ")"), 1).alias("runs"),
-    )
-    # character offsets: walk the runs in order, each search starting after
-    # the previous run
-    located = runs.select(
-        "_id",
-        F.posexplode(F.expr(_OFFSET_FOLD.format(arr="runs", text="_t"))).alias("ri", "r"),
-    ).select("_id", F.col("r.w").alias("run"), F.col("r.p").alias("start"))
-
+    run = "(?:" + analyzer.run_pattern + ")"
+    spaced = F.regexp_replace(text, "(" + run + ")", " $1 ")
+    pieces = df.select(
+        F.col(id_col).alias("_id"),
+        F.posexplode(F.regexp_extract_all(spaced, F.lit(run + "|" + T.WORD_PATTERN), 0)).alias("pos", "piece"),
+    ).withColumn("is_run", F.col("piece").rlike("^" + run + "$"))
+
+    runs = pieces.filter("is_run")
     cands = (
-        located.crossJoin(F.broadcast(max_len))
+        runs.crossJoin(F.broadcast(max_len))  # one row
+        .select("_id", "pos", "piece", "max_len", F.explode(F.sequence(F.lit(1), F.length("piece"))).alias("i"))
         .select(
             "_id",
-            "run",
-            "start",
-            F.explode(F.sequence(F.lit(1), F.length("run"))).alias("i"),
-            "max_len",
-        )
-        .select(
-            "_id",
-            "run",
-            "start",
+            "pos",
+            "piece",
             "i",
-            F.explode(F.sequence(F.lit(1), F.least(F.col("max_len"), F.length("run") - F.col("i") + 1))).alias("n"),
+            F.explode(F.sequence(F.lit(1), F.least(F.col("max_len"), F.length("piece") - F.col("i") + 1))).alias("n"),
         )
-        .select("_id", "run", "start", "i", "n", F.substring("run", F.col("i"), F.col("n")).alias("term"))
-    )
-    matched = cands.join(words, "term", "left_semi")
-    word_tokens = matched.select(
-        "_id", (F.col("start") + F.col("i") - 1).alias("pos"), "term", F.lit("word").alias("kind"), "n"
+        .withColumn("term", F.substring("piece", F.col("i"), F.col("n")))
     )
-    covered = matched.select(
-        "_id", "start", F.explode(F.sequence(F.col("i"), F.col("i") + F.col("n") - 1)).alias("i")
-    ).distinct()
-    chars = located.select(
-        "_id", "run", "start", F.explode(F.sequence(F.lit(1), F.length("run"))).alias("i")
-    ).join(covered, ["_id", "start", "i"], "left_anti")
-    char_tokens = chars.select(
-        "_id",
-        (F.col("start") + F.col("i") - 1).alias("pos"),
-        F.substring("run", F.col("i"), 1).alias("term"),
-        F.lit("char").alias("kind"),
-        F.lit(1).alias("n"),
+    from quarry.operators.common import bounded_broadcast
+
+    matched = cands.join(bounded_broadcast(words), "term", "left_semi")
+    covered = matched.select("_id", "pos", F.explode(F.sequence(F.col("i"), F.col("i") + F.col("n") - 1)).alias("i")).distinct()
+    chars = (
+        runs.select("_id", "pos", "piece", F.explode(F.sequence(F.lit(1), F.length("piece"))).alias("i"))
+        .join(covered, ["_id", "pos", "i"], "left_anti")
+        .select("_id", "pos", F.substring("piece", F.col("i"), 1).alias("term"), F.lit("char").alias("kind"))
     )
-    # text outside runs: standard tokens, positioned by their offset
-    outside = base.select(
-        "_id",
-        F.regexp_replace("_t", analyzer.run_pattern, " ").alias("_o"),
-    ).select(
-        "_id",
-        "_o",
-        F.regexp_extract_all("_o", F.lit(T.WORD_PATTERN), 0).alias("ws"),
+    out = (
+        matched.select("_id", "pos", "term", F.lit("word").alias("kind"))
+        .unionByName(chars)
+        .unionByName(pieces.filter(~F.col("is_run")).select("_id", "pos", F.col("piece").alias("term"), F.lit("word").alias("kind")))
     )
-    other = outside.select(
-        "_id", F.posexplode(F.expr(_OFFSET_FOLD.format(arr="ws", text="_o"))).alias("wi", "x")
-    ).select("_id", F.col("x.p").alias("pos"), F.col("x.w").alias("term"), F.lit("word").alias("kind"), F.length("x.w").alias("n"))
-    out = word_tokens.unionByName(char_tokens).unionByName(other)
     return out.select(F.col("_id").alias(id_col), "pos", "term", "kind")

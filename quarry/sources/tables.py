@@ -53,8 +53,12 @@ def web_records(spark: SparkSession, sf_dir: str, link_pattern: str | None = Non
 
 
 def web_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The multi-field corpus: one document per page (doc_id = page_id)."""
+    """The multi-field corpus: one document per page (doc_id = page_id),
+    materialised once so the page job runs once per build."""
+    from quarry.operators.common import materialize
+
     r = web_records(spark, sf_dir)
-    return r.select(
-        F.col("page_id").alias("doc_id"), "url", "title", "source", "publish_time", "editor", "content", "links"
+    return materialize(
+        r.select(F.col("page_id").alias("doc_id"), "url", "title", "source", "publish_time", "editor", "content", "links"),
+        "web_docs",
     )
