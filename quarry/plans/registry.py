@@ -351,3 +351,244 @@ def q_dictionary_segment(spark, sf_dir):
 
     titles = _page_titles(spark, sf_dir).select("page_id", F.col("raw_title").alias("text"))
     return dictionary_segment(titles, "page_id", "text", Dictionary(benchmark_words(spark, sf_dir), run_pattern=r"\p{L}+"))
+
+
+# --- classify, route, highlight, render -----------------------------------
+
+from quarry.functions.classify import classify_queries  # noqa: E402
+from quarry.operators import highlight as HL  # noqa: E402
+from quarry.operators import history as H  # noqa: E402
+from quarry.operators import personal as PR  # noqa: E402
+
+
+def mixed_queries(spark, sf_dir):
+    """Search-box input: every conversation user turn, every crawled host
+    and every wildcard pattern (ids kept apart by offsets)."""
+    conv = src.conversation_queries(spark, sf_dir).select("query_id", "query")
+    hosts = site_queries(spark, sf_dir).select((F.col("query_id") + 2_000_000_000).alias("query_id"), "query")
+    pats = wildcard_patterns(spark, sf_dir).select((F.col("query_id") + 3_000_000_000).alias("query_id"), "query")
+    return conv.unionByName(hosts).unionByName(pats)
+
+
+@query("classify_queries")
+def q_classify_queries(spark, sf_dir):
+    return classify_queries(mixed_queries(spark, sf_dir)).select("query_id", "search_type")
+
+
+def search_all(web, tp, queries):
+    """Route each query to its search type and run every operator on its
+    share of the queries table."""
+    c = classify_queries(queries)
+    parts = [
+        S.site_search(web, c.filter(F.col("search_type") == "site_search"), k=1000).withColumn("search_type", F.lit("site_search")),
+        S.multi_phrase_search(web, c.filter(F.col("search_type") == "multi_phrase_search"), "content", k=10).withColumn(
+            "search_type", F.lit("multi_phrase_search")
+        ),
+        S.one_phrase_search(web, c.filter(F.col("search_type") == "one_phrase_search"), k=1000).withColumn(
+            "search_type", F.lit("one_phrase_search")
+        ),
+        S.wildcard_search(tp, c.filter(F.col("search_type") == "wildcard_search"), k=10).withColumn(
+            "search_type", F.lit("wildcard_search")
+        ),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("search_all")
+def q_search_all(spark, sf_dir):
+    return search_all(web_index(spark, sf_dir), tp_index(spark, sf_dir), mixed_queries(spark, sf_dir))
+
+
+def _simple_hits(spark, sf_dir):
+    idx = web_index(spark, sf_dir)
+    qs = src.benchmark_queries(spark, sf_dir)
+    return idx, qs, S.simple_search(idx, qs, k=10)
+
+
+@query("highlight")
+def q_highlight(spark, sf_dir):
+    """Ordinary-search hits with title, content, url and editor marked."""
+    idx, qs, hits = _simple_hits(spark, sf_dir)
+    return HL.highlight(idx, hits, qs, ["title", "content", "url", "editor"])
+
+
+@query("highlight_fragments")
+def q_highlight_fragments(spark, sf_dir):
+    idx, qs, hits = _simple_hits(spark, sf_dir)
+    return HL.highlight_fragments(HL.highlight(idx, hits, qs, ["title", "content", "url", "editor"]))
+
+
+@query("render_hits")
+def q_render_hits(spark, sf_dir):
+    idx, qs, hits = _simple_hits(spark, sf_dir)
+    marked = HL.highlight(idx, hits, qs, ["title", "content", "url", "editor"])
+    return HL.render_hits(hits, idx.docs, marked)
+
+
+# --- history, profiles, suggestions, re-rank -----------------------------
+
+def history_events(spark, sf_dir, deletes: bool = False):
+    """Events as history operations: user = user_id, query = ``props.k``;
+    with ``deletes`` an ``error`` event deletes its query, every other
+    event saves it."""
+    e = src.table(spark, sf_dir, "events")
+    op = F.when(F.col("event_type") == "error", F.lit(H.DELETE)).otherwise(F.lit(H.SAVE)) if deletes else F.lit(H.SAVE)
+    return e.select(
+        F.col("user_id").cast("string").alias("username"),
+        op.alias("op"),
+        F.get_json_object("props", "$.k").alias("query"),
+        "ts",
+        "event_id",
+    )
+
+
+def profiles(spark, sf_dir):
+    """User profiles: customer key as username, market segment as college,
+    nation name as major; no password column exists or is read."""
+    c = src.table(spark, sf_dir, "customer")
+    n = src.table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    return c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey, "left").select(
+        F.col("c_custkey").cast("string").alias("username"),
+        F.col("c_mktsegment").alias("college"),
+        F.col("n_name").alias("major"),
+    )
+
+
+def history_state(spark, sf_dir):
+    st = H.history_fold(history_events(spark, sf_dir))
+    return H.history_profile(st, profiles(spark, sf_dir))
+
+
+@query("history_fold")
+def q_history_fold(spark, sf_dir):
+    return H.history_fold(history_events(spark, sf_dir))
+
+
+@query("history_fold_delete")
+def q_history_fold_delete(spark, sf_dir):
+    return H.history_fold(history_events(spark, sf_dir, deletes=True))
+
+
+@query("history_lookup")
+def q_history_lookup(spark, sf_dir):
+    """Every customer asks for their history."""
+    req = profiles(spark, sf_dir).select("username")
+    return H.history_lookup(req, H.history_fold(history_events(spark, sf_dir)))
+
+
+@query("history_profile")
+def q_history_profile(spark, sf_dir):
+    return history_state(spark, sf_dir)
+
+
+@query("upsert_history")
+def q_upsert_history(spark, sf_dir):
+    """State after the first half of the month, upserted with the state of
+    the users active in the second half (their newer record wins)."""
+    ev = history_events(spark, sf_dir)
+    cut = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
+    old = H.history_fold(ev.filter(F.col("ts") < cut)).select("username", "history", F.lit(1).alias("seq"))
+    new = H.history_fold(ev.filter(F.col("ts") >= cut)).select("username", "history", F.lit(2).alias("seq"))
+    return H.upsert_latest(old, new, "username").select("username", "history", "seq")
+
+
+@query("upsert_users")
+def q_upsert_users(spark, sf_dir):
+    """Base profiles without major; customers with a negative balance
+    re-register with their nation as major (newer wins)."""
+    c = src.table(spark, sf_dir, "customer")
+    base = c.select(F.col("c_custkey").cast("string").alias("username"), F.col("c_mktsegment").alias("college"),
+                    F.lit("").alias("major"), F.lit(1).alias("seq"))
+    upd = profiles(spark, sf_dir).join(
+        c.filter(F.col("c_acctbal") < 0).select(F.col("c_custkey").cast("string").alias("username")), "username", "left_semi"
+    ).select("username", "college", "major", F.lit(2).alias("seq"))
+    return H.upsert_latest(base, upd, "username")
+
+
+@query("insert_new_users")
+def q_insert_new_users(spark, sf_dir):
+    """Conversation users register; only names not yet taken are added."""
+    existing = profiles(spark, sf_dir).select("username", "college", "major")
+    conv = src.table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").cast("string").alias("username"), F.col("role").alias("college"), F.lit(None).cast("string").alias("major"),
+        F.col("turn").alias("seq"),
+    )
+    return H.insert_new(existing, conv, "username")
+
+
+def typed_requests(spark, sf_dir):
+    """Typed text per event: the integer part of its value."""
+    e = src.table(spark, sf_dir, "events")
+    return e.select(
+        F.col("event_id").alias("request_id"),
+        F.col("user_id").cast("string").alias("username"),
+        F.floor("value").cast("bigint").cast("string").alias("typed"),
+    )
+
+
+def suggestion_candidates(spark, sf_dir):
+    """Candidate completions: every query in any user's history, ordered by
+    the number of users holding it (desc), then text."""
+    st = H.history_fold(history_events(spark, sf_dir))
+    c = st.select("username", F.explode("history").alias("candidate")).groupBy("candidate").agg(
+        F.count(F.lit(1)).alias("n_users")
+    )
+    return c.select("candidate", F.struct((-F.col("n_users")).alias("neg_users"), "candidate").alias("cand_order"))
+
+
+@query("history_suggestions")
+def q_history_suggestions(spark, sf_dir):
+    return PR.history_suggestions(typed_requests(spark, sf_dir), H.history_fold(history_events(spark, sf_dir)))
+
+
+@query("levenshtein_similarity")
+def q_levenshtein_similarity(spark, sf_dir):
+    p = PR.similarity_pairs(typed_requests(spark, sf_dir), H.history_fold(history_events(spark, sf_dir)),
+                            suggestion_candidates(spark, sf_dir))
+    return p.select("request_id", "candidate", "history_item", F.round("similarity", 9).alias("similarity"))
+
+
+@query("similarity_suggestions")
+def q_similarity_suggestions(spark, sf_dir):
+    return PR.similarity_suggestions(typed_requests(spark, sf_dir), H.history_fold(history_events(spark, sf_dir)),
+                                     suggestion_candidates(spark, sf_dir))
+
+
+@query("suggest")
+def q_suggest(spark, sf_dir):
+    return PR.suggest(typed_requests(spark, sf_dir), H.history_fold(history_events(spark, sf_dir)),
+                      suggestion_candidates(spark, sf_dir))
+
+
+@query("personal_rerank")
+def q_personal_rerank(spark, sf_dir):
+    """Each conversation user turn searches the documents (top 10); hits
+    are re-ranked by the user's history and college."""
+    idx = documents_index(spark, sf_dir)
+    qs = src.conversation_queries(spark, sf_dir)
+    hits = S.match_query(idx, qs, "content", k=10)
+    return PR.personal_rerank(hits, idx.docs, qs, history_state(spark, sf_dir))
+
+
+# --- document upserts -------------------------------------------------------
+
+def _upserted_docs(spark, sf_dir):
+    """Page records keyed by the URL their title maps to; a later page
+    (higher page_id) overwrites an earlier one with the same URL."""
+    pt = _page_titles(spark, sf_dir)
+    recs = P.join_title_url(P.to_records(_parsed(spark, sf_dir)), P.title_url_map(pt))
+    r = recs.select("url", "page_id", "title", F.col("page_id").alias("seq"))
+    return H.upsert_latest(r.limit(0), r, "url")
+
+
+@query("upsert_docs")
+def q_upsert_docs(spark, sf_dir):
+    return _upserted_docs(spark, sf_dir).select("url", "page_id", "title")
+
+
+@query("count_docs")
+def q_count_docs(spark, sf_dir):
+    return _upserted_docs(spark, sf_dir).agg(F.count(F.lit(1)).alias("n_docs"))
