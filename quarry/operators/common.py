@@ -61,3 +61,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{base}/tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition when the input has fewer partitions than the
+    cluster has task slots (one big file or row group would otherwise run the
+    CPU-heavy text work in one task).  On a large multi-file input this is a
+    no-op, so no shuffle is added at scale."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

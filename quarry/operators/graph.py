@@ -8,9 +8,9 @@ uniformly, stop when the L1 change is below ``n * tol``.
 Each round is one join of the rank vector with the out-degree-weighted edge
 list and one aggregation by target; the dangling mass and the node count
 are one-row aggregates cross-joined into the plan, so a round needs no
-driver round trip.  Lineage is cut with a reliable ``checkpoint()`` into
-the session's shared checkpoint folder every ``checkpoint_every`` rounds, so
-a lost executor recomputes at most that many rounds.
+driver round trip.  Lineage is cut every ``checkpoint_every`` rounds by
+writing the rank vector as a table in the session's shared checkpoint
+folder, so a lost executor recomputes at most that many rounds.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.session import checkpoint_dir
+from quarry.operators.common import materialize
 
 
 def link_edges(records: DataFrame, src: str = "url", links: str = "links") -> DataFrame:
@@ -57,18 +57,15 @@ def pagerank(
     ``max_iter`` rounds raise, like the common library default.  The
     convergence test is one scalar per round read by the driver.
     """
-    spark = nodes.sparkSession
-    checkpoint_dir(spark)
-    nodes = nodes.select("node").distinct()
+    nodes = materialize(nodes.select("node").distinct(), "pr_nodes")
     n_df = nodes.agg(F.count(F.lit(1)).cast("double").alias("n"))
     deg = out_degree(edges)
     w_edges = edges.join(deg, "src").select("src", "dst", (1.0 / F.col("out_degree")).alias("w"))
-    w_edges = w_edges.checkpoint()  # reused every round
-    dangling = nodes.join(deg.select(F.col("src").alias("node")), "node", "left_anti")
-    dangling = dangling.checkpoint()
+    w_edges = materialize(w_edges, "pr_edges")  # reused every round
+    dangling = materialize(nodes.join(deg.select(F.col("src").alias("node")), "node", "left_anti"), "pr_dangling")
 
     rank = nodes.crossJoin(F.broadcast(n_df)).select("node", (1.0 / F.col("n")).alias("pr"))
-    rank = rank.checkpoint()
+    rank = materialize(rank, "pr_rank")
     rounds = iterations if iterations is not None else max_iter
     for i in range(rounds):
         contrib = (
@@ -87,7 +84,7 @@ def pagerank(
             )
         )
         if (i + 1) % checkpoint_every == 0 or i + 1 == rounds:
-            new = new.checkpoint()
+            new = materialize(new, "pr_rank")
         if iterations is None:
             err = new.join(rank.withColumnRenamed("pr", "old"), "node").agg(F.sum(F.abs(F.col("pr") - F.col("old")))).first()[0]
             n = n_df.first()[0]

@@ -167,26 +167,92 @@ class SearchIndex:
         return self.analyzers[f]
 
 
+def doc_postings(stacked: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Postings straight from per-document token arrays, with no shuffle.
+
+    ``stacked`` is ``(field, doc_id, toks)``.  Inside each row the (term,
+    position) pairs are sorted, runs of equal terms are cut out, and each run
+    becomes one posting with its positions already ascending.  Work is
+    O(n log n) per document and stays where the document is.
+    """
+    pairs = F.expr(
+        "array_sort(zip_with(toks, sequence(0, size(toks) - 1), (t, i) -> named_struct('t', t, 'i', i)))"
+    )
+    with_sorted = stacked.filter(F.size("toks") > 0).select("field", id_col, F.size("toks").alias("dl"), pairs.alias("sp"))
+    runs = F.expr(
+        """
+        transform(
+          filter(sequence(1, size(sp)), k -> CASE WHEN k = 1 THEN true ELSE sp[k - 1].t != sp[k - 2].t END),
+          k -> k
+        )"""
+    )
+    with_starts = with_sorted.select("field", id_col, "dl", "sp", runs.alias("st"))
+    postings = F.expr(
+        """
+        transform(sequence(1, size(st)), r -> named_struct(
+          'term', sp[st[r - 1] - 1].t,
+          'positions', transform(
+              slice(sp, st[r - 1], coalesce(try_element_at(st, r + 1), size(sp) + 1) - st[r - 1]),
+              x -> x.i)))"""
+    )
+    exploded = with_starts.select("field", id_col, "dl", F.explode(postings).alias("p"))
+    return exploded.select(
+        "field",
+        F.col("p.term").alias("term"),
+        id_col,
+        F.size("p.positions").alias("tf"),
+        "dl",
+        F.col("p.positions").alias("positions"),
+    )
+
+
+def stacked_tokens(df: DataFrame, id_col: str, fields: dict[str, object]) -> DataFrame:
+    """``(field, doc_id, toks)``: one row per document and column-analysed field."""
+    return df.select(
+        F.col(id_col).alias("doc_id"),
+        F.explode(
+            F.array(
+                *[
+                    F.struct(F.lit(f).alias("field"), column_tokens(F.coalesce(F.col(f), F.lit("")), a).alias("toks"))
+                    for f, a in fields.items()
+                ]
+            )
+        ).alias("s"),
+    ).select("s.field", "doc_id", "s.toks")
+
+
 def build_index(docs: DataFrame, fields: dict[str, object], id_col: str = "doc_id", materialized: bool = True) -> SearchIndex:
     """Index ``fields`` of ``docs``; ``docs`` keeps the stored columns.
 
-    ``materialized`` writes postings and lengths once (see
-    ``common.materialize``) so the several scans of one search plan read
-    them instead of re-analysing the text."""
+    Column-analysed fields get their postings per document (``doc_postings``,
+    no shuffle); dictionary fields go through token rows and one
+    aggregation.  ``materialized`` writes the postings once (see
+    ``common.materialize``) so every scan of a search plan reads them instead
+    of re-analysing the text.  Document lengths ride on the postings.
+    """
     from quarry.operators.common import materialize
 
     if id_col != "doc_id":
         docs = docs.withColumnRenamed(id_col, "doc_id")
-    tokens = analyze(docs, "doc_id", fields)
-    postings = build_postings(tokens)
-    dl = doc_lengths(docs, "doc_id", fields, tokens)
+    col_fields = {f: a for f, a in fields.items() if not isinstance(a, Dictionary)}
+    dict_fields = {f: a for f, a in fields.items() if isinstance(a, Dictionary)}
+    parts = []
+    if col_fields:
+        parts.append(doc_postings(stacked_tokens(docs, "doc_id", col_fields)))
+    if dict_fields:
+        parts.append(build_postings(analyze(docs, "doc_id", dict_fields)))
+    postings = parts[0]
+    for p in parts[1:]:
+        postings = postings.unionByName(p)
     if materialized:
         postings = materialize(postings, "postings")
-        dl = materialize(dl, "doc_len")
+    # one row per (field, doc) with a term; empty fields are not counted by
+    # the field statistics anyway
+    dl = postings.groupBy("field", "doc_id").agg(F.max("dl").alias("len"))
     return SearchIndex(
         docs=docs,
         analyzers=dict(fields),
-        tokens=tokens,
+        tokens=None,
         postings=postings,
         doc_len=dl,
         field_stats=field_stats(dl),

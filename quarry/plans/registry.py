@@ -44,7 +44,7 @@ from quarry.operators import pages as P  # noqa: E402
 
 
 def _parsed(spark, sf_dir):
-    return P.parse_pages(src.pages(spark, sf_dir))
+    return P.parse_pages(src.pages(spark, sf_dir, spread_out=True))
 
 
 def _page_titles(spark, sf_dir):

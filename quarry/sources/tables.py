@@ -13,7 +13,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def documents_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``documents`` index: content = whole text, title = its first line
     (the table has no title column), no URL."""
-    d = table(spark, sf_dir, "documents")
+    from quarry.operators.common import spread
+
+    d = spread(table(spark, sf_dir, "documents"))
     return d.select(
         "doc_id",
         F.substring_index("text", "\n", 1).alias("title"),
@@ -41,15 +43,22 @@ def conversation_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", "url", "html")
+def pages(spark: SparkSession, sf_dir: str, spread_out: bool = False) -> DataFrame:
+    """``(page_id, url, html)``; ``spread_out`` spreads a few big input
+    splits over all task slots before the page job."""
+    p = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    if spread_out:
+        from quarry.operators.common import spread
+
+        p = spread(p)
+    return p
 
 
 def web_records(spark: SparkSession, sf_dir: str, link_pattern: str | None = None) -> DataFrame:
     """Page records of every page; the URL is the page's own crawl URL."""
     from quarry.operators.pages import extract_pages
 
-    return extract_pages(pages(spark, sf_dir), link_pattern=link_pattern)
+    return extract_pages(pages(spark, sf_dir, spread_out=True), link_pattern=link_pattern)
 
 
 def web_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
