@@ -39,7 +39,8 @@ def _remove_dots(path: Column) -> Column:
     last = F.element_at(all_segs, -1)
     resolved = F.when(last.isin(".", ".."), F.array_append(resolved, F.lit(""))).otherwise(resolved)
     joined = F.array_join(resolved, "/")
-    return F.when(joined == "", F.lit("/")).otherwise(joined)
+    # an empty path becomes "/", and a path under a host always starts with "/"
+    return F.when(joined == "", F.lit("/")).when(joined.startswith("/"), joined).otherwise(F.concat(F.lit("/"), joined))
 
 
 def resolve_url(base: Column, href: Column) -> Column:

@@ -113,7 +113,8 @@ def simple_search(index: SearchIndex, queries: DataFrame, k: int | None = 10, te
 
 # --- phrases ---------------------------------------------------------------
 
-def phrase_scores(index: SearchIndex, phrases: DataFrame, fields: Sequence[str], text_col: str = "query", key: Sequence[str] = ("query_id",)) -> DataFrame:
+def phrase_scores(index: SearchIndex, phrases: DataFrame, fields: Sequence[str], text_col: str = "query", key: Sequence[str] = ("query_id",),
+                  candidates: DataFrame | None = None) -> DataFrame:
     """``(*key, doc_id, field, freq, score)`` of ``match_phrase`` (slop 0).
 
     The rarest term of each phrase is its anchor: only documents holding the
@@ -121,6 +122,8 @@ def phrase_scores(index: SearchIndex, phrases: DataFrame, fields: Sequence[str],
     are read.  A start position counts when every phrase term sits at
     ``start + its offset``; the number of such starts is the phrase
     frequency.  ``key`` names the columns that identify one phrase.
+    ``candidates`` ``(query_id, doc_id)`` optionally limits the documents
+    (``query_id`` being the first key column).
     """
     key = list(key)
     q = phrases.withColumn("query_id__", F.to_json(F.struct(*key))) if key != ["query_id"] else phrases.withColumn("query_id__", F.col("query_id"))
@@ -143,6 +146,8 @@ def phrase_scores(index: SearchIndex, phrases: DataFrame, fields: Sequence[str],
     qterms = bounded_broadcast(qt.select("query_id", "field", F.col("pos").alias("qpos"), "term"), probe=probe)
     wanted = bounded_broadcast(qt.select("field", "term").distinct(), probe=probe)
     post = index.postings.join(wanted, ["field", "term"], "left_semi")
+    if candidates is not None:
+        post = post.join(bounded_broadcast(candidates.select("doc_id").distinct()), "doc_id", "left_semi")
 
     cand = post.join(anchors, ["field", "term"]).select(
         "query_id",
@@ -154,6 +159,10 @@ def phrase_scores(index: SearchIndex, phrases: DataFrame, fields: Sequence[str],
         "avg_len",
         F.filter(F.transform("positions", lambda p: p - F.col("a_off")), lambda s: s >= 0).alias("starts"),
     ).filter(F.size("starts") > 0)
+    if candidates is not None:
+        ckey = q.select(F.col("query_id__").alias("query_id"), F.col(key[0]).alias("_q0")).distinct()
+        allowed = candidates.select(F.col("query_id").alias("_q0"), "doc_id").join(ckey, "_q0").select("query_id", "doc_id")
+        cand = cand.join(allowed, ["query_id", "doc_id"], "left_semi")
     need = cand.join(qterms, ["query_id", "field"])
     got = need.join(post.select("field", "term", "doc_id", "positions"), ["field", "term", "doc_id"])
     per_doc = got.groupBy("query_id", "field", "doc_id").agg(
@@ -212,7 +221,14 @@ def multi_phrase_search(index: SearchIndex, queries: DataFrame, field: str = "co
     nothing, so its query returns nothing."""
     ph = split_phrases(queries, text_col)
     n_phr = ph.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_phrases"))
-    s = phrase_scores(index, ph.withColumnRenamed("phrase", "_p"), [field], "_p", key=("query_id", "phrase_no"))
+    # a hit holds every term of every phrase, so only documents holding the
+    # query's rarest term can match: phrases are checked on those alone
+    qt = query_terms(index, ph.select("query_id", F.col("phrase").alias("_p")), [field], "_p")
+    rare = _with_stats(index, qt).groupBy("query_id").agg(F.min_by("term", F.struct("df", "term")).alias("term"))
+    cands = index.postings.filter(F.col("field") == field).join(
+        bounded_broadcast(rare, probe=qt), "term"
+    ).select("query_id", "doc_id")
+    s = phrase_scores(index, ph.withColumnRenamed("phrase", "_p"), [field], "_p", key=("query_id", "phrase_no"), candidates=cands)
     per = s.groupBy("query_id", "doc_id").agg(
         F.count(F.lit(1)).alias("n_matched"), F.sum("score").alias("score")
     )
