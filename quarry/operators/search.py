@@ -52,8 +52,12 @@ def _with_stats(index: SearchIndex, qt: DataFrame) -> DataFrame:
     """Attach df, N and avgdl to query terms (unique term statistics keep
     the row count of ``qt``)."""
     fs = F.broadcast(index.field_stats)  # one row per field
+    # restrict the statistics to the query's terms first; the semi-join is
+    # pushed below the df aggregation, so only those postings are counted
+    wanted = bounded_broadcast(qt.select("field", "term").distinct())
+    ts = index.term_stats.join(wanted, ["field", "term"], "left_semi")
     return (
-        qt.join(index.term_stats, ["field", "term"])
+        qt.join(ts, ["field", "term"])
         .join(fs, "field")
         .withColumn("idf", F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5)))
     )
