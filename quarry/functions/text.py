@@ -35,6 +35,8 @@ PUBLISH_TIME_FORMAT = "yyyy-M-d H:m"
 # host names together, as the standard tokenizer does for "a.b.c".
 WORD_PATTERN = r"[\p{L}\p{N}]+"
 HAN_PATTERN = r"(\p{IsHan})"
+# one regex pass: a Han character, or a run of other letters and digits
+STANDARD_TOKEN_PATTERN = r"\p{IsHan}|[\p{L}\p{N}&&[^\p{IsHan}]]+"
 URL_TOKEN_PATTERN = r"[\p{L}\p{N}_]+(?:\.[\p{L}\p{N}_]+)*"
 
 
@@ -44,8 +46,7 @@ def _col(c: Column | str) -> Column:
 
 def standard_tokens(c: Column | str) -> Column:
     """Lower-case, split into letter/digit runs, one token per Han character."""
-    spaced = F.regexp_replace(F.lower(_col(c)), HAN_PATTERN, " $1 ")
-    return F.regexp_extract_all(spaced, F.lit(WORD_PATTERN), 0)
+    return F.regexp_extract_all(F.lower(_col(c)), F.lit(STANDARD_TOKEN_PATTERN), 0)
 
 
 def url_tokens(c: Column | str) -> Column:

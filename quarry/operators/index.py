@@ -175,10 +175,16 @@ def doc_postings(stacked: DataFrame, id_col: str = "doc_id") -> DataFrame:
     becomes one posting with its positions already ascending.  Work is
     O(n log n) per document and stays where the document is.
     """
-    pairs = F.expr(
-        "array_sort(zip_with(toks, sequence(0, size(toks) - 1), (t, i) -> named_struct('t', t, 'i', i)))"
+    pairs = F.expr("zip_with(toks, sequence(0, size(toks) - 1), (t, i) -> named_struct('t', t, 'i', i))")
+    return pair_postings(stacked.filter(F.size("toks") > 0).select("field", id_col, pairs.alias("pairs")), id_col)
+
+
+def pair_postings(df: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Postings from ``(field, doc_id, pairs array<struct<t, i>>)`` (term,
+    position) pairs of one document; see ``doc_postings``."""
+    with_sorted = df.filter(F.size("pairs") > 0).select(
+        "field", id_col, F.size("pairs").alias("dl"), F.array_sort("pairs").alias("sp")
     )
-    with_sorted = stacked.filter(F.size("toks") > 0).select("field", id_col, F.size("toks").alias("dl"), pairs.alias("sp"))
     runs = F.expr(
         """
         transform(
@@ -239,8 +245,12 @@ def build_index(docs: DataFrame, fields: dict[str, object], id_col: str = "doc_i
     parts = []
     if col_fields:
         parts.append(doc_postings(stacked_tokens(docs, "doc_id", col_fields)))
-    if dict_fields:
-        parts.append(build_postings(analyze(docs, "doc_id", dict_fields)))
+    for f, a in dict_fields.items():
+        # dictionary tokens come out as rows; gather them per document (few
+        # keys) and cut postings from the pairs like any other field
+        seg = dictionary_segment(docs.select("doc_id", F.col(f).alias("text")), "doc_id", "text", a)
+        pairs = seg.groupBy("doc_id").agg(F.collect_list(F.struct(F.col("term").alias("t"), F.col("pos").alias("i"))).alias("pairs"))
+        parts.append(pair_postings(pairs.select(F.lit(f).alias("field"), "doc_id", "pairs")))
     postings = parts[0]
     for p in parts[1:]:
         postings = postings.unionByName(p)
