@@ -132,3 +132,11 @@ def wildcard_to_regex(c: Column | str) -> Column:
     esc = F.replace(esc, F.lit("?"), F.lit("."))
     esc = F.replace(esc, F.lit("*"), F.lit(".*"))
     return F.concat(F.lit("^"), esc, F.lit("$"))
+
+
+def wildcard_literal(c: Column | str) -> Column:
+    """Longest run of plain characters in a wildcard pattern ('' when none):
+    every matching term contains it, so it is a cheap guard before the
+    regex."""
+    segs = F.regexp_extract_all(_col(c), F.lit(r"[^*?]+"), 0)
+    return F.aggregate(segs, F.lit(""), lambda acc, s: F.when(F.length(s) > F.length(acc), s).otherwise(acc))

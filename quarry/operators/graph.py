@@ -47,7 +47,7 @@ def pagerank(
     iterations: int | None = None,
     max_iter: int = 100,
     tol: float = 1.0e-6,
-    checkpoint_every: int = 1,
+    checkpoint_every: int = 3,
     raise_on_no_convergence: bool = True,
 ) -> DataFrame:
     """``(node, pagerank)``.
@@ -67,6 +67,7 @@ def pagerank(
     rank = nodes.crossJoin(F.broadcast(n_df)).select("node", (1.0 / F.col("n")).alias("pr"))
     rank = materialize(rank, "pr_rank")
     rounds = iterations if iterations is not None else max_iter
+    cached: list[DataFrame] = []  # rounds kept between two written tables
     for i in range(rounds):
         contrib = (
             w_edges.join(rank.withColumnRenamed("node", "src"), "src")
@@ -85,6 +86,13 @@ def pagerank(
         )
         if (i + 1) % checkpoint_every == 0 or i + 1 == rounds:
             new = materialize(new, "pr_rank")
+            for c in cached:
+                c.unpersist()
+            cached = []
+        else:
+            # kept (recomputable) until the next written table cuts lineage
+            new = new.persist()
+            cached.append(new)
         if iterations is None:
             err = new.join(rank.withColumnRenamed("pr", "old"), "node").agg(F.sum(F.abs(F.col("pr") - F.col("old")))).first()[0]
             n = n_df.first()[0]

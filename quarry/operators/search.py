@@ -248,13 +248,17 @@ def wildcard_terms(index: SearchIndex, patterns: DataFrame, fields: Sequence[str
     nested-loop join of the small pattern table); documents are reached
     afterwards by an equi-join on the matched terms."""
     p = _queries(patterns, text_col).select(
-        "query_id", T.wildcard_to_regex(F.col(text_col)).alias("rx")
+        "query_id", T.wildcard_to_regex(F.col(text_col)).alias("rx"), T.wildcard_literal(F.col(text_col)).alias("lit")
     )
     if case_insensitive:
-        p = p.withColumn("rx", F.concat(F.lit("(?iu)"), "rx"))
+        p = p.withColumn("rx", F.concat(F.lit("(?iu)"), "rx")).withColumn("lit", F.lower("lit"))
     dict_terms = index.term_stats.filter(F.col("field").isin(list(fields))).select("field", "term")
     side = bounded_broadcast(p)
-    return dict_terms.join(side, F.expr("term rlike rx")).select("query_id", "field", "term")
+    # the literal guard is a plain substring test; the regex (compiled per
+    # pattern change) only runs on terms that pass it
+    t = F.lower("term") if case_insensitive else F.col("term")
+    cond = t.contains(F.col("lit")) & F.expr("term rlike rx")
+    return dict_terms.join(side, cond).select("query_id", "field", "term")
 
 
 def wildcard_field_hits(index: SearchIndex, patterns: DataFrame, fields: Sequence[str], text_col: str = "query", case_insensitive: bool = False) -> DataFrame:

@@ -6,6 +6,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def fingerprint(sf_dir: str, names: list[str]):
+    """(path, size, mtime) of each input table when it is on a local file
+    system; None otherwise (callers then do not reuse derived tables)."""
+    import os
+
+    out = []
+    for n in names:
+        p = f"{sf_dir}/{n}.parquet"
+        if "://" in p and not p.startswith("file://"):
+            return None
+        p = p.removeprefix("file://")
+        try:
+            st = os.stat(p)
+        except OSError:
+            return None
+        out.append((p, st.st_size, st.st_mtime_ns))
+    return tuple(out)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
