@@ -57,30 +57,38 @@ def pagerank(
     ``max_iter`` rounds raise, like the common library default.  The
     convergence test is one scalar per round read by the driver.
     """
-    nodes = materialize(nodes.select("node").distinct(), "pr_nodes")
-    n_df = nodes.agg(F.count(F.lit(1)).cast("double").alias("n"))
+    spark = nodes.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     deg = out_degree(edges)
-    w_edges = edges.join(deg, "src").select("src", "dst", (1.0 / F.col("out_degree")).alias("w"))
-    w_edges = materialize(w_edges, "pr_edges")  # reused every round
-    dangling = materialize(nodes.join(deg.select(F.col("src").alias("node")), "node", "left_anti"), "pr_dangling")
-
-    rank = nodes.crossJoin(F.broadcast(n_df)).select("node", (1.0 / F.col("n")).alias("pr"))
-    rank = materialize(rank, "pr_rank")
+    # the edge list is hash-partitioned by source once and kept: every round
+    # joins it with the rank vector on ``src`` without moving the edges again
+    w_edges = materialize(
+        edges.join(deg, "src").select("src", "dst", (1.0 / F.col("out_degree")).alias("w")), "pr_edges"
+    ).repartition(parts, "src").persist()
+    # nodes carry their dangling flag, so the dangling mass is a plain sum
+    flagged = materialize(
+        nodes.select("node").distinct().join(deg.select(F.col("src").alias("node"), F.lit(False).alias("d")), "node", "left")
+        .select("node", F.col("d").isNull().alias("dangling")),
+        "pr_nodes",
+    )
+    n_df = flagged.agg(F.count(F.lit(1)).cast("double").alias("n"))
+    rank = materialize(flagged.crossJoin(F.broadcast(n_df)).select("node", "dangling", (1.0 / F.col("n")).alias("pr")), "pr_rank")
     rounds = iterations if iterations is not None else max_iter
     cached: list[DataFrame] = []  # rounds kept between two written tables
     for i in range(rounds):
         contrib = (
-            w_edges.join(rank.withColumnRenamed("node", "src"), "src")
+            w_edges.join(rank.select(F.col("node").alias("src"), "pr"), "src")
             .groupBy("dst")
             .agg(F.sum(F.col("pr") * F.col("w")).alias("c"))
         )
-        dmass = dangling.join(rank, "node").agg(F.coalesce(F.sum("pr"), F.lit(0.0)).alias("dm"))
-        consts = n_df.crossJoin(dmass)
+        consts = n_df.crossJoin(rank.agg(F.coalesce(F.sum(F.when(F.col("dangling"), F.col("pr"))), F.lit(0.0)).alias("dm")))
         new = (
-            nodes.join(contrib.withColumnRenamed("dst", "node"), "node", "left")
-            .crossJoin(F.broadcast(consts))
+            rank.select("node", "dangling")
+            .join(contrib.withColumnRenamed("dst", "node"), "node", "left")
+            .crossJoin(F.broadcast(consts))  # one row
             .select(
                 "node",
+                "dangling",
                 (alpha * (F.coalesce(F.col("c"), F.lit(0.0)) + F.col("dm") / F.col("n")) + (1 - alpha) / F.col("n")).alias("pr"),
             )
         )
@@ -94,16 +102,18 @@ def pagerank(
             new = new.persist()
             cached.append(new)
         if iterations is None:
-            err = new.join(rank.withColumnRenamed("pr", "old"), "node").agg(F.sum(F.abs(F.col("pr") - F.col("old")))).first()[0]
+            err = new.join(rank.select("node", F.col("pr").alias("old")), "node").agg(F.sum(F.abs(F.col("pr") - F.col("old")))).first()[0]
             n = n_df.first()[0]
             rank = new
             if err is not None and err < n * tol:
-                return rank.withColumnRenamed("pr", "pagerank")
+                w_edges.unpersist()
+                return rank.select("node", F.col("pr").alias("pagerank"))
         else:
             rank = new
+    w_edges.unpersist()
     if iterations is None and raise_on_no_convergence:
         raise RuntimeError(f"pagerank did not converge in {max_iter} iterations")
-    return rank.withColumnRenamed("pr", "pagerank")
+    return rank.select("node", F.col("pr").alias("pagerank"))
 
 
 def attach_pagerank(records: DataFrame, ranks: DataFrame, key: str = "url") -> DataFrame:
