@@ -11,5 +11,5 @@ def test_registry_and_oracles():
     qs, osql = E.queries(), E.oracle_sql()
     assert set(osql) <= set(qs)
     assert len(qs) >= 50
-    # the two operators without an exact SQL twin
-    assert set(qs) - set(osql) <= {"highlight_fragments", "search_all"}
+    # every registered query has an exact SQL twin
+    assert set(qs) == set(osql)
