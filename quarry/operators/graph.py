@@ -49,6 +49,7 @@ def pagerank(
     tol: float = 1.0e-6,
     checkpoint_every: int = 3,
     raise_on_no_convergence: bool = True,
+    heavy_degree: int | None = None,
 ) -> DataFrame:
     """``(node, pagerank)``.
 
@@ -56,15 +57,28 @@ def pagerank(
     rounds run until the L1 change is below ``n * tol`` and more than
     ``max_iter`` rounds raise, like the common library default.  The
     convergence test is one scalar per round read by the driver.
+
+    Skew: a source with more than ``heavy_degree`` out-links (default: four
+    times the mean edges per partition) would make one partition of the
+    source-partitioned edge list hold a large share of all edges.  Such
+    sources are split off: their edges are partitioned by target instead and
+    meet a broadcast of only the heavy sources' ranks, whose count is bounded
+    by ``edges / heavy_degree``.
     """
     spark = nodes.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    deg = out_degree(edges)
-    # the edge list is hash-partitioned by source once and kept: every round
-    # joins it with the rank vector on ``src`` without moving the edges again
-    w_edges = materialize(
-        edges.join(deg, "src").select("src", "dst", (1.0 / F.col("out_degree")).alias("w")), "pr_edges"
-    ).repartition(parts, "src").persist()
+    deg = materialize(out_degree(edges), "pr_degree")
+    all_w = materialize(edges.join(deg, "src").select("src", "dst", "out_degree", (1.0 / F.col("out_degree")).alias("w")), "pr_edges")
+    if heavy_degree is None:
+        n_edges = all_w.count()
+        heavy_degree = max(1000, 4 * n_edges // max(parts, 1))
+    # light sources: the edge list is hash-partitioned by source once and
+    # kept, so every round joins it with the rank vector on ``src`` without
+    # moving the edges again
+    w_edges = all_w.filter(F.col("out_degree") <= heavy_degree).select("src", "dst", "w").repartition(parts, "src").persist()
+    # heavy sources: partitioned by target; their ranks are broadcast
+    w_heavy = all_w.filter(F.col("out_degree") > heavy_degree).select("src", "dst", "w").repartition(parts, "dst").persist()
+    heavy_src = deg.filter(F.col("out_degree") > heavy_degree).select(F.col("src").alias("node"))
     # nodes carry their dangling flag, so the dangling mass is a plain sum
     flagged = materialize(
         nodes.select("node").distinct().join(deg.select(F.col("src").alias("node"), F.lit(False).alias("d")), "node", "left")
@@ -76,8 +90,10 @@ def pagerank(
     rounds = iterations if iterations is not None else max_iter
     cached: list[DataFrame] = []  # rounds kept between two written tables
     for i in range(rounds):
+        heavy_rank = rank.join(heavy_src, "node", "left_semi").select(F.col("node").alias("src"), "pr")
         contrib = (
             w_edges.join(rank.select(F.col("node").alias("src"), "pr"), "src")
+            .unionByName(w_heavy.join(F.broadcast(heavy_rank), "src"))
             .groupBy("dst")
             .agg(F.sum(F.col("pr") * F.col("w")).alias("c"))
         )
@@ -107,10 +123,12 @@ def pagerank(
             rank = new
             if err is not None and err < n * tol:
                 w_edges.unpersist()
+                w_heavy.unpersist()
                 return rank.select("node", F.col("pr").alias("pagerank"))
         else:
             rank = new
     w_edges.unpersist()
+    w_heavy.unpersist()
     if iterations is None and raise_on_no_convergence:
         raise RuntimeError(f"pagerank did not converge in {max_iter} iterations")
     return rank.select("node", F.col("pr").alias("pagerank"))
