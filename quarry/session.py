@@ -33,6 +33,9 @@ def get_spark(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "q
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    from quarry.ship import ensure_on_executors
+
+    ensure_on_executors(spark)
     return spark
 
 
