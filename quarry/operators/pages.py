@@ -18,7 +18,7 @@ from collections.abc import Iterable, Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
@@ -304,14 +304,19 @@ def clean_titles(pages_titles: DataFrame, suffixes: Iterable[str]) -> DataFrame:
     clean file is a collision as well."""
     t = pages_titles.filter(F.col("raw_title") != "").select("page_id", T.title_key("raw_title").alias("name"))
     t = t.withColumn("new_name", T.py_strip(T.strip_all(F.col("name"), suffixes)))
-    w = Window.partitionBy("new_name").orderBy(F.when(F.col("name") == F.col("new_name"), 0).otherwise(1), "page_id")
-    t = t.withColumn("rn", F.row_number().over(w))
+    changed = (F.col("name") != F.col("new_name")).cast("int")
+    # the file that keeps a name: an already clean one first, else the
+    # lowest page id; an aggregate (partial per task), so a name shared by
+    # very many pages never lands in one sort
+    keeper = t.groupBy("new_name").agg(F.min_by("page_id", F.struct(changed.alias("c"), "page_id")).alias("keeper"))
+    j = t.join(keeper, "new_name")
+    first = F.col("page_id") == F.col("keeper")
     action = (
-        F.when(F.col("name") == F.col("new_name"), F.when(F.col("rn") == 1, "unchanged").otherwise("collision"))
-        .when(F.col("rn") == 1, "renamed")
+        F.when(F.col("name") == F.col("new_name"), F.when(first, "unchanged").otherwise("collision"))
+        .when(first, "renamed")
         .otherwise("collision")
     )
-    return t.select("page_id", "name", "new_name", action.alias("action"))
+    return j.select("page_id", "name", "new_name", action.alias("action"))
 
 
 def snapshot_lookup(requests: DataFrame, pages_titles: DataFrame, pages: DataFrame) -> DataFrame:
