@@ -105,3 +105,20 @@ def test_highlight_and_render(spark):
     shown = {r.doc_id: r for r in render_hits(hits, idx.docs, highlight(idx, hits, q, ["title", "content", "url", "editor"])).collect()}
     assert shown[1].title_html == 'Red <span style="color: red;">fox</span>'
     assert shown[2].title_html == "Blue dog"
+
+
+def test_persisted_index_round_trip(spark, tmp_path):
+    from quarry.operators.index import read_index, write_index
+
+    idx = index(spark)
+    write_index(idx, str(tmp_path / "idx"), term_buckets=4)
+    back = read_index(spark, str(tmp_path / "idx"), idx.analyzers)
+    q = queries(spark, [(1, "the dog"), (2, "quick fox")])
+    a = sorted(tuple(r) for r in S.match_query(idx, q, "content").collect())
+    b = sorted(tuple(r) for r in S.match_query(back, q, "content").collect())
+    assert a == b
+    pa = sorted(tuple(r) for r in S.match_phrase(idx, q, "content").collect())
+    pb = sorted(tuple(r) for r in S.match_phrase(back, q, "content").collect())
+    assert pa == pb
+    # postings are laid out by field and term bucket
+    assert any(p.name.startswith("field=") for p in (tmp_path / "idx" / "postings").iterdir())
