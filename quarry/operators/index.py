@@ -2,16 +2,15 @@
 
 ``build_index`` turns a docs DataFrame into
 
-* ``tokens``      (field, doc_id, pos, term, dl)          one row per token
 * ``postings``    (field, term, doc_id, tf, dl, positions) one row per (term, doc)
 * ``doc_len``     (field, doc_id, len)
 * ``field_stats`` (field, n_docs, avg_len)   docs with a non-empty field only
 * ``term_stats``  (field, term, df)
 
-The doc length is carried on every posting so scoring never joins back to a
-per-document table.  Tokens of one document stay in one partition, so the
-(field, term, doc_id) aggregation collapses map-side and the shuffle moves
-postings, not tokens.
+Postings are cut per document from its token array (no shuffle); the doc
+length rides on every posting, so scoring never joins back to a
+per-document table.  ``analyze`` gives one row per token where a token table
+is wanted (query analysis, the ``tokenize`` operator).
 """
 
 from __future__ import annotations
@@ -93,42 +92,6 @@ def analyze(df: DataFrame, id_col: str, fields: dict[str, object], out_id: str =
     return out
 
 
-def doc_lengths(df: DataFrame, id_col: str, fields: dict[str, object], tokens: DataFrame | None = None) -> DataFrame:
-    """``(field, doc_id, len)`` per document and field (no token explosion for
-    column analyzers)."""
-    parts = []
-    col_fields = {f: a for f, a in fields.items() if not isinstance(a, Dictionary)}
-    if col_fields:
-        parts.append(
-            df.select(
-                F.col(id_col).alias("doc_id"),
-                F.explode(
-                    F.array(
-                        *[
-                            F.struct(
-                                F.lit(f).alias("field"),
-                                F.size(column_tokens(F.coalesce(F.col(f), F.lit("")), a)).alias("len"),
-                            )
-                            for f, a in col_fields.items()
-                        ]
-                    )
-                ).alias("s"),
-            ).select("s.field", "doc_id", "s.len")
-        )
-    dict_fields = {f: a for f, a in fields.items() if isinstance(a, Dictionary)}
-    if dict_fields:
-        # documents without a token in the field are left out: lengths only
-        # feed the field statistics, which count non-empty fields anyway
-        toks = tokens if tokens is not None else analyze(df, id_col, dict_fields)
-        parts.append(
-            toks.filter(F.col("field").isin(list(dict_fields))).select("field", "doc_id", F.col("dl").alias("len")).distinct()
-        )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
 def build_postings(tokens: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """``(field, term, doc_id, tf, dl, positions)``; positions ascending."""
     return tokens.groupBy("field", "term", id_col, "dl").agg(
@@ -156,7 +119,7 @@ class SearchIndex:
 
     docs: DataFrame
     analyzers: dict[str, object]
-    tokens: DataFrame
+    tokens: DataFrame | None
     postings: DataFrame
     doc_len: DataFrame
     field_stats: DataFrame
