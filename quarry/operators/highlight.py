@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.common import bounded_broadcast
+from quarry.operators.common import BROADCAST_ROW_LIMIT, bounded_broadcast
 from quarry.operators.index import URL, SearchIndex
 from quarry.operators.search import query_terms
 
@@ -45,17 +45,21 @@ def mark_terms(text: Column, terms: Column, pieces: str = STD_PIECES) -> Column:
 
 
 def highlight(index: SearchIndex, hits: DataFrame, queries: DataFrame, fields: Sequence[str], text_col: str = "query",
-              terms: DataFrame | None = None) -> DataFrame:
+              terms: DataFrame | None = None, max_hits_per_query: int = 1000) -> DataFrame:
     """``(query_id, doc_id, field, fragment)`` — the whole field with marks,
     for each hit and each requested field that has a matching term.
 
     ``terms`` ``(query_id, field, term)`` overrides the analysed query terms
-    (wildcard search passes the dictionary terms its patterns matched)."""
+    (wildcard search passes the dictionary terms its patterns matched).
+    Hits come from a top-k, so their number is bounded by the number of
+    queries times ``max_hits_per_query``; that bound decides the broadcast.
+    """
     qt = terms if terms is not None else query_terms(index, queries, fields, text_col)
     term_sets = qt.groupBy("query_id", "field").agg(F.collect_set("term").alias("terms"))
     h = hits.select("query_id", "doc_id").distinct()
     stored = index.docs.select("doc_id", *[F.col(f).cast("string").alias(f) for f in fields])
-    shown = stored.join(bounded_broadcast(h), "doc_id")
+    side = bounded_broadcast(h, probe=queries, max_rows=BROADCAST_ROW_LIMIT // max(1, max_hits_per_query))
+    shown = stored.join(side, "doc_id")
     stacked = shown.select(
         "query_id",
         "doc_id",

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
-from quarry.operators.common import bounded_broadcast, rank_within, round_score
+from quarry.operators.common import bounded_broadcast, materialize, rank_within, round_score
 from quarry.operators.index import SearchIndex, analyze
 
 K1 = 1.2
@@ -229,9 +229,10 @@ def multi_phrase_search(index: SearchIndex, queries: DataFrame, field: str = "co
     # query's rarest term can match: phrases are checked on those alone
     qt = query_terms(index, ph.select("query_id", F.col("phrase").alias("_p")), [field], "_p")
     rare = _with_stats(index, qt).groupBy("query_id").agg(F.min_by("term", F.struct("df", "term")).alias("term"))
-    cands = index.postings.filter(F.col("field") == field).join(
-        bounded_broadcast(rare, probe=qt), "term"
-    ).select("query_id", "doc_id")
+    cands = materialize(
+        index.postings.filter(F.col("field") == field).join(bounded_broadcast(rare, probe=qt), "term").select("query_id", "doc_id"),
+        "phrase_candidates",
+    )
     s = phrase_scores(index, ph.withColumnRenamed("phrase", "_p"), [field], "_p", key=("query_id", "phrase_no"), candidates=cands)
     per = s.groupBy("query_id", "doc_id").agg(
         F.count(F.lit(1)).alias("n_matched"), F.sum("score").alias("score")
@@ -263,8 +264,10 @@ def wildcard_terms(index: SearchIndex, patterns: DataFrame, fields: Sequence[str
 
 def wildcard_field_hits(index: SearchIndex, patterns: DataFrame, fields: Sequence[str], text_col: str = "query", case_insensitive: bool = False) -> DataFrame:
     """``(query_id, doc_id, field)`` where some term of the field matches."""
-    mt = wildcard_terms(index, patterns, fields, text_col, case_insensitive)
-    side = bounded_broadcast(mt, probe=None)
+    # matched terms are written once: a pattern such as "*" can match the
+    # whole dictionary, so their size is only known after the match
+    mt = materialize(wildcard_terms(index, patterns, fields, text_col, case_insensitive), "wildcard_terms")
+    side = bounded_broadcast(mt)
     return index.postings.join(side, ["field", "term"]).select("query_id", "doc_id", "field").distinct()
 
 
