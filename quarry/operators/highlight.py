@@ -2,7 +2,8 @@
 
 A field is cut into alternating word / non-word pieces (the same word
 definition as its analyzer); a word piece whose lower-case form is one of
-the query's terms for that field is wrapped in ``<strong>``.  Only fields
+the query's terms for that field (found by a join with the term table) is
+wrapped in ``<strong>``.  Only fields
 with at least one mark are returned, as ES does.  Hits are joined to the
 stored fields after top-k, so only the shown documents are read.
 """
@@ -32,52 +33,58 @@ STD_PIECES = r"\p{IsHan}|[^\p{L}\p{N}]+|[\p{L}\p{N}&&[^\p{IsHan}]]+"
 URL_PIECES = r"[\p{L}\p{N}_]+(?:\.[\p{L}\p{N}_]+)*|[^\p{L}\p{N}_]+|[\p{L}\p{N}_]"
 
 
-def mark_terms(text: Column, terms: Column, pieces: str = STD_PIECES) -> Column:
-    """``text`` with every word piece in ``terms`` (lower-case) wrapped."""
-    parts = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(pieces), 0)
-    return F.array_join(
-        F.transform(
-            parts,
-            lambda p: F.when(F.array_contains(terms, F.lower(p)), F.concat(F.lit(PRE_TAG), p, F.lit(POST_TAG))).otherwise(p),
-        ),
-        "",
-    )
-
-
 def highlight(index: SearchIndex, hits: DataFrame, queries: DataFrame, fields: Sequence[str], text_col: str = "query",
               terms: DataFrame | None = None, max_hits_per_query: int = 1000) -> DataFrame:
     """``(query_id, doc_id, field, fragment)`` — the whole field with marks,
     for each hit and each requested field that has a matching term.
 
     ``terms`` ``(query_id, field, term)`` overrides the analysed query terms
-    (wildcard search passes the dictionary terms its patterns matched).
-    Hits come from a top-k, so their number is bounded by the number of
-    queries times ``max_hits_per_query``; that bound decides the broadcast.
+    (wildcard search passes the dictionary terms its patterns matched, which
+    can be many).  The shown fields are cut into pieces, the pieces meet the
+    term table in a join (never a per-query term array), and each field is
+    put back together from its own pieces.  Hits come from a top-k, so their
+    number is bounded by the number of queries times ``max_hits_per_query``;
+    that bound decides the broadcast.
     """
     qt = terms if terms is not None else query_terms(index, queries, fields, text_col)
-    term_sets = qt.groupBy("query_id", "field").agg(F.collect_set("term").alias("terms"))
+    qt = qt.select("query_id", "field", "term").distinct()
     h = hits.select("query_id", "doc_id").distinct()
     stored = index.docs.select("doc_id", *[F.col(f).cast("string").alias(f) for f in fields])
     side = bounded_broadcast(h, probe=queries, max_rows=BROADCAST_ROW_LIMIT // max(1, max_hits_per_query))
     shown = stored.join(side, "doc_id")
+    url_fields = [f for f in fields if index.analyzers.get(f) == URL]
     stacked = shown.select(
         "query_id",
         "doc_id",
         F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in fields])).alias("s"),
     ).select("query_id", "doc_id", "s.field", "s.text")
-    j = stacked.join(term_sets, ["query_id", "field"])
-    marked = j.select(
+    pieces = stacked.select(
         "query_id",
         "doc_id",
         "field",
-        F.when(
-            F.col("field").isin([f for f in fields if index.analyzers.get(f) == URL]),
-            mark_terms(F.col("text"), F.col("terms"), URL_PIECES),
-        )
-        .otherwise(mark_terms(F.col("text"), F.col("terms")))
-        .alias("fragment"),
+        F.posexplode(
+            F.regexp_extract_all(
+                F.coalesce("text", F.lit("")),
+                F.when(F.col("field").isin(url_fields), F.lit(URL_PIECES)).otherwise(F.lit(STD_PIECES)),
+                0,
+            )
+        ).alias("i", "piece"),
+    ).withColumn("term", F.lower("piece"))
+    hit = qt.withColumn("hit", F.lit(True))
+    marked_pieces = pieces.join(hit, ["query_id", "field", "term"], "left").select(
+        "query_id",
+        "doc_id",
+        "field",
+        "i",
+        F.when(F.col("hit"), F.concat(F.lit(PRE_TAG), "piece", F.lit(POST_TAG))).otherwise(F.col("piece")).alias("p"),
+        F.coalesce("hit", F.lit(False)).alias("hit"),
+    )
+    # one field of one document per group: bounded by the document's size
+    per_field = marked_pieces.groupBy("query_id", "doc_id", "field").agg(
+        F.max("hit").alias("any_hit"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "p"))), lambda x: x["p"]), "").alias("fragment"),
     )
-    return marked.filter(F.col("fragment").contains(PRE_TAG))
+    return per_field.filter("any_hit").select("query_id", "doc_id", "field", "fragment")
 
 
 def highlight_fragments(marked: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quarry.operators import search as S
+from quarry.operators.common import bounded_broadcast
 from quarry.operators.index import STANDARD, build_index
 from quarry.sources import tables as src
 
@@ -471,7 +472,7 @@ def profiles(spark, sf_dir):
     nation name as major; no password column exists or is read."""
     c = src.table(spark, sf_dir, "customer")
     n = src.table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    return c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey, "left").select(
+    return c.join(bounded_broadcast(n), c.c_nationkey == n.n_nationkey, "left").select(
         F.col("c_custkey").cast("string").alias("username"),
         F.col("c_mktsegment").alias("college"),
         F.col("n_name").alias("major"),
