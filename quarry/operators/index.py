@@ -129,6 +129,18 @@ class SearchIndex:
     def analyzer(self, f: str):
         return self.analyzers[f]
 
+    @property
+    def term_keys(self) -> list[str]:
+        """Join keys from terms to postings: a persisted index adds the term
+        bucket, so dynamic partition pruning reads only the buckets that
+        hold a query term."""
+        return ["field", "tb", "term"] if "term_buckets" in self.extra else ["field", "term"]
+
+    def keyed(self, terms: DataFrame) -> DataFrame:
+        """``terms`` with the bucket column when the index is bucketed."""
+        b = self.extra.get("term_buckets")
+        return terms if b is None else terms.withColumn("tb", term_bucket(F.col("term"), b))
+
 
 def doc_postings(stacked: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Postings straight from per-document token arrays, with no shuffle.
@@ -233,12 +245,16 @@ def build_index(docs: DataFrame, fields: dict[str, object], id_col: str = "doc_i
     )
 
 
+def term_bucket(term, buckets: int):
+    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
+
+
 def write_index(index: SearchIndex, path: str, term_buckets: int = 64) -> None:
     """Persist the index.  Postings are partitioned by field and a hash bucket
     of the term and sorted by term inside each file, so a lookup of a few
     terms prunes partitions (dynamic pruning on ``tb``) and row groups."""
     (
-        index.postings.withColumn("tb", F.pmod(F.xxhash64("term"), F.lit(term_buckets)))
+        index.postings.withColumn("tb", term_bucket(F.col("term"), term_buckets))
         .repartition("field", "tb")
         .sortWithinPartitions("term", "doc_id")
         .write.mode("overwrite")
@@ -249,10 +265,14 @@ def write_index(index: SearchIndex, path: str, term_buckets: int = 64) -> None:
     index.doc_len.write.mode("overwrite").partitionBy("field").parquet(f"{path}/doc_len")
     index.field_stats.write.mode("overwrite").parquet(f"{path}/field_stats")
     index.docs.write.mode("overwrite").parquet(f"{path}/docs")
+    index.docs.sparkSession.createDataFrame([(term_buckets,)], "term_buckets int").write.mode("overwrite").json(f"{path}/meta")
 
 
 def read_index(spark, path: str, analyzers: dict[str, object]) -> SearchIndex:
-    postings = spark.read.parquet(f"{path}/postings").drop("tb")
+    """The index written by ``write_index``; postings keep their ``field`` /
+    ``tb`` partition columns, which the search joins use for pruning."""
+    postings = spark.read.parquet(f"{path}/postings")
+    buckets = spark.read.json(f"{path}/meta").first()["term_buckets"]
     return SearchIndex(
         docs=spark.read.parquet(f"{path}/docs"),
         analyzers=dict(analyzers),
@@ -261,6 +281,7 @@ def read_index(spark, path: str, analyzers: dict[str, object]) -> SearchIndex:
         doc_len=spark.read.parquet(f"{path}/doc_len"),
         field_stats=spark.read.parquet(f"{path}/field_stats"),
         term_stats=spark.read.parquet(f"{path}/term_stats"),
+        extra={"term_buckets": int(buckets)},
     )
 
 

@@ -76,8 +76,8 @@ def bm25_field_scores(index: SearchIndex, queries: DataFrame, fields: Sequence[s
         F.lit(K1 * (1 - B)).alias("c0"),
         (K1 * B / F.col("avg_len")).alias("c1"),
     )
-    side = bounded_broadcast(weighted, probe=qtf)
-    hits = index.postings.join(side, ["field", "term"])
+    side = bounded_broadcast(index.keyed(weighted), probe=qtf)
+    hits = index.postings.join(side, index.term_keys)
     return hits.groupBy("query_id", "doc_id", "field").agg(
         F.sum(F.col("w") * F.col("tf") / (F.col("tf") + F.col("c0") + F.col("c1") * F.col("dl"))).alias("score")
     )
@@ -148,8 +148,8 @@ def phrase_scores(index: SearchIndex, phrases: DataFrame, fields: Sequence[str],
         probe=probe,
     )
     qterms = bounded_broadcast(qt.select("query_id", "field", F.col("pos").alias("qpos"), "term"), probe=probe)
-    wanted = bounded_broadcast(qt.select("field", "term").distinct(), probe=probe)
-    post = index.postings.join(wanted, ["field", "term"], "left_semi")
+    wanted = bounded_broadcast(index.keyed(qt.select("field", "term").distinct()), probe=probe)
+    post = index.postings.join(wanted, index.term_keys, "left_semi").drop("tb")
     if candidates is not None:
         post = post.join(bounded_broadcast(candidates.select("doc_id").distinct()), "doc_id", "left_semi")
 
@@ -230,7 +230,9 @@ def multi_phrase_search(index: SearchIndex, queries: DataFrame, field: str = "co
     qt = query_terms(index, ph.select("query_id", F.col("phrase").alias("_p")), [field], "_p")
     rare = _with_stats(index, qt).groupBy("query_id").agg(F.min_by("term", F.struct("df", "term")).alias("term"))
     cands = materialize(
-        index.postings.filter(F.col("field") == field).join(bounded_broadcast(rare, probe=qt), "term").select("query_id", "doc_id"),
+        index.postings.filter(F.col("field") == field)
+        .join(bounded_broadcast(index.keyed(rare.withColumn("field", F.lit(field))), probe=qt), index.term_keys)
+        .select("query_id", "doc_id"),
         "phrase_candidates",
     )
     s = phrase_scores(index, ph.withColumnRenamed("phrase", "_p"), [field], "_p", key=("query_id", "phrase_no"), candidates=cands)
@@ -267,8 +269,8 @@ def wildcard_field_hits(index: SearchIndex, patterns: DataFrame, fields: Sequenc
     # matched terms are written once: a pattern such as "*" can match the
     # whole dictionary, so their size is only known after the match
     mt = materialize(wildcard_terms(index, patterns, fields, text_col, case_insensitive), "wildcard_terms")
-    side = bounded_broadcast(mt)
-    return index.postings.join(side, ["field", "term"]).select("query_id", "doc_id", "field").distinct()
+    side = bounded_broadcast(index.keyed(mt))
+    return index.postings.join(side, index.term_keys).select("query_id", "doc_id", "field").distinct()
 
 
 WILDCARD_FIELDS = ("title", "content", "editor", "url")

@@ -120,5 +120,10 @@ def test_persisted_index_round_trip(spark, tmp_path):
     pa = sorted(tuple(r) for r in S.match_phrase(idx, q, "content").collect())
     pb = sorted(tuple(r) for r in S.match_phrase(back, q, "content").collect())
     assert pa == pb
-    # postings are laid out by field and term bucket
+    # postings are laid out by field and term bucket, and lookups prune them
     assert any(p.name.startswith("field=") for p in (tmp_path / "idx" / "postings").iterdir())
+    plan = S.match_query(back, q, "content")._jdf.queryExecution().executedPlan().toString().lower()
+    assert "dynamicpruning" in plan
+    wa = sorted(tuple(r) for r in S.wildcard_search(idx, queries(spark, [(1, "f?x")])).collect())
+    wb = sorted(tuple(r) for r in S.wildcard_search(back, queries(spark, [(1, "f?x")])).collect())
+    assert wa == wb
