@@ -43,7 +43,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
-    spark = get_spark(cores=cpus, shuffle_partitions=max(8, 2 * cpus), app="quarry-bench")
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(max(8, 2 * cpus))))
+    spark = get_spark(cores=cpus, shuffle_partitions=parts, app="quarry-bench")
     # warm-up (JIT, Python workers); not timed
     R.QUERIES["history_fold"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     times: dict[str, float] = {}
