@@ -29,8 +29,9 @@ B = 0.75
 
 
 def _queries(queries: DataFrame, text_col: str) -> DataFrame:
-    """Drop blank queries (the search box ignores them)."""
-    return queries.filter(F.trim(F.coalesce(F.col(text_col), F.lit(""))) != "")
+    """Drop blank queries (the search box ignores them): no character other
+    than white space."""
+    return queries.filter(F.coalesce(F.col(text_col), F.lit("")).rlike(r"[^\s\p{Z}]"))
 
 
 def query_terms(index: SearchIndex, queries: DataFrame, fields: Sequence[str], text_col: str = "query") -> DataFrame:

@@ -6,10 +6,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
+
+from quarry.functions import text as T
+from quarry.functions.classify import classify_queries
+from quarry.operators import graph as G
+from quarry.operators import highlight as HL
+from quarry.operators import history as H
+from quarry.operators import links as L
+from quarry.operators import pages as P
+from quarry.operators import personal as PR
 from quarry.operators import search as S
 from quarry.operators.common import bounded_broadcast
-from quarry.operators.index import STANDARD, build_index
+from quarry.operators.index import STANDARD, URL, Dictionary, analyze, build_index
 from quarry.sources import tables as src
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,12 +64,7 @@ def q_match_query(spark, sf_dir):
 
 # --- pages, links, titles --------------------------------------------------
 
-from pyspark.sql import functions as F  # noqa: E402
 
-from quarry.functions import text as T  # noqa: E402
-from quarry.operators import graph as G  # noqa: E402
-from quarry.operators import links as L  # noqa: E402
-from quarry.operators import pages as P  # noqa: E402
 
 
 def _parsed(spark, sf_dir):
@@ -241,7 +245,6 @@ def q_attach_pagerank(spark, sf_dir):
 
 # --- index tables and search -----------------------------------------------
 
-from quarry.operators.index import URL, Dictionary, analyze  # noqa: E402
 
 WEB_FIELDS = {"title": STANDARD, "content": STANDARD, "url": URL, "editor": STANDARD, "source": STANDARD}
 
@@ -377,10 +380,6 @@ def q_dictionary_segment(spark, sf_dir):
 
 # --- classify, route, highlight, render -----------------------------------
 
-from quarry.functions.classify import classify_queries  # noqa: E402
-from quarry.operators import highlight as HL  # noqa: E402
-from quarry.operators import history as H  # noqa: E402
-from quarry.operators import personal as PR  # noqa: E402
 
 
 def mixed_queries(spark, sf_dir):

@@ -127,3 +127,14 @@ def test_persisted_index_round_trip(spark, tmp_path):
     wa = sorted(tuple(r) for r in S.wildcard_search(idx, queries(spark, [(1, "f?x")])).collect())
     wb = sorted(tuple(r) for r in S.wildcard_search(back, queries(spark, [(1, "f?x")])).collect())
     assert wa == wb
+
+
+def test_site_whole_url_and_case_insensitive_wildcard(spark):
+    idx = index(spark)
+    s = {(r.query_id, r.doc_id) for r in S.site_search(idx, queries(spark, [(1, "com/x"), (2, "example.org")]), whole_url=True).collect()}
+    # the raw URL string is tested, so "/" inside a query can match
+    assert s == {(1, 1), (2, 4)}
+    w = {(r.query_id, r.doc_id) for r in S.wildcard_search(idx, queries(spark, [(1, "FO?")]), case_insensitive=True).collect()}
+    assert w == {(1, 1), (1, 2), (1, 4)}
+    blank = S.match_query(idx, queries(spark, [(1, " \n\t ")]), "content").collect()
+    assert blank == []
