@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.common import materialize
+from quarry.operators.common import BROADCAST_ROW_LIMIT, materialize
 
 
 def link_edges(records: DataFrame, src: str = "url", links: str = "links") -> DataFrame:
@@ -67,6 +67,29 @@ def pagerank(
     """
     spark = nodes.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    nodes = materialize(nodes.select("node").distinct(), "pr_all_nodes")
+    n_nodes = nodes.count()
+    if n_nodes <= BROADCAST_ROW_LIMIT:
+        # a rank vector of proven size is broadcast into the edge scan: the
+        # edges never move, and adaptive execution stays on
+        return _pagerank_rounds(spark, parts, edges, nodes, alpha, iterations, max_iter, tol, checkpoint_every,
+                                raise_on_no_convergence, heavy_degree, broadcast_rank=True)
+    # Too many nodes to broadcast: edges and ranks are co-partitioned.
+    # Adaptive execution hides the partitioning of a cached plan, which would
+    # re-shuffle the kept edge list every round; inside the loop every join
+    # is co-partitioned and hot sources are split off, so it is switched off
+    # here and restored afterwards (the returned table is a plain scan).
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return _pagerank_rounds(spark, parts, edges, nodes, alpha, iterations, max_iter, tol, checkpoint_every,
+                                raise_on_no_convergence, heavy_degree, broadcast_rank=False)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def _pagerank_rounds(spark, parts, edges, nodes, alpha, iterations, max_iter, tol, checkpoint_every,
+                     raise_on_no_convergence, heavy_degree, broadcast_rank: bool) -> DataFrame:
     deg = materialize(out_degree(edges), "pr_degree")
     all_w = materialize(edges.join(deg, "src").select("src", "dst", "out_degree", (1.0 / F.col("out_degree")).alias("w")), "pr_edges")
     if heavy_degree is None:
@@ -75,7 +98,8 @@ def pagerank(
     # light sources: the edge list is hash-partitioned by source once and
     # kept, so every round joins it with the rank vector on ``src`` without
     # moving the edges again
-    w_edges = all_w.filter(F.col("out_degree") <= heavy_degree).select("src", "dst", "w").repartition(parts, "src").persist()
+    w_edges = all_w.filter(F.col("out_degree") <= heavy_degree).select("src", "dst", "w")
+    w_edges = (w_edges if broadcast_rank else w_edges.repartition(parts, "src")).persist()
     # heavy sources: partitioned by target; their ranks are broadcast
     w_heavy = all_w.filter(F.col("out_degree") > heavy_degree).select("src", "dst", "w").repartition(parts, "dst").persist()
     heavy_src = deg.filter(F.col("out_degree") > heavy_degree).select(F.col("src").alias("node"))
@@ -86,13 +110,23 @@ def pagerank(
         "pr_nodes",
     )
     n_df = flagged.agg(F.count(F.lit(1)).cast("double").alias("n"))
-    rank = materialize(flagged.crossJoin(F.broadcast(n_df)).select("node", "dangling", (1.0 / F.col("n")).alias("pr")), "pr_rank")
+    # the rank vector is kept hash-partitioned by node like the edges are by
+    # source, so both joins of a round are co-partitioned (no rank shuffle)
+    def by_node(df: DataFrame) -> DataFrame:
+        return df if broadcast_rank else df.repartition(parts, "node")
+
+    rank = by_node(materialize(
+        flagged.crossJoin(F.broadcast(n_df)).select("node", "dangling", (1.0 / F.col("n")).alias("pr")), "pr_rank"
+    ))
     rounds = iterations if iterations is not None else max_iter
     cached: list[DataFrame] = []  # rounds kept between two written tables
     for i in range(rounds):
         heavy_rank = rank.join(heavy_src, "node", "left_semi").select(F.col("node").alias("src"), "pr")
         contrib = (
-            w_edges.join(rank.select(F.col("node").alias("src"), "pr"), "src")
+            w_edges.join(
+                F.broadcast(rank.select(F.col("node").alias("src"), "pr")) if broadcast_rank else rank.select(F.col("node").alias("src"), "pr"),
+                "src",
+            )
             .unionByName(w_heavy.join(F.broadcast(heavy_rank), "src"))
             .groupBy("dst")
             .agg(F.sum(F.col("pr") * F.col("w")).alias("c"))
@@ -109,7 +143,7 @@ def pagerank(
             )
         )
         if (i + 1) % checkpoint_every == 0 or i + 1 == rounds:
-            new = materialize(new, "pr_rank")
+            new = by_node(materialize(new, "pr_rank"))
             for c in cached:
                 c.unpersist()
             cached = []
@@ -134,6 +168,7 @@ def pagerank(
     return rank.select("node", F.col("pr").alias("pagerank"))
 
 
+
 def attach_pagerank(records: DataFrame, ranks: DataFrame, key: str = "url") -> DataFrame:
     """Records with ``pagerank`` (0 when the URL has none)."""
     return records.join(ranks.withColumnRenamed("node", key), key, "left").withColumn(

@@ -73,3 +73,17 @@ def test_heavy_sources_split(spark):
     want = reference_pagerank(edges, sorted({a for ab in edges for a in ab}), rounds=5)
     got = {r.node: r.pagerank for r in pagerank(e, nodes, iterations=5, heavy_degree=2).collect()}
     assert all(abs(got[k] - want[k]) < 1e-12 for k in want)
+
+
+def test_co_partitioned_path(spark, monkeypatch):
+    # a node count above the broadcast bound takes the co-partitioned path
+    import quarry.operators.graph as graph_mod
+
+    monkeypatch.setattr(graph_mod, "BROADCAST_ROW_LIMIT", 1)
+    recs, e = cycle(spark)
+    edges = [tuple(r) for r in e.collect()]
+    want = reference_pagerank(edges, ["d", "p1", "p2", "p3", "p4"], rounds=4)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    got = {r.node: r.pagerank for r in graph_mod.pagerank(e, link_nodes(recs, e), iterations=4, checkpoint_every=2).collect()}
+    assert all(abs(got[k] - want[k]) < 1e-12 for k in want)
+    assert spark.conf.get("spark.sql.adaptive.enabled") == before  # restored
