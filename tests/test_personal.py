@@ -1,7 +1,7 @@
 from quarry.operators import personal as PR
 
-HISTORY = [("smile", "计算机", ["news.example.cn", "南开 历史", "志愿者"]), ("wgy", "外国语学院", ["志愿者"]),
-           ("li", "计算机", ["志愿", "劳动", "志愿者"])]
+HISTORY = [("ann", "计算机", ["news.example.cn", "东方 历史", "志愿者"]), ("bob", "外国语学院", ["志愿者"]),
+           ("cy", "计算机", ["志愿", "劳动", "志愿者"])]
 
 
 def history(spark):
@@ -14,7 +14,7 @@ def test_rerank(spark):
         "doc_id long, title string, content string",
     )
     hits = spark.createDataFrame([(10, 1, 1), (10, 2, 2), (10, 3, 3), (20, 4, 1), (20, 3, 2)], "query_id long, doc_id long, rank int")
-    qs = spark.createDataFrame([(10, "smile"), (20, "nobody")], "query_id long, username string")
+    qs = spark.createDataFrame([(10, "ann"), (20, "nobody")], "query_id long, username string")
     got = {(r.query_id, r.doc_id): (r.personal, r.rank) for r in PR.personal_rerank(hits, docs, qs, history(spark)).collect()}
     # doc 2: "志愿者" in content (+5), college in title (+2); doc 3: "志愿者" in title (+1)
     assert got[(10, 2)] == (7.0, 1) and got[(10, 3)] == (1.0, 2) and got[(10, 1)] == (0.0, 3)
@@ -23,7 +23,7 @@ def test_rerank(spark):
 
 
 def test_suggestions(spark):
-    typed = spark.createDataFrame([(1, "li", "志愿"), (2, "smile", "NEWS"), (3, "wgy", "劳"), (4, "ghost", "志")],
+    typed = spark.createDataFrame([(1, "cy", "志愿"), (2, "ann", "NEWS"), (3, "bob", "劳"), (4, "ghost", "志")],
                                   "request_id long, username string, typed string")
     cands = spark.createDataFrame([("志愿者", (1, "志愿者")), ("志愿服务", (2, "志愿服务")), ("劳动节", (3, "劳动节"))],
                                   "candidate string, cand_order struct<a:int,b:string>")

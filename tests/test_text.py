@@ -8,7 +8,7 @@ def one(spark, expr, value, schema="v string"):
 
 
 def test_standard_tokens(spark):
-    assert one(spark, T.standard_tokens("v"), "Hello, WORLD-2024 南开a大学!") == ["hello", "world", "2024", "南", "开", "a", "大", "学"]
+    assert one(spark, T.standard_tokens("v"), "Hello, WORLD-2024 东方a大学!") == ["hello", "world", "2024", "东", "方", "a", "大", "学"]
     assert one(spark, T.standard_tokens("v"), "") == []
 
 
