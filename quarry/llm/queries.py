@@ -6,23 +6,59 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quarry.llm import packing, store, token_file
+from quarry.llm import decontaminate, license_scan, packing, quality_gbt, store, token_file, toxicity
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and tree verdict for every document."""
+    return quality_gbt.assess(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token-id files of all documents, written and read back."""
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    manifest = token_file.write(documents, store.folder(spark, "token-files"))
+    manifest = token_file.write(_table(spark, sf_dir, "documents"), store.folder(spark, "token-files"))
     return token_file.read(manifest, token_file.checksums, token_file.CHECKSUMS)
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and notices in every document."""
+    return license_scan.scan(_table(spark, sf_dir, "documents")).drop("matches")
+
+
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    found = decontaminate.scan(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (hit > 0).alias("contaminated")
+    )
+
+
 def op9_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 1,024 tokens."""
-    return packing.pack(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; labels are learnt from the documents that
+    aren't held out."""
+    out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    documents = _table(spark, sf_dir, "documents")
+    model = toxicity.train(documents, _table(spark, sf_dir, "labels").filter(~out))
+    return toxicity.score(documents, model).select("doc_id", F.coalesce(out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality_rules": op2_quality_rules,
     "op5_token_files": op5_token_files,
+    "op7_license_scan": op7_license_scan,
+    "op8_decontaminate": op8_decontaminate,
     "op9_pack_sequences": op9_pack_sequences,
+    "op10_toxicity": op10_toxicity,
 }

@@ -43,13 +43,21 @@ def texts(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]
 
 
+def field(batch: pa.RecordBatch, column: str) -> pa.Array:
+    """A column, or a field of a struct column as "column.field"."""
+    name, _, inner = column.partition(".")
+    if not inner:
+        return batch[name]
+    return batch[name].flatten()[batch[name].type.get_field_index(inner)]
+
+
 def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut batches so that a piece holds at most ``most`` bytes of ``column``
     (or one row, if that row alone is longer)."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = np.array([0 if n is None else n for n in pc.binary_length(batch[column]).to_pylist()], np.int64)
+        sizes = np.array([0 if n is None else n for n in pc.binary_length(field(batch, column)).to_pylist()], np.int64)
         start, total = 0, 0
         for i, n in enumerate(sizes):
             if i > start and total + n > most:
