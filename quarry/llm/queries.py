@@ -8,13 +8,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, license_scan, packing, quality_gbt, store, token_file, toxicity
+from quarry.llm import decontaminate, license_scan, packing, quality_gbt, store, substring_dedup, token_file, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of 50-word windows that start in an earlier document, removed."""
+    return substring_dedup.summary(_table(spark, sf_dir, "documents"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules and tree verdict for every document."""
     return quality_gbt.assess(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
@@ -26,6 +31,12 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file.read(manifest, token_file.checksums, token_file.CHECKSUMS)
 
 
+def op6_warc_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as monolithic archives, normalised and read back."""
+    raw = warc.write(_table(spark, sf_dir, "pages"), store.folder(spark, "warc"))
+    return warc.read(warc.normalise(raw, store.folder(spark, "warc-members"))).drop("url", "html")
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence phrases and notices in every document."""
     return license_scan.scan(_table(spark, sf_dir, "documents")).drop("matches")
@@ -55,8 +66,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_quality_rules": op2_quality_rules,
     "op5_token_files": op5_token_files,
+    "op6_warc_members": op6_warc_members,
     "op7_license_scan": op7_license_scan,
     "op8_decontaminate": op8_decontaminate,
     "op9_pack_sequences": op9_pack_sequences,

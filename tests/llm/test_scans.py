@@ -185,7 +185,7 @@ def test_toxicity_held_out(spark):
     s, y = map(np.array, zip(*held))
     rank = np.argsort(np.argsort(s))
     auc = (rank[y == 1].mean() - (y.sum() - 1) / 2) / (y == 0).sum()
-    assert auc > 0.93
+    assert auc > 0.9
 
 
 def test_toxicity_odd_rows(spark):
