@@ -11,14 +11,13 @@ own whole-text call.
 from __future__ import annotations
 
 import json
+from collections.abc import Iterable
 from itertools import chain
 
 import numpy as np
 import regex
 import tokenizers
 
-from quarry.llm.text import ragged
-
 #: Pre-tokenizer patterns of the two layouts that may be cut at spaces (fixed values of the public vocabularies).
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -28,6 +27,8 @@ SIMPLE = regex.compile(r"[\x00-\x1b\x20-\x7e¡-¬®-įı-ǃǍ-ǰǴ-ɏ]*")
 ODD_SPACE = regex.compile(rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe1\xa0\x8e|\xe2\x80[\x80-\x8f\xa8-\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 ODD_LEADS = (b"\x1c", b"\x1d", b"\x1e", b"\x1f", b"\xc2", b"\xe1", b"\xe2", b"\xe3")
 RUN_OF_SPACES = b"  "
+#: Marks between chunks, and before a text's first chunk.
+SEPARATOR, FIRST = "\x00", b"\x1c"
 
 
 def byte_letters() -> dict[int, str]:
@@ -38,61 +39,103 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in same} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-class Encoder(dict):
-    """Chunk to index; the ids of all chunks lie in one flat array.
+class Ragged(dict):
+    """Key to index of a run of ids; all runs lie in one flat array."""
+
+    def __init__(self, most: int) -> None:
+        super().__init__()
+        self.most = most
+        self.empty()
+
+    def empty(self) -> None:
+        self.clear()
+        self.ids, self.lens = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        self.starts = self.lens
+
+    def trim(self) -> None:
+        """Start anew beyond ``most`` keys, so memory is bounded whatever the texts."""
+        if len(self) > self.most:
+            self.empty()
+
+    def add(self, ids: np.ndarray, lens: np.ndarray) -> None:
+        self.ids, self.lens = np.concatenate([self.ids, ids.astype(np.uint32)]), np.concatenate([self.lens, lens])
+        self.starts = np.cumsum(self.lens) - self.lens
+
+    def places(self, keys: Iterable, n: int) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, keys), np.int64, n)
+
+    def runs(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the runs one after the other, and the length of each."""
+        lens = self.lens[index]
+        return self.ids[np.repeat(self.starts[index] - (np.cumsum(lens) - lens), lens) + np.arange(int(lens.sum()))], lens
+
+
+class Parts(Ragged):
+    """Pre-token to its ids by the library's model."""
 
-    Emptied at ``most`` chunks, so memory is bounded whatever the texts."""
+    def __init__(self, tokenize, most: int) -> None:
+        self.tokenize, self.letters, self.found, self.sizes = tokenize, byte_letters(), [], []
+        super().__init__(most)
+
+    def __missing__(self, part: str) -> int:
+        if part == SEPARATOR:
+            self.sizes.append(0)
+        else:
+            tokens = self.tokenize(part if part.isascii() and part.isalnum() else part.encode().decode("latin-1").translate(self.letters))
+            self.found += [t.id for t in tokens]
+            self.sizes.append(len(tokens))
+        self[part] = at = len(self)
+        return at
+
+    def settle(self) -> None:
+        if self.sizes:
+            self.add(np.array(self.found, np.uint32), np.array(self.sizes, np.int64))
+            self.found, self.sizes = [], []
+
+
+class Encoder:
+    """Chunks of texts to ids, each distinct chunk and part encoded once."""
 
     def __init__(self, path: str, most: int = 500_000) -> None:
-        super().__init__()
         self.library = tokenizers.Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
-        self.most = most
         layout = json.loads(self.library.to_str())
         normal = [x["type"] for x in (layout["normalizer"] or {}).get("normalizers", [])]
-        pattern = next((x["pattern"].get("Regex") for x in (layout["pre_tokenizer"] or {}).get("pretokenizers", []) if x["type"] == "Split"), None)
+        before = layout["pre_tokenizer"] or {}
+        pattern = next((x["pattern"].get("Regex") for x in before.get("pretokenizers", []) if x["type"] == "Split"), None)
         self.words = normal == ["NFC", "Replace", "Lowercase"] and pattern == WORD_PATTERN
-        self.bytes = not normal and (layout["pre_tokenizer"] or {}).get("type") == "ByteLevel" and not layout["pre_tokenizer"]["add_prefix_space"]
-        self._cut = regex.compile(WORD_PATTERN if self.words else BYTE_PATTERN).findall
-        self._letters = byte_letters()
-        self._tokenize = self.library.model.tokenize
-        self._parts: dict[str, list[int]] = {}
-        self._empty()
-
-    def _empty(self) -> None:
-        self.clear()
-        self._ids, self._lens = np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        self._starts = self._lens
-        self._new_ids: list[int] = []
-        self._new_lens: list[int] = []
-
-    def _part(self, part: str) -> list[int]:
-        ids = self._parts.get(part)
-        if ids is None:
-            if len(self._parts) > self.most:
-                self._parts.clear()
-            written = part if part.isascii() and part.isalnum() else part.encode().decode("latin-1").translate(self._letters)
-            ids = self._parts[part] = [t.id for t in self._tokenize(written)]
-        return ids
-
-    def __missing__(self, chunk: bytes) -> int:
+        self.bytes = not normal and before.get("type") == "ByteLevel" and not before["add_prefix_space"]
+        own = (WORD_PATTERN if self.words else BYTE_PATTERN).replace(r"[^\s\p{L}\p{N}]", r"[^\s\p{L}\p{N}\x00]")
+        self._cut = regex.compile(SEPARATOR + "|" + own).findall
+        self._chunks_seen = Ragged(most)
+        self._parts = Parts(self.library.model.tokenize, most)
+
+    def _learn(self, fresh: list[bytes]) -> None:
+        """Encode new chunks: all the plain ones in one pass of the pattern."""
         if self.bytes:
-            text = chunk[1:].decode() if chunk[:1] == b"\x1c" else " " + chunk.decode()
+            text = [c[1:].decode() if c[:1] == FIRST else " " + c.decode() for c in fresh]
         else:
-            text = chunk.decode()
-        if chunk.isascii() or SIMPLE.fullmatch(text):
-            if self.words:
-                text = text.lower()
-            if text.isalpha() or text[1:].isalpha() and text[0] == " ":  # one part
-                ids = self._part(text)
-            else:
-                ids = [i for part in self._cut(text) for i in self._part(part)]
-        else:
-            ids = self.library.encode(text, add_special_tokens=False).ids
-        self._new_ids.extend(ids)
-        self._new_lens.append(len(ids))
-        self[chunk] = at = len(self)
-        return at
+            text = [c.decode() for c in fresh]
+        odd = [i for i, t in enumerate(text) if SEPARATOR in t or not t.isascii() and not SIMPLE.fullmatch(t) or t[-1].isspace()]
+        if odd:
+            out = set(odd)
+            direct = [e.ids for e in self.library.encode_batch([text[i] for i in odd], add_special_tokens=False)]
+            self._add([fresh[i] for i in odd], np.array([x for ids in direct for x in ids], np.uint32), np.array([len(x) for x in direct], np.int64))
+            fresh, text = ([x for i, x in enumerate(y) if i not in out] for y in (fresh, text))
+        if fresh:
+            joined = SEPARATOR.join(text)
+            parts = self._cut(joined.lower() if self.words else joined)
+            self._parts.trim()
+            index = self._parts.places(parts, len(parts))
+            self._parts.settle()
+            ids, lens = self._parts.runs(index)
+            chunk = np.cumsum(index == self._parts.get(SEPARATOR, -1))
+            self._add(fresh, ids, np.bincount(chunk, lens, len(fresh)).astype(np.int64))
+
+    def _add(self, keys: list[bytes], ids: np.ndarray, lens: np.ndarray) -> None:
+        n = len(self._chunks_seen)
+        self._chunks_seen.update(zip(keys, range(n, n + len(keys)), strict=True))
+        self._chunks_seen.add(ids, lens)
 
     def _whole(self, text: bytes) -> bool:
         if self.words:
@@ -107,29 +150,23 @@ class Encoder(dict):
         if not text:
             return []
         chunks = text.split(b" ")
-        chunks[0] = b"\x1c" + chunks[0]  # the only chunk with no space before it
-        if chunks[0] == b"\x1c":
+        chunks[0] = FIRST + chunks[0]  # the only chunk with no space before it
+        if chunks[0] == FIRST:
             del chunks[0]
         return chunks
 
     def encode(self, docs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in order (uint32), and the offset of each text."""
-        if len(self) > self.most:
-            self._empty()
         whole = [i for i, x in enumerate(docs) if self._whole(x)]
         direct = {i: e.ids for i, e in zip(whole, self.library.encode_batch([docs[i].decode() for i in whole], add_special_tokens=False), strict=True)} if whole else {}
         chunks = [[] if i in direct else self._chunks(x) for i, x in enumerate(docs)]
         counts = np.fromiter(map(len, chunks), np.int64, len(docs))
-        index = np.fromiter(map(self.__getitem__, chain.from_iterable(chunks)), np.int64, int(counts.sum()))
-        if self._new_lens:
-            self._ids = np.concatenate([self._ids, np.array(self._new_ids, np.uint32)])
-            self._lens = np.concatenate([self._lens, np.array(self._new_lens, np.int64)])
-            self._starts = np.cumsum(self._lens) - self._lens
-            self._new_ids, self._new_lens = [], []
-        lens = self._lens[index]
-        flat = self._ids[np.repeat(self._starts[index], lens) + ragged(lens)]
-        before = np.concatenate([[0], np.cumsum(lens)])
-        edges = before[np.concatenate([[0], np.cumsum(counts)])]
+        flat_chunks = list(chain.from_iterable(chunks))
+        self._chunks_seen.trim()
+        if fresh := set(flat_chunks).difference(self._chunks_seen):
+            self._learn(list(fresh))
+        flat, lens = self._chunks_seen.runs(self._chunks_seen.places(flat_chunks, len(flat_chunks)))
+        edges = np.concatenate([[0], np.cumsum(lens)])[np.concatenate([[0], np.cumsum(counts)])]
         if not direct:
             return flat, edges
         out = [np.array(direct[i], np.uint32) if i in direct else flat[edges[i] : edges[i + 1]] for i in range(len(docs))]
