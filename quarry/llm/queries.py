@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, license_scan, packing, quality_gbt, store, substring_dedup, token_file, toxicity, warc
+from quarry.llm import decontaminate, license_scan, packing, partenum, quality_gbt, store, substring_dedup, token_file, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,11 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_gbt.assess(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents linked by 5-word shingles, similarity 0.75."""
+    return partenum.groups(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token-id files of all documents, written and read back."""
     manifest = token_file.write(_table(spark, sf_dir, "documents"), store.folder(spark, "token-files"))
@@ -68,6 +73,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_quality_rules": op2_quality_rules,
+    "op4_ngram_join": op4_ngram_join,
     "op5_token_files": op5_token_files,
     "op6_warc_members": op6_warc_members,
     "op7_license_scan": op7_license_scan,
