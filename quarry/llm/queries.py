@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, license_scan, packing, partenum, quality_gbt, store, substring_dedup, token_file, toxicity, warc
+from quarry.llm import decontaminate, interpolated_lm, license_scan, packing, partenum, quality_gbt, store, substring_dedup, token_file, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,12 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_gbt.assess(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op3_interpolated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document by a deleted-interpolation bigram model."""
+    scored, n, _, _ = interpolated_lm.score(_table(spark, sf_dir, "documents"))
+    return scored.select("doc_id", (F.col("fold") == 0).alias("held_out"), "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents linked by 5-word shingles, similarity 0.75."""
     return partenum.groups(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
@@ -73,6 +79,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_quality_rules": op2_quality_rules,
+    "op3_interpolated_lm": op3_interpolated_lm,
     "op4_ngram_join": op4_ngram_join,
     "op5_token_files": op5_token_files,
     "op6_warc_members": op6_warc_members,
