@@ -30,6 +30,9 @@ MAX_FRAGMENTS = 5
 # ---------------------------------------------------------------------------
 
 STD_PIECES = r"\p{IsHan}|[^\p{L}\p{N}]+|[\p{L}\p{N}&&[^\p{IsHan}]]+"
+# Pieces of a marked text: a marked word, a word, what stands between words.
+MARKED_PIECES = r"<strong>[^<]+</strong>|[\p{L}\p{N}]+|[^\p{L}\p{N}<]+|<"
+SENTENCE_END = r"[.!?]\s|[。！？\n]"
 URL_PIECES = r"[\p{L}\p{N}_]+(?:\.[\p{L}\p{N}_]+)*|[^\p{L}\p{N}_]+|[\p{L}\p{N}_]"
 
 
@@ -88,17 +91,29 @@ def highlight(index: SearchIndex, hits: DataFrame, queries: DataFrame, fields: S
 
 
 def highlight_fragments(marked: DataFrame) -> DataFrame:
-    """Fragments of at most ~``FRAGMENT_SIZE`` characters around sentences
-    that hold a mark, at most ``MAX_FRAGMENTS`` per field, in text order."""
-    sentences = F.regexp_extract_all(F.col("fragment"), F.lit(r"[^.!?。！？]+[.!?。！？]*"), 0)
-    with_mark = F.filter(sentences, lambda s: s.contains(PRE_TAG))
-    trimmed = F.transform(
-        F.slice(with_mark, 1, MAX_FRAGMENTS),
-        lambda s: F.when(F.length(s) <= FRAGMENT_SIZE + 40, F.trim(s)).otherwise(
-            F.trim(F.substring(s, F.greatest(F.lit(1), F.locate(PRE_TAG, s) - 20), FRAGMENT_SIZE + 40))
-        ),
-    )
-    return marked.select("query_id", "doc_id", "field", trimmed.alias("fragments"))
+    """``(query_id, doc_id, field, fragments)``: the marked field cut after
+    sentence ends and, within a sentence, at word limits into fragments of at
+    most ``FRAGMENT_SIZE`` characters (tags not counted; one longer word is a
+    fragment by itself).  Fragments with a mark stay, ``MAX_FRAGMENTS`` at
+    most, in text order; every tag pair is whole."""
+    tags = len(PRE_TAG) + len(POST_TAG)
+
+    def step(acc: Column, p: Column) -> Column:
+        mark = p.startswith(PRE_TAG)
+        size = F.length(p) - F.when(mark, tags).otherwise(0)
+        cut = acc["ended"] | ((acc["n"] + size > FRAGMENT_SIZE) & (acc["n"] > 0))
+        return F.struct(
+            F.when(cut & acc["hit"], F.array_append(acc["done"], acc["cur"])).otherwise(acc["done"]).alias("done"),
+            F.when(cut, p).otherwise(F.concat(acc["cur"], p)).alias("cur"),
+            F.when(cut, size).otherwise(acc["n"] + size).alias("n"),
+            (mark | (~cut & acc["hit"])).alias("hit"),
+            p.rlike(SENTENCE_END).alias("ended"),
+        )
+
+    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("cur"), F.lit(0).alias("n"), F.lit(False).alias("hit"), F.lit(False).alias("ended"))
+    pieces = F.regexp_extract_all(F.col("fragment"), F.lit(MARKED_PIECES), 0)
+    found = F.aggregate(pieces, start, step, lambda acc: F.when(acc["hit"], F.array_append(acc["done"], acc["cur"])).otherwise(acc["done"]))
+    return marked.select("query_id", "doc_id", "field", F.transform(F.slice(found, 1, MAX_FRAGMENTS), lambda x: F.trim(x)).alias("fragments"))
 
 
 def _shown(marks: Column, source: Column, default: str) -> Column:
@@ -108,11 +123,11 @@ def _shown(marks: Column, source: Column, default: str) -> Column:
 
 
 def render_hits(hits: DataFrame, docs: DataFrame, marked: DataFrame) -> DataFrame:
-    """Result rows as the page shows them: highlighted field (marks in red),
-    else the stored field, else the default (``无标题`` for a title)."""
-    per_hit = marked.groupBy("query_id", "doc_id").pivot("field", ["title", "content", "editor", "url"]).agg(
-        F.first("fragment")
-    )
+    """Result rows as the page shows them: the field's fragments joined by a
+    space (marks in red), else the stored field, else the default (``无标题``
+    for a title).  ``marked`` is what ``highlight`` returns."""
+    joined = highlight_fragments(marked).select("query_id", "doc_id", "field", F.array_join("fragments", " ").alias("fragment"))
+    per_hit = joined.groupBy("query_id", "doc_id").pivot("field", ["title", "content", "editor", "url"]).agg(F.first("fragment"))
     d = docs.select("doc_id", F.col("title").alias("s_title"), F.col("content").alias("s_content"),
                     F.col("editor").alias("s_editor"), F.col("url").alias("s_url"))
     j = hits.select("query_id", "doc_id", "rank").join(per_hit, ["query_id", "doc_id"], "left").join(d, "doc_id")
