@@ -108,35 +108,32 @@ def parse_publish_time(c: Column | str) -> Column:
     return F.when(ok, F.try_to_timestamp(v, F.lit(PUBLISH_TIME_FORMAT))).cast("timestamp_ntz")
 
 
-def format_publish_time(c: Column | str) -> Column:
-    """ISO text the index stores: ``yyyy-MM-dd'T'HH:mm:ss``."""
-    return F.date_format(_col(c), "yyyy-MM-dd'T'HH:mm:ss")
-
-
-def label_value(c: Column | str, label: str) -> Column:
-    """``get_text(strip=True).replace(label, '')`` for a span text."""
-    return F.replace(_col(c), F.lit(label), F.lit(""))
-
-
 def last_after_colon(c: Column | str) -> Column:
     """``text.split('：')[-1].strip()``."""
     return py_strip(F.element_at(F.split(_col(c), FULLWIDTH_COLON, -1), -1))
 
 
+#: An escaped character, a wildcard, or a run of plain characters.
+WILDCARD_PART = r"(?s)\\.|[*?]|[^*?\\]+|\\$"
+
+
 def wildcard_to_regex(c: Column | str) -> Column:
-    """Translate a wildcard pattern (``*`` any run, ``?`` one character) to
-    an anchored Java regex; every other character is matched literally."""
-    p = _col(c)
-    # escape regex metacharacters first, then open up the two wildcards
-    esc = F.regexp_replace(p, r"([\\\[\]{}()^$.|+])", r"\\$1")
-    esc = F.replace(esc, F.lit("?"), F.lit("."))
-    esc = F.replace(esc, F.lit("*"), F.lit(".*"))
-    return F.concat(F.lit("^"), esc, F.lit("$"))
+    """Translate a wildcard pattern (``*`` any run, ``?`` one character, a
+    backslash makes the next character literal) to an anchored Java regex;
+    every other character is matched literally."""
+    parts = F.regexp_extract_all(_col(c), F.lit(WILDCARD_PART), 0)
+
+    def part(p: Column) -> Column:
+        literal = F.when(p.startswith("\\") & (F.length(p) > 1), F.substring(p, 2, 2)).otherwise(p)
+        quoted = F.regexp_replace(literal, r"([\\\[\]{}()^$.|+*?])", r"\\$1")
+        return F.when(p == "?", ".").when(p == "*", ".*").otherwise(quoted)
+
+    return F.concat(F.lit("^"), F.array_join(F.transform(parts, part), ""), F.lit("$"))
 
 
 def wildcard_literal(c: Column | str) -> Column:
     """Longest run of plain characters in a wildcard pattern ('' when none):
     every matching term contains it, so it is a cheap guard before the
     regex."""
-    segs = F.regexp_extract_all(_col(c), F.lit(r"[^*?]+"), 0)
+    segs = F.regexp_extract_all(_col(c), F.lit(r"[^*?\\]+"), 0)
     return F.aggregate(segs, F.lit(""), lambda acc, s: F.when(F.length(s) > F.length(acc), s).otherwise(acc))

@@ -15,6 +15,7 @@ is wanted (query analysis, the ``tokenize`` operator).
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field as dfield
 
 from pyspark.sql import Column, DataFrame
@@ -37,7 +38,7 @@ class Dictionary:
     ``words`` is a one-column DataFrame ``word``.  Runs are found with
     ``run_pattern``; text outside runs is analysed with the standard analyzer.
     Characters of a run covered by no dictionary word are single-character
-    tokens.  Token position = character offset of its start (0-based).
+    tokens.  Token position = ordinal of the piece of text it comes from.
     """
 
     words: DataFrame
@@ -234,14 +235,20 @@ def build_index(docs: DataFrame, fields: dict[str, object], id_col: str = "doc_i
     # one row per (field, doc) with a term; empty fields are not counted by
     # the field statistics anyway
     dl = postings.groupBy("field", "doc_id").agg(F.max("dl").alias("len"))
+    stats, terms = field_stats(dl), term_stats(postings)
+    if materialized:
+        # corpus statistics are part of the index: a search reads a few rows
+        # of them instead of aggregating all postings again
+        dl = materialize(dl, "doc_len")
+        stats, terms = materialize(field_stats(dl), "field_stats"), materialize(terms, "term_stats")
     return SearchIndex(
         docs=docs,
         analyzers=dict(fields),
         tokens=None,
         postings=postings,
         doc_len=dl,
-        field_stats=field_stats(dl),
-        term_stats=term_stats(postings),
+        field_stats=stats,
+        term_stats=terms,
     )
 
 
@@ -252,7 +259,14 @@ def term_bucket(term, buckets: int):
 def write_index(index: SearchIndex, path: str, term_buckets: int = 64) -> None:
     """Persist the index.  Postings are partitioned by field and a hash bucket
     of the term and sorted by term inside each file, so a lookup of a few
-    terms prunes partitions (dynamic pruning on ``tb``) and row groups."""
+    terms prunes partitions (dynamic pruning on ``tb``) and row groups.
+
+    Every build goes to a version folder of its own; the small pointer table
+    ``current`` is switched last, so readers see the old index or the new one,
+    and a smaller rebuild leaves no posting of a larger one behind."""
+    spark = index.docs.sparkSession
+    base, version = path, f"v-{uuid.uuid4().hex}"
+    path = f"{base}/{version}"
     (
         index.postings.withColumn("tb", term_bucket(F.col("term"), term_buckets))
         .repartition("field", "tb")
@@ -265,14 +279,17 @@ def write_index(index: SearchIndex, path: str, term_buckets: int = 64) -> None:
     index.doc_len.write.mode("overwrite").partitionBy("field").parquet(f"{path}/doc_len")
     index.field_stats.write.mode("overwrite").parquet(f"{path}/field_stats")
     index.docs.write.mode("overwrite").parquet(f"{path}/docs")
-    index.docs.sparkSession.createDataFrame([(term_buckets,)], "term_buckets int").write.mode("overwrite").json(f"{path}/meta")
+    meta = spark.createDataFrame([(version, term_buckets)], "version string, term_buckets int").coalesce(1)
+    meta.write.mode("overwrite").json(f"{base}/current")
 
 
 def read_index(spark, path: str, analyzers: dict[str, object]) -> SearchIndex:
-    """The index written by ``write_index``; postings keep their ``field`` /
-    ``tb`` partition columns, which the search joins use for pruning."""
+    """The current version of the index written by ``write_index``; postings
+    keep their ``field`` / ``tb`` partition columns, which the search joins use
+    for pruning."""
+    meta = spark.read.schema("version string, term_buckets int").json(f"{path}/current").first()
+    path, buckets = f"{path}/{meta['version']}", meta["term_buckets"]
     postings = spark.read.parquet(f"{path}/postings")
-    buckets = spark.read.json(f"{path}/meta").first()["term_buckets"]
     return SearchIndex(
         docs=spark.read.parquet(f"{path}/docs"),
         analyzers=dict(analyzers),

@@ -80,6 +80,6 @@ def filter_http(df: DataFrame, col: str = "target") -> DataFrame:
     return df.filter(F.col(col).startswith("http"))
 
 
-def filter_links(records: DataFrame, pattern: str = SITE_LINK_PATTERN, col: str = "links") -> DataFrame:
+def filter_links(records: DataFrame, pattern: str, col: str = "links") -> DataFrame:
     """Keep array elements matching the link pattern, duplicates kept."""
     return records.withColumn(col, F.filter(col, lambda h: h.rlike(pattern)))

@@ -28,6 +28,7 @@ BLOCK_TAGS = frozenset(
     "address article aside blockquote body dd details div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section table ul".split()
 )
+# The style and the labels of the page header's spans.
 SOURCE_STYLE = "margin-right:10px;"
 PUBLISH_RE = re.compile(r"发稿时间：(\d{4}-\d{2}-\d{2} \d{2}:\d{2})")
 PERIOD_RE = re.compile(r"期次：(\S+)")
@@ -35,7 +36,7 @@ READCOUNT_RE = re.compile(r"阅读：(\d+)")
 
 PARSED_SCHEMA = (
     "page_id long, url string, title string, source string, publish_raw string, period string, "
-    "readcount string, blocks array<string>, anchors array<struct<href:string,text:string>>"
+    "readcount string, blocks array<string>, anchors array<struct<href:string,text:string>>, error string"
 )
 
 
@@ -170,10 +171,12 @@ def _strip_join(texts: Iterable[str]) -> str:
 def parse_html(html: str | None) -> dict:
     """Raw pieces of one page (plain Python, also used by tests)."""
     parser = _PageParser()
+    error = None
     try:
         parser.feed(html or "")
         parser.close()
-    except Exception:  # noqa: BLE001 - a broken page still yields what was read
+    except Exception as e:  # noqa: BLE001 - a broken page yields what was read, and says so
+        error = f"{type(e).__name__}: {e}"
         parser._close_p()
     title = None
     if parser.title is not None and parser.title_children == 0:
@@ -213,13 +216,14 @@ def parse_html(html: str | None) -> dict:
         "readcount": readcount,
         "blocks": blocks,
         "anchors": anchors,
+        "error": error,
     }
 
 
 def _parse_batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in it:
         rows = [parse_html(h) for h in pdf["html"]]
-        out = pd.DataFrame(rows, columns=["title", "source", "publish_raw", "period", "readcount", "blocks", "anchors"])
+        out = pd.DataFrame(rows, columns=["title", "source", "publish_raw", "period", "readcount", "blocks", "anchors", "error"])
         out.insert(0, "url", pdf["url"].values)
         out.insert(0, "page_id", pdf["page_id"].values)
         yield out
@@ -260,6 +264,11 @@ def to_records(parsed: DataFrame, suffixes: Iterable[str] = (), link_pattern: st
     )
 
 
+def parse_errors(parsed: DataFrame) -> DataFrame:
+    """``(error, n_pages)``: pages whose parse broke off, by error."""
+    return parsed.filter("error is not null").groupBy("error").agg(F.count(F.lit(1)).alias("n_pages"))
+
+
 RECORD_COLUMNS = ["url", "title", "source", "publish_time", "editor", "period", "readcount", "content", "links"]
 
 

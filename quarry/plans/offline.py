@@ -20,7 +20,6 @@ from quarry.operators import pages as P
 from quarry.operators.common import materialize
 from quarry.operators.history import upsert_latest
 from quarry.operators.index import STANDARD, URL, build_index, write_index
-from quarry.operators.links import SITE_LINK_PATTERN
 from quarry.sources import files as IO
 
 WEB_FIELDS = {"title": STANDARD, "content": STANDARD, "url": URL, "editor": STANDARD, "source": STANDARD}
@@ -30,13 +29,16 @@ def index_pages(
     spark: SparkSession,
     pages: DataFrame,
     out_dir: str,
+    link_pattern: str | None,
     title_map: DataFrame | None = None,
     suffixes: Iterable[str] = (),
-    link_pattern: str = SITE_LINK_PATTERN,
     pagerank_rounds: int | None = None,
 ) -> dict[str, DataFrame]:
     """Run the offline flow over ``pages (page_id, url, html)``.
 
+    ``link_pattern``: regular expression of the links that count as edges; it
+    belongs to the crawled site, so there is no default (None: every link).
+
     ``title_map (title_key, url)`` is the crawl's title-to-URL map; without
     one it is built from the pages (last crawl per title wins).  Writes
     records (JSON lines and CSV), rejects (only when there are any) and the

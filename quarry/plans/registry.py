@@ -17,8 +17,9 @@ from quarry.operators import links as L
 from quarry.operators import pages as P
 from quarry.operators import personal as PR
 from quarry.operators import search as S
-from quarry.operators.common import bounded_broadcast
+from quarry.operators.common import bounded_broadcast, materialize
 from quarry.operators.index import STANDARD, URL, Dictionary, analyze, build_index
+from quarry.plans.online import route
 from quarry.sources import tables as src
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -223,15 +224,16 @@ def q_out_degree(spark, sf_dir):
     return G.out_degree(_web_edges(spark, sf_dir))
 
 
-def _pagerank(spark, sf_dir, iterations=10):
-    e = _web_edges(spark, sf_dir)
+def _pagerank(spark, sf_dir):
+    e = materialize(_web_edges(spark, sf_dir), "web_edges")  # the page job runs once
     nodes = G.link_nodes(src.pages(spark, sf_dir), e)
-    return G.pagerank(e, nodes, iterations=iterations)
+    return G.pagerank(e, nodes)
 
 
 @query("pagerank")
 def q_pagerank(spark, sf_dir):
-    """Ten PageRank rounds over the resolved link graph of all pages."""
+    """PageRank of the resolved link graph of all pages, until the change is
+    below the tolerance."""
     pr = _pagerank(spark, sf_dir)
     return pr.select("node", F.round("pagerank", 12).alias("pagerank"))
 
@@ -396,31 +398,9 @@ def q_classify_queries(spark, sf_dir):
     return classify_queries(mixed_queries(spark, sf_dir)).select("query_id", "search_type")
 
 
-def search_all(web, tp, queries):
-    """Route each query to its search type and run every operator on its
-    share of the queries table."""
-    c = classify_queries(queries)
-    parts = [
-        S.site_search(web, c.filter(F.col("search_type") == "site_search"), k=1000).withColumn("search_type", F.lit("site_search")),
-        S.multi_phrase_search(web, c.filter(F.col("search_type") == "multi_phrase_search"), "content", k=10).withColumn(
-            "search_type", F.lit("multi_phrase_search")
-        ),
-        S.one_phrase_search(web, c.filter(F.col("search_type") == "one_phrase_search"), k=1000).withColumn(
-            "search_type", F.lit("one_phrase_search")
-        ),
-        S.wildcard_search(tp, c.filter(F.col("search_type") == "wildcard_search"), k=10).withColumn(
-            "search_type", F.lit("wildcard_search")
-        ),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
 @query("search_all")
 def q_search_all(spark, sf_dir):
-    return search_all(web_index(spark, sf_dir), tp_index(spark, sf_dir), mixed_queries(spark, sf_dir))
+    return route(web_index(spark, sf_dir), tp_index(spark, sf_dir), mixed_queries(spark, sf_dir))
 
 
 def _simple_hits(spark, sf_dir):

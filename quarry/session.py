@@ -4,6 +4,7 @@ checkpoint folder used to cut lineage in iterative jobs."""
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -29,7 +30,6 @@ def get_spark(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "q
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -42,8 +42,9 @@ def get_spark(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "q
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins.  Only when the session has none (local
-    tests) is a folder created and registered, so reliable checkpoints work.
+    The cluster's setting always wins.  Only a local session without one gets
+    a temporary folder; with executors on other machines that would silently
+    lose rows, so there an unset folder is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -51,7 +52,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Unset: only happens in local tests, where a local folder is fine.
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors share (master {sc.master})")
         configured = tempfile.mkdtemp(prefix="quarry-ckpt-", dir=os.environ.get("QUARRY_LOCAL_TMP", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -14,6 +14,7 @@ RECORD_SCHEMA = (
     "readcount string, content string, links array<string>, pagerank double"
 )
 USER_SCHEMA = "map<string, struct<username:string, college:string, major:string>>"
+HISTORY_LINE = "username string, college string, major string, history array<string>"
 HISTORY_SCHEMA = "map<string, struct<username:string, college:string, major:string, history:array<string>>>"
 
 
@@ -73,7 +74,7 @@ def read_state_map(spark: SparkSession, path: str, schema: str) -> DataFrame:
     except AnalysisException:
         return spark.createDataFrame([], f"key string, value {schema[len('map<string, '):-1]}")
     m = raw.select(F.from_json("value", schema, {"mode": "PERMISSIVE"}).alias("m"))
-    return m.select(F.explode("m")).select("key", "value")
+    return m.select(F.explode("m")).select("key", "value").filter("value is not null")
 
 
 def read_users(spark: SparkSession, path: str) -> DataFrame:
@@ -83,14 +84,24 @@ def read_users(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
-    """``(username, college, major, history)``."""
+    """``(username, college, major, history)`` from either form: one JSON
+    object per line (what ``write_history`` writes) or one map of all users
+    (import of a small state file; a whole file is one row)."""
     s = read_state_map(spark, path, HISTORY_SCHEMA)
-    return s.select(
-        F.coalesce("value.username", "key").alias("username"),
-        "value.college",
-        "value.major",
-        F.coalesce("value.history", F.array().cast("array<string>")).alias("history"),
-    )
+    whole = s.select(F.coalesce("value.username", "key").alias("username"), "value.college", "value.major", "value.history")
+    out = whole
+    if path_exists(spark, path):
+        lines = spark.read.text(path).select(F.from_json("value", HISTORY_LINE, {"mode": "PERMISSIVE"}).alias("v"))
+        out = whole.unionByName(lines.filter("v.username is not null").select("v.*"))
+    return out.withColumn("history", F.coalesce("history", F.array().cast("array<string>")))
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.text(path)
+    except AnalysisException:
+        return False
+    return True
 
 
 def write_history(df: DataFrame, path: str) -> None:

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from conftest import html_fixture
 from quarry.operators.index import STANDARD, URL, Dictionary, build_index
+from quarry.operators.links import SITE_LINK_PATTERN
 from quarry.plans.offline import index_pages
 from quarry.plans.online import answer
 
@@ -13,7 +14,7 @@ NAMES = ["full", "bare", "no_title", "whitespace", "links", "divs"]
 def test_offline_flow(spark, tmp_path):
     rows = [(i, f"http://news.example.cn/{n}/{i}.shtml", html_fixture(f"{n}.html")) for i, n in enumerate(NAMES)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
-    out = index_pages(spark, pages, str(tmp_path), suffixes=["-示例大学", "-综合新闻"], pagerank_rounds=5)
+    out = index_pages(spark, pages, str(tmp_path), link_pattern=SITE_LINK_PATTERN, suffixes=["-示例大学", "-综合新闻"], pagerank_rounds=5)
     recs = {r.url: r for r in out["records"].collect()}
     assert len(recs) == 5  # the untitled page is a reject
     assert out["rejects"].count() == 1 and os.path.exists(tmp_path / "rejects")
