@@ -15,8 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.common import BROADCAST_ROW_LIMIT, bounded_broadcast
-from quarry.operators.index import URL, SearchIndex
+from quarry.operators.common import bounded_broadcast, materialize
+from quarry.operators.index import URL, Dictionary, SearchIndex
 from quarry.operators.search import query_terms
 
 # --- fixed values ----------------------------------------------------------
@@ -37,7 +37,7 @@ URL_PIECES = r"[\p{L}\p{N}_]+(?:\.[\p{L}\p{N}_]+)*|[^\p{L}\p{N}_]+|[\p{L}\p{N}_]
 
 
 def highlight(index: SearchIndex, hits: DataFrame, queries: DataFrame, fields: Sequence[str], text_col: str = "query",
-              terms: DataFrame | None = None, max_hits_per_query: int = 1000) -> DataFrame:
+              terms: DataFrame | None = None) -> DataFrame:
     """``(query_id, doc_id, field, fragment)`` — the whole field with marks,
     for each hit and each requested field that has a matching term.
 
@@ -45,17 +45,22 @@ def highlight(index: SearchIndex, hits: DataFrame, queries: DataFrame, fields: S
     (wildcard search passes the dictionary terms its patterns matched, which
     can be many).  The shown fields are cut into pieces, the pieces meet the
     term table in a join (never a per-query term array), and each field is
-    put back together from its own pieces.  Hits come from a top-k, so their
-    number is bounded by the number of queries times ``max_hits_per_query``;
-    that bound decides the broadcast.
+    put back together from its own pieces.  In a run of a dictionary-analysed
+    field every term that occurs is marked, overlapping ones as one.  The hits
+    are written once and counted; the count decides their broadcast.
     """
     qt = terms if terms is not None else query_terms(index, queries, fields, text_col)
     qt = qt.select("query_id", "field", "term").distinct()
     h = hits.select("query_id", "doc_id").distinct()
     stored = index.docs.select("doc_id", *[F.col(f).cast("string").alias(f) for f in fields])
-    side = bounded_broadcast(h, probe=queries, max_rows=BROADCAST_ROW_LIMIT // max(1, max_hits_per_query))
-    shown = stored.join(side, "doc_id")
+    shown = stored.join(bounded_broadcast(materialize(h, "shown_hits")), "doc_id")
     url_fields = [f for f in fields if index.analyzers.get(f) == URL]
+    run_fields = {f: "(?:" + a.run_pattern + ")" for f in fields if isinstance(a := index.analyzers.get(f), Dictionary)}
+    pattern = F.when(F.col("field").isin(url_fields), F.lit(URL_PIECES))
+    is_run = F.lit(False)
+    for f, run in run_fields.items():
+        pattern = pattern.when(F.col("field") == f, F.lit(run + "|" + STD_PIECES))
+        is_run = is_run | ((F.col("field") == f) & F.col("piece").rlike("^" + run + "$"))
     stacked = shown.select(
         "query_id",
         "doc_id",
@@ -68,19 +73,20 @@ def highlight(index: SearchIndex, hits: DataFrame, queries: DataFrame, fields: S
         F.posexplode(
             F.regexp_extract_all(
                 F.coalesce("text", F.lit("")),
-                F.when(F.col("field").isin(url_fields), F.lit(URL_PIECES)).otherwise(F.lit(STD_PIECES)),
+                pattern.otherwise(F.lit(STD_PIECES)),
                 0,
             )
         ).alias("i", "piece"),
     ).withColumn("term", F.lower("piece"))
+    pieces = _with_spans(pieces, qt, is_run) if run_fields else pieces.withColumn("spans", F.lit(None).cast(SPANS))
     hit = qt.withColumn("hit", F.lit(True))
     marked_pieces = pieces.join(hit, ["query_id", "field", "term"], "left").select(
         "query_id",
         "doc_id",
         "field",
         "i",
-        F.when(F.col("hit"), F.concat(F.lit(PRE_TAG), "piece", F.lit(POST_TAG))).otherwise(F.col("piece")).alias("p"),
-        F.coalesce("hit", F.lit(False)).alias("hit"),
+        F.when(F.col("hit"), F.concat(F.lit(PRE_TAG), "piece", F.lit(POST_TAG))).when(F.col("spans").isNotNull(), _marked_run()).otherwise(F.col("piece")).alias("p"),
+        (F.coalesce("hit", F.lit(False)) | F.col("spans").isNotNull()).alias("hit"),
     )
     # one field of one document per group: bounded by the document's size
     per_field = marked_pieces.groupBy("query_id", "doc_id", "field").agg(
@@ -90,6 +96,34 @@ def highlight(index: SearchIndex, hits: DataFrame, queries: DataFrame, fields: S
     return per_field.filter("any_hit").select("query_id", "doc_id", "field", "fragment")
 
 
+SPANS = "array<struct<at: int, n: int>>"
+
+
+def _with_spans(pieces: DataFrame, terms: DataFrame, is_run: Column) -> DataFrame:
+    """``pieces`` with ``spans``: where terms occur in each run (null: nowhere).
+    Every substring of a run no longer than the longest term meets the terms
+    in an equi-join."""
+    keys = ["query_id", "doc_id", "field", "i"]
+    longest = terms.agg(F.max(F.length("term")).alias("longest"))
+    starts = pieces.filter(is_run).crossJoin(F.broadcast(longest)).select(*keys, "term", "longest", F.explode(F.sequence(F.lit(1), F.length("term"))).alias("at"))
+    subs = starts.select(*keys, "term", "at", F.explode(F.expr("sequence(1, least(longest, length(term) - at + 1))")).alias("n")).select(*keys, "at", "n", F.expr("substring(term, at, n)").alias("term"))
+    found = subs.join(terms, ["query_id", "field", "term"], "left_semi").groupBy(*keys).agg(F.collect_set(F.struct("at", "n")).alias("spans"))
+    return pieces.join(found, keys, "left")
+
+
+def _marked_run() -> Column:
+    """A run with the union of its spans wrapped."""
+
+    def inside(k: Column) -> Column:
+        return F.exists("spans", lambda s: (s["at"] <= k) & (k < s["at"] + s["n"]))
+
+    def char(k: Column) -> Column:
+        on = inside(k)
+        return F.concat(F.when(on & ~inside(k - 1), PRE_TAG).otherwise(""), F.substring(F.col("piece"), k, F.lit(1)), F.when(on & ~inside(k + 1), POST_TAG).otherwise(""))
+
+    return F.array_join(F.transform(F.sequence(F.lit(1), F.length("piece")), char), "")
+
+
 def highlight_fragments(marked: DataFrame) -> DataFrame:
     """``(query_id, doc_id, field, fragments)``: the marked field cut after
     sentence ends and, within a sentence, at word limits into fragments of at

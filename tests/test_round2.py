@@ -9,7 +9,8 @@ from quarry import session
 from quarry.functions import text as T
 from quarry.operators import highlight as HL
 from quarry.operators import pages as P
-from quarry.operators.index import STANDARD, build_index, read_index, write_index
+from quarry.operators.index import STANDARD, Dictionary, build_index, read_index, write_index
+from quarry.operators.search import wildcard_terms
 from quarry.sources import files as IO
 
 SF = "/root/testdata/sf0.001"
@@ -83,3 +84,17 @@ def test_parse_errors_are_told(spark, monkeypatch):
     pages = spark.createDataFrame([(1, "u", "<title>t</title>")], "page_id long, url string, html string")
     monkeypatch.undo()
     assert P.parse_errors(P.parse_pages(pages)).count() == 0
+
+
+def test_dictionary_fields_are_marked(spark):
+    docs = spark.createDataFrame([(1, "看东方红日 and 东风", "东方"), (2, "nothing", "")], "doc_id long, content string, title string")
+    words = spark.createDataFrame([("东方",), ("方红",), ("东风",)], "word string")
+    index = build_index(docs, {"content": Dictionary(words), "title": Dictionary(words)})
+    patterns = spark.createDataFrame([(7, "东?"), (8, "?红")], "query_id long, query string")
+    hits = spark.createDataFrame([(7, 1), (8, 1)], "query_id long, doc_id long")
+    terms = wildcard_terms(index, patterns, ["title", "content"])
+    got = {(r.query_id, r.field): r.fragment for r in HL.highlight(index, hits, patterns, ["title", "content"], terms=terms).collect()}
+    assert got == {(7, "content"): "看<strong>东方</strong>红日 and <strong>东风</strong>", (7, "title"): "<strong>东方</strong>", (8, "content"): "看东<strong>方红</strong>日 and 东风"}
+    both = spark.createDataFrame([(7, "content", "东方"), (7, "content", "方红")], "query_id long, field string, term string")
+    got = [r.fragment for r in HL.highlight(index, hits.limit(1), patterns, ["content"], terms=both).collect()]
+    assert got == ["看<strong>东方红</strong>日 and 东风"]
