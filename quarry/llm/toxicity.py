@@ -87,30 +87,33 @@ def fit(docs: list[list[bytes]], y: np.ndarray, buckets: int = 1 << 18, dims: in
         return Model(np.zeros(buckets), float(np.log(share / (1 - share))), sizes, pad)
     names = sorted(set().union(*map(set, docs)))
     at = {w: i for i, w in enumerate(names)}
-    rows, edge = subwords(names, buckets, sizes)
+    cut = [subwords(names[i : i + 50_000], buckets, sizes) for i in range(0, len(names), 50_000)]
+    rows, per = np.concatenate([r.astype(np.int32) for r, _ in cut]), np.concatenate([np.diff(e) for _, e in cut])
+    edge = np.cumsum(per) - per
     bags = []  # by document: table rows, and their parts of its mean
     held_by = np.zeros(buckets, np.int64)
     for d in docs:
         ids, count = np.unique(np.fromiter(map(at.__getitem__, d), np.int64, len(d)), return_counts=True)
-        n = edge[ids + 1] - edge[ids]
+        n = per[ids]
         own, place = np.unique(rows[np.repeat(edge[ids], n) + ragged(n)], return_inverse=True)
-        bags.append((own, np.bincount(place, np.repeat(count / (len(d) + pad) / n, n), len(own))))
+        bags.append((own, np.bincount(place, np.repeat(count / (len(d) + pad) / n, n), len(own)).astype(np.float32)))
         held_by[own] += 1
-    common = held_by >= least_docs
-    bags = [(own[common[own]], part[common[own]]) for own, part in bags]
+    # rows of unseen and rare subwords stay neutral; the others are trained under numbers of their own
+    common = np.flatnonzero(held_by >= least_docs)
+    number = np.full(buckets, -1, np.int32)
+    number[common] = np.arange(len(common))
+    bags = [(number[own][number[own] >= 0], part[number[own] >= 0]) for own, part in bags]
     random = np.random.default_rng(seed)
-    table = np.zeros((buckets, dims))  # rows of unseen and rare subwords stay neutral
+    table = np.zeros((dims, len(common)))
     soft, bias = random.normal(0, 1.0, (dims, 2)), np.zeros(2)
-    seen = np.full(buckets, 1e-10)
+    seen = np.full(len(common), 1e-10)
     for _ in range(-(-steps * batch // len(docs))):
         order = random.permutation(len(docs))
         for start in range(0, len(order), batch):
             own = order[start : start + batch]
             sub, part = (np.concatenate([bags[i][k] for i in own]) for k in (0, 1))
             doc = np.repeat(np.arange(len(own)), [len(bags[i][0]) for i in own])
-            used, place = np.unique(sub, return_inverse=True)
-            held = table[used]
-            mean = np.stack([np.bincount(doc, part * held[place, k], len(own)) for k in range(dims)], axis=1)
+            mean = np.stack([np.bincount(doc, part * table[k][sub], len(own)) for k in range(dims)], axis=1)
             logits = mean @ soft + bias
             p = np.exp(logits - logits.max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
@@ -118,14 +121,16 @@ def fit(docs: list[list[bytes]], y: np.ndarray, buckets: int = 1 << 18, dims: in
             wrong[np.arange(len(own)), y[own].astype(int)] -= 1
             wrong /= len(own)
             back = wrong @ soft.T
-            step = np.stack([np.bincount(place, part * back[doc, k], len(used)) for k in range(dims)], axis=1)
-            seen[used] += (step**2).mean(axis=1)
-            table[used] -= rate * step / np.sqrt(seen[used])[:, None]
+            step = np.stack([np.bincount(sub, part * back[doc, k], len(common)) for k in range(dims)])
+            seen += (step**2).mean(axis=0)
+            table -= rate * step / np.sqrt(seen)
             move, lean = mean.T @ wrong, wrong.sum(axis=0)
             soft -= 0.02 * move
             bias -= 0.5 * lean
     line = soft[:, 1] - soft[:, 0]
-    return Model(table @ line, float(bias[1] - bias[0]), sizes, pad)
+    weight = np.zeros(buckets)
+    weight[common] = line @ table
+    return Model(weight, float(bias[1] - bias[0]), sizes, pad)
 
 
 class Scores(dict):
