@@ -9,20 +9,23 @@ from pyspark.sql import functions as F
 # query batch) is broadcast.  Beyond it the join stays a shuffle join and
 # adaptive execution decides at run time.
 BROADCAST_ROW_LIMIT = 2_000_000
+BROADCAST_BYTE_LIMIT = 256 << 20
 
 SCORE_DECIMALS = 4
 
 
-def bounded_broadcast(df: DataFrame, probe: DataFrame | None = None, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast ``df`` only when a row count proves it small.
+def bounded_broadcast(df: DataFrame, probe: DataFrame | None = None, max_rows: int = BROADCAST_ROW_LIMIT, max_bytes: int = BROADCAST_BYTE_LIMIT) -> DataFrame:
+    """Broadcast ``df`` only when rows and bytes prove it small.
 
-    ``probe`` is a cheap table whose row count bounds ``df`` (for example the
-    analysed query terms bound the query terms joined to unique term
-    statistics); it defaults to ``df``.  The count stops at ``max_rows + 1``.
+    ``probe`` is a cheap table that bounds ``df`` (for example the analysed
+    query terms bound the query terms joined to unique term statistics); it
+    defaults to ``df``.  Its rows are measured as text, so long values count;
+    the scan stops at ``max_rows + 1``.
     """
     src = df if probe is None else probe
-    n = src.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    width = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in src.columns])))
+    n, size = src.select(width.alias("w")).limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum("w"), F.lit(0))).first()
+    return F.broadcast(df) if n <= max_rows and size <= max_bytes else df
 
 
 def round_score(c: Column) -> Column:

@@ -41,9 +41,7 @@ def cached_index(kind: str, spark: SparkSession, sf_dir: str, tables: list[str],
     later queries as long as its input files are unchanged (same path, size
     and modification time).  The index tables themselves are written to the
     shared checkpoint folder, so reuse reads them, it does not recompute."""
-    key = (kind, sf_dir, spark.sparkContext.applicationId, src.fingerprint(sf_dir, tables))
-    if key[-1] is None:
-        return build()
+    key = (kind, sf_dir, spark.sparkContext.applicationId, src.fingerprint(spark, sf_dir, tables))
     if key not in _INDEXES:
         _INDEXES[key] = build()
     return _INDEXES[key]

@@ -6,23 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def fingerprint(sf_dir: str, names: list[str]):
-    """(path, size, mtime) of each input table when it is on a local file
-    system; None otherwise (callers then do not reuse derived tables)."""
-    import os
-
+def fingerprint(spark: SparkSession, sf_dir: str, names: list[str]):
+    """(path, size, modification time) of every file of the input tables, by
+    the file system that Spark reads them from; a rewritten file changes it."""
     out = []
     for n in names:
-        p = f"{sf_dir}/{n}.parquet"
-        if "://" in p and not p.startswith("file://"):
-            return None
-        p = p.removeprefix("file://")
-        try:
-            st = os.stat(p)
-        except OSError:
-            return None
-        out.append((p, st.st_size, st.st_mtime_ns))
-    return tuple(out)
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{n}.parquet")
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(path, True)
+        while files.hasNext():
+            f = files.next()
+            out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(out))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from quarry import session
 from quarry.functions import text as T
+from quarry.operators import common as C
 from quarry.operators import highlight as HL
 from quarry.operators import pages as P
 from quarry.operators.index import STANDARD, Dictionary, build_index, read_index, write_index
 from quarry.operators.search import wildcard_terms
 from quarry.sources import files as IO
+from quarry.sources import tables as src
 
 SF = "/root/testdata/sf0.001"
 
@@ -98,3 +100,19 @@ def test_dictionary_fields_are_marked(spark):
     both = spark.createDataFrame([(7, "content", "东方"), (7, "content", "方红")], "query_id long, field string, term string")
     got = [r.fragment for r in HL.highlight(index, hits.limit(1), patterns, ["content"], terms=both).collect()]
     assert got == ["看<strong>东方红</strong>日 and 东风"]
+
+
+def test_broadcast_only_when_rows_and_bytes_are_small(spark):
+    def broadcast(df):
+        return "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+
+    df = spark.createDataFrame([(i, "x" * 1000) for i in range(10)], "a long, b string")
+    assert broadcast(C.bounded_broadcast(df)) and not broadcast(C.bounded_broadcast(df, max_rows=9)) and not broadcast(C.bounded_broadcast(df, max_bytes=9_000))
+
+
+def test_fingerprint_sees_files_rewritten_in_a_folder(spark, tmp_path):
+    df = spark.range(5)
+    df.write.parquet(str(tmp_path / "t.parquet"))
+    one = src.fingerprint(spark, str(tmp_path), ["t"])
+    df.union(df).write.mode("overwrite").parquet(str(tmp_path / "t.parquet"))
+    assert one and src.fingerprint(spark, f"file://{tmp_path}", ["t"]) != one
