@@ -6,7 +6,7 @@ from conftest import html_fixture
 from quarry.operators.index import STANDARD, URL, Dictionary, build_index
 from quarry.operators.links import SITE_LINK_PATTERN
 from quarry.plans.offline import index_pages
-from quarry.plans.online import answer
+from quarry.plans.online import answer, history_saves, route
 
 NAMES = ["full", "bare", "no_title", "whitespace", "links", "divs"]
 
@@ -20,7 +20,7 @@ def test_offline_flow(spark, tmp_path):
     assert out["rejects"].count() == 1 and os.path.exists(tmp_path / "rejects")
     assert abs(sum(r.pagerank for r in out["pagerank"].collect()) - 1.0) < 1e-9
     assert all(r.pagerank > 0 for r in recs.values())
-    assert os.path.exists(tmp_path / "index" / "postings")
+    assert os.path.exists(tmp_path / "index" / "current")
     assert spark.read.json(str(tmp_path / "records_json")).count() == 5
 
 
@@ -47,3 +47,8 @@ def test_online_flow(spark):
     # "dog" lifts doc 2 to the top
     assert [r.doc_id for r in sorted(by_q[1], key=lambda r: r.rank)] == [2, 1]
     assert 'color: red' in [r for r in by_q[2]][0].url_html
+    # an explicit type wins; an unknown one is an ordinary search
+    asked = qs.withColumn("search_type", F.when(F.col("query_id") == 2, "no such type").when(F.col("query_id") == 1, "wildcard_search"))
+    types = {r.query_id: r.search_type for r in route(web, tp, asked).collect()}
+    assert types == {2: "simple_search", 3: "wildcard_search"}
+    assert sorted((r.username, r.op, r.query) for r in history_saves(qs).collect()) == [("u1", "save", "a.example.com"), ("u1", "save", "the fox"), ("u2", "save", "f?x")]
