@@ -3,25 +3,26 @@
 Two documents link when their sets of 5-word shingles have a Jaccard
 similarity of at least 0.75; the result is each document's connected component.
 
-Signatures.  The shingle domain is partitioned by hash, into a number of parts
-that belongs to a band of set sizes (a set near a border takes part in both
-bands, so linked sets always meet in one).  The subsets enumerated are the
-single parts: a signature is a part's number with exactly the shingles that
-the set has there.  Linked sets of a and b shingles differ in at most
-(a + b) / 7 of them, and each difference disturbs one part, so of more than
-that many filled parts one at least is the same in both.
+Signatures.  The shingle domain is partitioned by hash, anew for each band of
+set sizes (a set near a border takes part in both bands, so linked sets always
+meet in one).  The subsets enumerated are the single parts: a signature is a
+part's number with exactly the shingles that the set has there.  The parts are
+so fine that a set's shingles lie in different ones, but for a chance that one
+spare signature covers; so of linked sets x and y at most |x - y| signatures
+of x are not y's.
 
 Selection.  Every task sends its signatures, packed, to shards by hash; a shard
 counts the distinct sets that have each one.  Only repeated signatures come
-back, and of a set with at most D differing parts only the D + 1 rarest are
-used (rarest first is one order for all sets, so linked sets still share one
-of them).  Passages that many documents share are never among the rarest,
-unless hardly anything else is there.
+back, each set's in one order for all sets: rarest first.  Linked sets share a
+signature that stands within the first |x - y| + 1 of the one and the first
+|y - x| + 1 of the other, and similarity bounds both by the sizes; other pairs
+aren't looked at.  Passages that many documents share are never among the
+rarest, unless hardly anything else is there.
 
 Checking.  Within a signature's sets, the one with the fewest signatures of its
 own is the centre and is compared exactly with the others; linked sets fall
 into components, and only signatures whose sets are still in several
-components go on, with twice as many centres each round, until none is left.
+components go on, with many times more centres each round, until none is left.
 So a group of thousands of copies costs one comparison each, no group is ever
 expanded into all its pairs at once, and no link between components is missed.
 
@@ -46,12 +47,16 @@ from quarry.llm.text import Words, field, mixed, pieces, spaced_lower, starts, t
 #: Similarity as a fraction, so that every bound is exact in integers.
 NUMERATOR, DENOMINATOR = 3, 4
 SHINGLE = 5
+#: Bits of a part's number, and signatures of a set that may share a part with another set's shingle by chance.
+PART_BITS, SPARE = 40, 1
 #: Text bytes whose signatures one shard holds.
 SHARD_BYTES = 24_000_000
+#: A round takes so many times the centres that have been compared before.
+CENTRES = 16
 #: Bits of the filter that tells which sets' shingles are needed for checking.
 FILTER_BITS = 26
-PACKETS = "shard int, sids binary, counts binary, shorts binary, bands binary, sizes binary, keys binary"
-REPEATED = "sid long, band int, size int, short int, token long, df int"
+PACKETS = "shard int, sids binary, counts binary, totals binary, bands binary, sizes binary, keys binary"
+REPEATED = "sid long, band int, size int, total int, token long, df int"
 
 
 class Sets:
@@ -81,9 +86,15 @@ class Sets:
         self.sids = np.where(self.sizes > 0, mixed(sums[self.edges[1:]] - sums[self.edges[:-1]] + self.sizes.astype(np.uint64)) | np.uint64(1), np.uint64(0)).view(np.int64)
 
 
-def differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Shingles in which linked sets of a and b shingles may differ, at most."""
-    return (a + b) - 2 * -(-NUMERATOR * (a + b) // (NUMERATOR + DENOMINATOR))
+def missing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Shingles that a set of ``a`` may have and a linked one of ``b`` not, at most."""
+    return a - -(-NUMERATOR * (a + b) // (NUMERATOR + DENOMINATOR))
+
+
+def reach(a, b):
+    """Places in order, as a column, within which a set of ``a`` shingles has
+    the first signature that it shares with a linked one of ``b``."""
+    return a - F.ceil((a + b) * NUMERATOR / (NUMERATOR + DENOMINATOR)) + 1 + SPARE
 
 
 def band_of(size: np.ndarray) -> np.ndarray:
@@ -91,13 +102,6 @@ def band_of(size: np.ndarray) -> np.ndarray:
     return ((np.frexp(size.astype(float))[1] - 1) // 2).astype(np.int64)
 
 
-def parts_of(band: int) -> int:
-    """Parts of the domain in a band: a set has at most two shingles a part on
-    average, so the parts it fills outnumber the differences by far; small
-    sets get a part for nearly every shingle."""
-    return 1 << 20 if band < 3 else (8 * 4**band) // 3
-
-
 def signatures(sets: Sets, use: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """By band: documents, their numbers of signatures, and the signatures
     (64-bit hashes), for the documents ``use``."""
@@ -107,29 +111,27 @@ def signatures(sets: Sets, use: np.ndarray) -> Iterator[tuple[int, np.ndarray, n
         docs = np.flatnonzero(use & (low <= band) & (band <= high))
         if not len(docs):
             continue
-        parts = parts_of(band)
         number = np.full(len(sets.sizes), -1)
         number[docs] = np.arange(len(docs))
         mine = number[sets.owner] >= 0
         shingles, owner = sets.shingles[mine], number[sets.owner[mine]]
         salted = mixed(shingles ^ np.uint64(0xA24BAED4963EE407 + band))
-        part = (salted >> np.uint64(32)).astype(np.int64) * parts >> 32
-        slot = owner * parts + part
+        slot = (owner << PART_BITS) + (salted >> np.uint64(64 - PART_BITS)).astype(np.int64)
         order = np.argsort(slot, kind="stable")
         slot = slot[order]
         first = np.ones(len(slot), bool)
         first[1:] = slot[1:] != slot[:-1]
         at = np.flatnonzero(first)
         sums = np.add.reduceat(mixed(salted[order]), at) if len(at) else np.zeros(0, np.uint64)
-        tokens = mixed(sums ^ mixed((slot[first] % parts).astype(np.uint64) + (np.uint64(band) << np.uint64(48))))
-        yield band, docs, np.bincount(slot[first] // parts, minlength=len(docs)), tokens
+        tokens = mixed(sums ^ mixed((slot[first] & ((1 << PART_BITS) - 1)).astype(np.uint64) + (np.uint64(band) << np.uint64(48))))
+        yield band, docs, np.bincount(slot[first] >> PART_BITS, minlength=len(docs)), tokens
 
 
 def _packets(documents: DataFrame, shards: int) -> DataFrame:
     """Packed signatures by shard.  A packet holds, for each set that has any
-    in the shard, its class, band, size, how many its signatures fall short of
-    D + 1 (negative: they exceed it), and 32 bits of each signature; with the
-    shard's number that makes a signature, so their space grows with the data."""
+    in the shard, its class, band, size, number of all its signatures, and 32
+    bits of each signature; with the shard's number that makes a signature, so
+    their space grows with the data."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
@@ -140,12 +142,10 @@ def _packets(documents: DataFrame, shards: int) -> DataFrame:
             use &= sets.sizes > 0
             held = []
             for band, docs, count, tokens in signatures(sets, use):
-                sizes = sets.sizes[docs]
-                short = differing(sizes, DENOMINATOR * sizes // NUMERATOR) + 1 - count
-                held.append((sets.sids[docs], np.full(len(docs), band), sizes, short, count, tokens))
+                held.append((sets.sids[docs], np.full(len(docs), band), sets.sizes[docs], count, count, tokens))
             if not held:
                 continue
-            sids, bands, sizes, shorts = (np.concatenate([h[k] for h in held]) for k in range(4))
+            sids, bands, sizes, totals = (np.concatenate([h[k] for h in held]) for k in range(4))
             owner = np.repeat(np.arange(len(sids)), np.concatenate([h[4] for h in held]))
             tokens = np.concatenate([h[5] for h in held])
             shard = ((tokens >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
@@ -155,10 +155,10 @@ def _packets(documents: DataFrame, shards: int) -> DataFrame:
             for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                 some = order[a:b]
                 who, count = np.unique(owner[some], return_counts=True)
-                columns = ((sids, "<i8"), (count, "<u4"), (shorts, "<i4"), (bands, "u1"), (sizes, "<u4"))
+                columns = ((sids, "<i8"), (count, "<u4"), (totals, "<u4"), (bands, "u1"), (sizes, "<u4"))
                 packed = [(x if x is count else x[who]).astype(t).tobytes() for x, t in columns]
                 rows.append((int(shard[some[0]]), packed[0], *(zlib.compress(x, 1) for x in packed[1:]), (tokens[some] & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if i == 0 else pa.binary()) for i, c in enumerate(zip(*rows, strict=True))], ["shard", "sids", "counts", "shorts", "bands", "sizes", "keys"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if i == 0 else pa.binary()) for i, c in enumerate(zip(*rows, strict=True))], ["shard", "sids", "counts", "totals", "bands", "sizes", "keys"])
 
     return documents.select(F.col("text").cast("string").alias("text")).mapInArrow(task, PACKETS)
 
@@ -170,7 +170,7 @@ def _repeated(packets: DataFrame) -> DataFrame:
         raw = lambda c, t, z=True: np.concatenate([np.frombuffer(zlib.decompress(x) if z else x, t) for x in group[c]])
         per, keys = raw("counts", "<u4").astype(np.int64), raw("keys", "<u4", False)
         owner = np.repeat(np.arange(len(per)), per)
-        sids, shorts, bands, sizes = raw("sids", "<i8", False), raw("shorts", "<i4"), raw("bands", "u1"), raw("sizes", "<u4")
+        sids, totals, bands, sizes = raw("sids", "<i8", False), raw("totals", "<u4"), raw("bands", "u1"), raw("sizes", "<u4")
         order = np.argsort(keys, kind="stable")
         same = np.flatnonzero(keys[order][1:] == keys[order][:-1])
         some = np.zeros(len(keys), bool)  # in the order of keys: occurs twice or more
@@ -187,17 +187,20 @@ def _repeated(packets: DataFrame) -> DataFrame:
         df = df[place] if len(key) else df
         out = df > 1
         token = (int(group["shard"].iloc[0]) << 32) + key.astype(np.int64)
-        return pd.DataFrame({"sid": sid[out], "band": bands[who][out].astype(np.int32), "size": sizes[who][out].astype(np.int32), "short": shorts[who][out].astype(np.int32), "token": token[out], "df": df[out].astype(np.int32)})
+        return pd.DataFrame({"sid": sid[out], "band": bands[who][out].astype(np.int32), "size": sizes[who][out].astype(np.int32), "total": totals[who][out].astype(np.int32), "token": token[out], "df": df[out].astype(np.int32)})
 
     return packets.groupBy("shard").applyInPandas(count, REPEATED)
 
 
 def _candidates(repeated: DataFrame) -> DataFrame:
-    """token, sid, size, own: the rarest signatures of each set, enough of them
-    for its band; own: signatures that no other set has."""
+    """token, sid, size, own (signatures that no other set has) and place (in
+    the order of all the set's signatures), for the signatures that a linked
+    set of any size might share first."""
     by = Window.partitionBy("sid", "band")
-    ranked = repeated.withColumn("rank", F.row_number().over(by.orderBy("df", "token"))).withColumn("n", F.count("*").over(by))
-    return ranked.filter(F.col("rank") <= F.col("short") + F.col("n")).select("token", "sid", "size", (-F.col("short") - F.col("n")).alias("own"))
+    ranked = repeated.withColumn("rank", F.row_number().over(by.orderBy("df", "token"))).withColumn("own", F.col("total") - F.count("*").over(by))
+    least = F.ceil(F.col("size") * NUMERATOR / DENOMINATOR)
+    placed = ranked.withColumn("place", F.col("own") + F.col("rank"))
+    return placed.filter(F.col("place") <= reach(F.col("size"), least)).select("token", "sid", "size", "own", F.col("place").cast("int").alias("place"))
 
 
 def _needed(sids: DataFrame) -> np.ndarray:
@@ -275,9 +278,8 @@ def components(edges: DataFrame) -> DataFrame:
     while edges.limit(1).count():
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         parent = store.table(both.groupBy("u").agg(F.min("v").alias("p")).select("u", F.least("u", "p").alias("p")), "component-parents")
-        for _ in range(2):
-            up = parent.select(F.col("u").alias("p"), F.col("p").alias("pp"))
-            parent = store.table(parent.join(up, "p", "left").select("u", F.coalesce("pp", "p").alias("p")), "component-parents")
+        up = parent.select(F.col("u").alias("p"), F.col("p").alias("pp"))
+        parent = store.table(parent.join(up, "p").join(parent.select(F.col("u").alias("pp"), F.col("p").alias("to")), "pp").select("u", F.col("to").alias("p")), "component-parents")
         roots = parent.select(F.col("u").alias("sid"), F.col("p").alias("root")) if roots is None else _follow(roots, parent)
         roots = store.table(roots, "component-roots")
         a = parent.select(F.col("u"), F.col("p").alias("pu"))
@@ -306,36 +308,58 @@ def classes(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(task, "doc_id long, sid long, n_shingles long")
 
 
-def links(documents: DataFrame) -> DataFrame:
-    """Links (u, v) between classes that connect every component fully: a pair
-    is left out only where its ends are connected by others already."""
+def links(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links (u, v) between classes that connect every component fully (a pair
+    is left out only where its ends are connected by others already), and the
+    components (sid, root) of all linked classes."""
     size = documents.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
     shards = max(16, -(-size // SHARD_BYTES))
     rest = store.table(_candidates(_repeated(_packets(documents, shards))), "partenum-candidates")
-    first = rest.groupBy("token").agg(F.min(F.struct("own", "sid", "size")).alias("c"))
-    pairs = rest.join(first, "token").select(F.col("c.sid").alias("u"), F.col("sid").alias("v"), F.col("c.size").alias("m"), "size")
-    edges = _checked(documents, pairs.filter("u != v"))
-    done = 1
+    shingles = _shingles(documents, rest.select("sid").distinct())
+    first = rest.groupBy("token").agg(F.min(F.struct("own", "sid", "size", "place")).alias("c"))
+    pairs = rest.join(first, "token").filter(F.col("sid") != F.col("c.sid")).select(F.col("c.sid").alias("u"), F.col("sid").alias("v"), F.col("c.size").alias("m"), "size", F.col("c.place").alias("at"), "place")
+    edges = _checked(pairs.filter(_possible()).select("u", "v"), shingles)
+    roots, done = components(edges), 1
     while True:
-        roots = components(edges)
         # signatures whose sets are in several components, with sets not yet compared as centres
         now = rest.join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
         split = now.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("n")).filter((F.col("a") != F.col("b")) & (F.col("n") > done + 1)).select("token")
-        open_ = store.table(now.join(split, "token", "left_semi").withColumn("place", F.row_number().over(Window.partitionBy("token").orderBy("own", "sid"))), "partenum-open")
+        open_ = store.table(now.join(split, "token", "left_semi").withColumn("turn", F.row_number().over(Window.partitionBy("token").orderBy("own", "sid"))), "partenum-open")
         if not open_.limit(1).count():
-            return edges
-        centres = open_.filter(F.col("place").between(done + 1, 2 * done + 1)).select("token", F.col("sid").alias("u"), F.col("size").alias("m"), F.col("root").alias("other"), F.col("place").alias("before"))
-        pairs = centres.join(open_, "token").filter((F.col("place") > F.col("before")) & (F.col("root") != F.col("other"))).select("u", F.col("sid").alias("v"), "m", "size")
-        edges = store.table(edges.unionByName(_checked(documents, pairs)), "partenum-links")
-        done = 2 * done + 1
-
-
-def _checked(documents: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (u, v; sizes m and size) that link, compared by whole sets."""
-    fit = (F.least("m", "size") * DENOMINATOR) >= (F.greatest("m", "size") * NUMERATOR)
-    pairs = store.table(pairs.filter(fit).select("u", "v").distinct(), "partenum-pairs")
-    needed = pairs.select(F.col("u").alias("sid")).unionByName(pairs.select(F.col("v").alias("sid"))).distinct()
-    return store.table(_linked(pairs, _shingles(documents, needed)), "partenum-links")
+            return edges, roots
+        last = done + CENTRES * done
+        centres = open_.filter(F.col("turn").between(done + 1, last)).select("token", F.col("sid").alias("u"), F.col("size").alias("m"), F.col("place").alias("at"), F.col("root").alias("other"), F.col("turn").alias("before"))
+        pairs = centres.join(open_, "token").filter((F.col("turn") > F.col("before")) & (F.col("root") != F.col("other")) & _possible())
+        found = _checked(pairs.select("u", F.col("sid").alias("v")), shingles)
+        edges = edges.unionByName(found)
+        roots = _merged(roots, found)
+        done = last
+
+
+def _possible():
+    """Whether sets of ``m`` and ``size`` shingles with a signature in common,
+    at places ``at`` and ``place``, may be linked by it."""
+    sizes = F.least("m", "size") * DENOMINATOR >= F.greatest("m", "size") * NUMERATOR
+    return sizes & (F.col("at") <= reach(F.col("m"), F.col("size"))) & (F.col("place") <= reach(F.col("size"), F.col("m")))
+
+
+def _checked(pairs: DataFrame, shingles: DataFrame) -> DataFrame:
+    """The pairs (u, v) that link, compared by whole sets."""
+    pairs = store.table(pairs.distinct(), "partenum-pairs")
+    return store.table(_linked(pairs, shingles), "partenum-links")
+
+
+def _merged(roots: DataFrame, found: DataFrame) -> DataFrame:
+    """The components after more links: those links join roots only."""
+    if not found.limit(1).count():
+        return roots
+    ends = found
+    for c in ("u", "v"):
+        ends = ends.join(roots.select(F.col("sid").alias(c), F.col("root").alias("r")), c, "left").withColumn(c, F.coalesce("r", c)).drop("r")
+    more = components(ends)
+    # classes that no link had reached before are their own roots
+    every = roots.select("sid", "root").unionByName(more.select("sid", F.col("sid").alias("root")).join(roots, "sid", "left_anti"))
+    return store.table(_follow(every, more.select(F.col("sid").alias("u"), F.col("root").alias("p"))), "component-roots")
 
 
 def groups(documents: DataFrame) -> DataFrame:
@@ -347,7 +371,7 @@ def groups(documents: DataFrame) -> DataFrame:
     only has a null one.  Repeated rows give a row each; other columns play no
     part."""
     known = store.table(classes(documents), "partenum-classes")
-    roots = components(links(documents))
+    _, roots = links(documents)
     rooted = known.join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     least = rooted.filter("n_shingles > 0").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     found = rooted.join(least.withColumnRenamed("root", "r"), (F.col("root") == F.col("r")) & (F.col("n_shingles") > 0), "left")

@@ -94,17 +94,20 @@ def test_query(spark):
 
 def test_bounds():
     for a in range(1, 60):
-        for b in range(a, a * 4 // 3 + 1):
-            least = min(a + b - 2 * n for n in range(a + 1) if 4 * n >= 3 * (a + b - n)) if any(4 * n >= 3 * (a + b - n) for n in range(a + 1)) else None
-            most = max((a + b - 2 * n for n in range(a + 1) if 4 * n >= 3 * (a + b - n)), default=None)
-            assert most is None or least is not None and most <= partenum.differing(np.array(a), np.array(b))
+        for b in range(-(-3 * a // 4), a * 4 // 3 + 1):
+            most = max((a - n for n in range(min(a, b) + 1) if 4 * n >= 3 * (a + b - n)), default=None)
+            assert most is None or most <= partenum.missing(np.array(a), np.array(b)) <= partenum.missing(np.array(a), np.array(-(-3 * a // 4)))
 
 
-def test_every_set_fills_more_parts_than_may_differ():
+def test_linked_sizes_share_a_band_and_shingles_have_parts_of_their_own():
     r = np.random.default_rng(0)
     for n in [1, 2, 3, 4, 5, 15, 16, 17, 47, 48, 63, 64, 85, 200, 255, 256, 341, 1000, 1365, 5000]:
-        docs = [[b"%d" % x for x in r.integers(0, 10**9, n + 4)] for _ in range(5)]
-        sets = partenum.Sets(docs, Words())
-        for _, own, count, tokens in partenum.signatures(sets, sets.sizes > 0):
-            sizes = sets.sizes[own]
-            assert (count > partenum.differing(sizes, 4 * sizes // 3)).all() and len(tokens) == count.sum()
+        bands = []
+        for size in (n, n * 4 // 3):
+            docs = [[b"%d" % x for x in r.integers(0, 10**9, size + 4)] for _ in range(5)]
+            sets = partenum.Sets(docs, Words())
+            found = list(partenum.signatures(sets, sets.sizes > 0))
+            bands.append({band for band, _, _, _ in found})
+            for _, own, count, tokens in found:
+                assert (count + partenum.SPARE >= sets.sizes[own]).all() and len(tokens) == count.sum()
+        assert bands[0] & bands[1]
