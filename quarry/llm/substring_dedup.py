@@ -144,7 +144,8 @@ def _estimated(keys: np.ndarray, repeated: np.ndarray, rows: int, bits: int) ->
 
 def repeats(documents: DataFrame, repeated: Broadcast, size: int, anchor: int, rows: int, bits: int) -> DataFrame:
     """doc_id, text_key and starts of the windows that also start in a
-    document with a smaller doc_id."""
+    document with a smaller doc_id (of a window that a document repeats, one
+    start)."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
@@ -154,12 +155,17 @@ def repeats(documents: DataFrame, repeated: Broadcast, size: int, anchor: int, r
             some = np.flatnonzero(_estimated(w.keys, repeated.value, rows, bits))
             if len(some):
                 a, b = w.exact(some)
+                # a window that a document repeats is sent once: no text made of one line weighs more than its distinct windows
+                order = np.lexsort((b, a, w.doc[some]))
+                same = (a[order][1:] == a[order][:-1]) & (b[order][1:] == b[order][:-1]) & (w.doc[some][order][1:] == w.doc[some][order][:-1])
+                once = np.sort(order[np.concatenate([[True], ~same])])
+                some, a, b = some[once], a[once], b[once]
                 names = np.array([zlib.crc32(x) for x in raw], np.int64)
                 at = (names[w.doc[some]] << 32) | (w.at[some] - w.offsets[w.doc[some]])
                 yield pa.RecordBatch.from_arrays([batch["doc_id"].take(pa.array(w.doc[some])), pa.array(at), pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["doc_id", "at", "lane_a", "lane_b"])
 
     found = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("doc_id is not null").mapInArrow(emit, WINDOWS)
-    least = found.groupBy("lane_a", "lane_b").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most").select("lane_a", "lane_b", "least")
+    least = found.groupBy("lane_a", "lane_b").agg(F.min("doc_id").alias("least"))
     later = found.join(least, ["lane_a", "lane_b"]).filter("doc_id > least")
     text_key, start = F.shiftrightunsigned("at", 32), F.col("at").bitwiseAND(0xFFFFFFFF).cast("int")
     return later.groupBy("doc_id", text_key.alias("text_key")).agg(F.collect_list(start).alias("starts"))
@@ -177,13 +183,31 @@ def marked(documents: DataFrame, keep: list[str], size: int = 50, anchor_words:
     shared = spark.sparkContext.broadcast(repeated_cells(documents, size, anchor, rows, bits))
     later = repeats(documents, shared, size, anchor, rows, bits)
     text = F.col("text").cast("string")
-    own = documents.select(F.col("doc_id").cast("long").alias("id"), F.coalesce(F.crc32(text.cast("binary")), F.lit(0)).alias("key"), F.struct(*(c for c in keep if c != "text"), text.alias("text")).alias("kept"))
-    return own.join(later, (own.id == later.doc_id) & (own.key == later.text_key), "left").select("kept", "starts")
+    own = documents.select(F.col("doc_id").cast("long").alias("id"), F.coalesce(F.crc32(text.cast("binary")), F.lit(0)).alias("key"), F.struct(*(c for c in keep if c != "text"), text.alias("text")).alias("kept"), F.lit(False).alias("some"))
+    schema = own.schema
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words()
+        for batch in pieces(batches, "kept.text"):
+            w = Windows([spaced(x) for x in texts(field(batch, "kept.text"))], words, size, anchor)
+            some = np.zeros(batch.num_rows, bool)
+            some[w.doc[_estimated(w.keys, shared.value, rows, bits)]] = True
+            yield batch.set_column(3, "some", pa.array(some))
+
+    # only texts with a window estimated repeated meet the exact result; the others aren't shuffled
+    asked = own.mapInArrow(ask, schema)
+    hit = asked.filter("some").join(later, (F.col("id") == later.doc_id) & (F.col("key") == later.text_key), "left").select("kept", "starts")
+    return hit.unionByName(asked.filter("not some").select("kept", F.lit(None).cast("array<int>").alias("starts")))
 
 
-def removed(n: int, at: list[int] | None, size: int) -> np.ndarray:
-    """Which of ``n`` words are covered by windows starting ``at``."""
-    return covered(np.unique(np.array(at, np.int64)), size, n) if at else np.zeros(n, bool)
+def removed(doc: list[bytes], at: list[int] | None, size: int, words: Words) -> np.ndarray:
+    """Which words are covered by the windows starting ``at`` or by equal ones
+    of the same document."""
+    if not at:
+        return np.zeros(len(doc), bool)
+    ids, _ = words.ids([doc])
+    own = windows(words.lanes()[ids, 0], size)
+    return covered(np.flatnonzero(np.isin(own, own[np.array(at)])), size, len(doc))
 
 
 def summary(documents: DataFrame, size: int = 50, **options) -> DataFrame:
@@ -191,11 +215,12 @@ def summary(documents: DataFrame, size: int = 50, **options) -> DataFrame:
     one space).  Null text: no words."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = Words()
         for batch in pieces(batches, "kept.text"):
             n, gone, sha = [], [], []
             for raw, at in zip(texts(field(batch, "kept.text")), batch["starts"].to_pylist(), strict=True):
                 words = spaced(raw)
-                out = removed(len(words), at, size)
+                out = removed(words, at, size, table)
                 n.append(len(words))
                 gone.append(int(out.sum()))
                 sha.append(hashlib.sha256(b" ".join(w for w, x in zip(words, out.tolist(), strict=True) if not x) if at else b" ".join(words)).hexdigest())
@@ -212,21 +237,22 @@ def clean(documents: DataFrame, size: int = 50, **options) -> DataFrame:
     columns = documents.columns
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = Words()
         for batch in pieces(batches, "kept.text"):
             text = field(batch, "kept.text").to_pylist()
             for i, at in enumerate(batch["starts"].to_pylist()):
                 if at:
-                    text[i] = without(text[i], at, size)
+                    text[i] = without(text[i], at, size, table)
             yield pa.RecordBatch.from_arrays([pa.array(text, pa.string()) if c == "text" else field(batch, f"kept.{c}") for c in columns], columns)
 
     return marked(documents, columns, size, **options).mapInArrow(task, documents.schema)
 
 
-def without(text: str, at: list[int], size: int) -> str:
-    """The text less the words covered by windows starting ``at``."""
+def without(text: str, at: list[int], size: int, words: Words) -> str:
+    """The text less the words that ``removed`` tells."""
     raw = text.encode()
     places = [m.span() for m in WORD.finditer(raw)]
-    out = removed(len(places), at, size)
+    out = removed([raw[a:b] for a, b in places], at, size, words)
     edge = np.flatnonzero(np.diff(np.concatenate([[0], out.view(np.int8), [0]])))
     kept, last = [], 0
     for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):

@@ -75,7 +75,7 @@ def test_query(spark):
 
 
 def test_cut_leaves_the_rest_as_it_is():
-    assert substring_dedup.without("a  b\tc d e\n f", [1], 3) == "a   e\n f".replace("   e", "   e", 1).replace("a   e", "a  " + " e")
+    assert substring_dedup.without("a  b\tc d e\n f", [1], 3, Words()) == "a   e\n f".replace("   e", "   e", 1).replace("a   e", "a  " + " e")
 
 
 def test_helpers():
