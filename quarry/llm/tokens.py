@@ -27,7 +27,9 @@ SIMPLE = regex.compile(r"[\x00-\x1b\x20-\x7e¡-¬®-įı-ǃǍ-ǰǴ-ɏ]*")
 ODD_SPACE = regex.compile(rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe1\xa0\x8e|\xe2\x80[\x80-\x8f\xa8-\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 ODD_LEADS = (b"\x1c", b"\x1d", b"\x1e", b"\x1f", b"\xc2", b"\xe1", b"\xe2", b"\xe3")
 RUN_OF_SPACES = b"  "
-#: Marks between chunks, and before a text's first chunk.
+#: With these in a text, white space beside a line end may share its token.
+BESIDE_LINE_END = (b"\n\n", b"\n ", b" \n", b"\t", b"\r", b"\x0b", b"\x0c")
+#: Marks between chunks, and before a chunk that no space precedes.
 SEPARATOR, FIRST = "\x00", b"\x1c"
 
 
@@ -149,10 +151,14 @@ class Encoder:
             return text.split()
         if not text:
             return []
+        if b"\n" in text and not any(x in text for x in BESIDE_LINE_END):  # line ends alone are tokens of their own
+            text = text.replace(b"\n", b" \x1c\n \x1c")
         chunks = text.split(b" ")
-        chunks[0] = FIRST + chunks[0]  # the only chunk with no space before it
+        chunks[0] = FIRST + chunks[0]  # as after line ends, no space before it
         if chunks[0] == FIRST:
             del chunks[0]
+        if chunks and chunks[-1] == FIRST:
+            del chunks[-1]
         return chunks
 
     def encode(self, docs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:

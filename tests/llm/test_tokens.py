@@ -17,7 +17,7 @@ from quarry.llm.tokens import encoder
 
 WORD, BYTE = (public_tokenizers.path(n) for n in ("word_bpe_49k.json", "byte_bpe_50k.json"))
 TEXTS = [
-    "", "  a", " a", "a ", "a  b", "a\n b", "a \n b", "a\n\n\nb  c\t d ", "don't I'LL we've", "x y  z", "<|endoftext|> hi", "İstanbul ΑΣ Σ ẞ ﬁ",
+    "one line\nTwo, lines\nthree", "x\n", "\nx", "x\ny\n", "", "  a", " a", "a ", "a  b", "a\n b", "a \n b", "a\n\n\nb  c\t d ", "don't I'LL we've", "x y  z", "<|endoftext|> hi", "İstanbul ΑΣ Σ ẞ ﬁ",
     "日本語 12345 a1b2", "a\x1cb", "\n\n", "   ", "naïve café — “x”", "ǅ ŉ µ", "a   b", "'S 'T 's't", "é ́ x",
 ]
 
