@@ -86,7 +86,7 @@ def pack(documents: DataFrame, tokenizer: str | None = None, end: int = 2, capac
     tokenizer = tokenizer or public_tokenizers.path("byte_bpe_50k.json")
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, rows = encoder(tokenizer), []
+        own, rows = encoder(tokenizer, special=True), []
         for batch in pieces(batches):
             flat, offsets = with_end(*own.encode(texts(batch["text"])), end)
             doc, number, start, length = cut(np.diff(offsets), capacity)

@@ -122,7 +122,7 @@ def write(documents: DataFrame, folder: str, tokenizer: str | None = None, end:
             lens.clear()
             ids.clear()
 
-        own = encoder(tokenizer)
+        own = encoder(tokenizer, special=True)
         for batch in pieces(batches):
             flat, offsets = with_end(*own.encode(texts(batch["text"])), end)
             names.extend(batch["doc_id"].to_pylist())

@@ -5,7 +5,8 @@ worker and looked up afterwards.
 The chunks are chosen so that encoding them one by one gives exactly the ids
 of the whole text (tested against the library on whole texts).  Texts or
 chunks with characters for which that isn't certain go through the library's
-own whole-text call.
+own whole-text call, and so do texts that hold an added token's string where
+these are recognised.
 """
 
 from __future__ import annotations
@@ -96,12 +97,19 @@ class Parts(Ragged):
 
 
 class Encoder:
-    """Chunks of texts to ids, each distinct chunk and part encoded once."""
+    """Chunks of texts to ids, each distinct chunk and part encoded once.
 
-    def __init__(self, path: str, most: int = 500_000) -> None:
+    ``special``: the strings of special tokens in a text become their ids, as
+    by the library's default; else they are ordinary text."""
+
+    def __init__(self, path: str, special: bool = False, most: int = 500_000) -> None:
         self.library = tokenizers.Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.library.encode_special_tokens = not special
         layout = json.loads(self.library.to_str())
+        added = [x for x in layout["added_tokens"] if special or not x["special"]]
+        self.added = [x["content"].encode() for x in added]
+        #: Strings that are looked for in the normalised text
+        self.added_normal = [self._normal(x["content"]) for x in added if x["normalized"]]
         normal = [x["type"] for x in (layout["normalizer"] or {}).get("normalizers", [])]
         before = layout["pre_tokenizer"] or {}
         pattern = next((x["pattern"].get("Regex") for x in before.get("pretokenizers", []) if x["type"] == "Split"), None)
@@ -139,7 +147,20 @@ class Encoder:
         self._chunks_seen.update(zip(keys, range(n, n + len(keys)), strict=True))
         self._chunks_seen.add(ids, lens)
 
+    def _normal(self, text: str) -> str:
+        return self.library.normalizer.normalize_str(text) if self.library.normalizer else text
+
+    def _holds_added(self, text: bytes) -> bool:
+        if any(x in text for x in self.added):
+            return True
+        if not self.added_normal:
+            return False
+        normal = self._normal(text.decode())
+        return any(x in normal for x in self.added_normal)
+
     def _whole(self, text: bytes) -> bool:
+        if self._holds_added(text):
+            return True
         if self.words:
             return False
         if not self.bytes:
@@ -179,14 +200,14 @@ class Encoder:
         return np.concatenate(out), np.concatenate([[0], np.cumsum([len(x) for x in out])])
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, special: bool = False) -> Encoder:
     """The worker's encoder for a vocabulary file, kept between tasks."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    if (path, special) not in _ENCODERS:
+        _ENCODERS[path, special] = Encoder(path, special)
+    return _ENCODERS[path, special]
 
 
 def with_end(flat: np.ndarray, offsets: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import json
 import zlib
 
 import numpy as np
@@ -108,3 +109,43 @@ def test_packing(spark):
 def test_best_fit_takes_the_tightest():
     place, offset, fill = packing.best_fit(np.array([5, 5, 4, 3, 6]), 10)
     assert sorted(fill.tolist()) == [3, 10, 10] and offset[place == place[4]].tolist() == [6, 0]
+
+
+SPECIAL = ["end of text <|endoftext|> marker", "a<|startoftext|>b  c", "<|endoftext|>", "x\n<|endoftext|>\ny", "<|ENDOFTEXT|> <|endoftext|", "<|endoftext|><|startoftext|> ", *TEXTS]
+
+
+@functools.cache
+def unchanged(path):
+    return Tokenizer.from_file(path)
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_special_strings_as_by_the_librarys_default(path):
+    flat, at = encoder(path, special=True).encode([t.encode() for t in SPECIAL])
+    got = [flat[a:b].tolist() for a, b in zip(at, at[1:])]
+    assert got == [e.ids for e in unchanged(path).encode_batch(SPECIAL, add_special_tokens=False)]
+    assert got[0] != encoder(path).encode([SPECIAL[0].encode()])[0].tolist()
+
+
+@pytest.mark.parametrize("kind", [{"normalized": True}, {"special": False}, {"special": False, "normalized": True}, {"lstrip": True, "rstrip": True}])
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_other_added_tokens(path, kind, tmp_path):
+    layout = json.loads(unchanged(path).to_str())
+    layout["added_tokens"].append({"id": len(layout["model"]["vocab"]) + 9, "content": "Mark It", "single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": True} | kind)
+    own = tmp_path / "own.json"
+    own.write_text(json.dumps(layout))
+    texts = ["a Mark It b", "a MARK  it, b", "aMark It", "mark it", "Mark", "It", "  Mark It  x"]
+    flat, at = encoder(str(own), special=True).encode([t.encode() for t in texts])
+    assert [flat[a:b].tolist() for a, b in zip(at, at[1:])] == [e.ids for e in unchanged(str(own)).encode_batch(texts, add_special_tokens=False)]
+
+
+def test_special_strings_in_files_and_sequences(spark):
+    docs = spark.createDataFrame(list(enumerate(SPECIAL)), "doc_id long, text string")
+    want = [[*unchanged(WORD).encode(t, add_special_tokens=False).ids, 1] for t in SPECIAL]
+    rows = sorted(token_file.read(token_file.write(docs, store.folder(spark, "t"))).collect(), key=lambda r: r.doc_id)
+    assert [np.frombuffer(r.ids, "<u4").tolist() for r in rows] == want
+    assert [r.start for r in rows] == [sum(map(len, want[:i])) for i in range(len(want))]
+    packed = {r.doc_id: r for r in packing.pack(docs).collect()}
+    for i, t in enumerate(SPECIAL):
+        ids = np.array([*unchanged(BYTE).encode(t, add_special_tokens=False).ids, 2], "<u4")
+        assert (packed[i].length, packed[i].ids_crc32) == (len(ids), zlib.crc32(ids))
