@@ -80,56 +80,78 @@ class Model:
     pad: int
 
 
-def fit(docs: list[list[bytes]], y: np.ndarray, buckets: int = 1 << 18, dims: int = 8, sizes: tuple[int, ...] = (3, 4, 5), steps: int = 1_500, batch: int = 64, rate: float = 3.0, least_docs: int = 20, pad: int = 20, seed: int = 7) -> Model:
-    """Train table and softmax jointly."""
-    if not len(y) or y.min() == y.max():
-        share = (y.sum() + 1) / (len(y) + 2) if len(y) else 0.01
-        return Model(np.zeros(buckets), float(np.log(share / (1 - share))), sizes, pad)
+def bags(docs: list[list[bytes]], buckets: int = 1 << 18, sizes: tuple[int, ...] = (3, 4, 5), pad: int = 20) -> list[tuple[np.ndarray, np.ndarray]]:
+    """By document: the table rows of its words, and their parts of its mean."""
     names = sorted(set().union(*map(set, docs)))
     at = {w: i for i, w in enumerate(names)}
     cut = [subwords(names[i : i + 50_000], buckets, sizes) for i in range(0, len(names), 50_000)]
-    rows, per = np.concatenate([r.astype(np.int32) for r, _ in cut]), np.concatenate([np.diff(e) for _, e in cut])
+    rows, per = np.concatenate([np.zeros(0, np.int32), *(r.astype(np.int32) for r, _ in cut)]), np.concatenate([np.zeros(0, np.int64), *(np.diff(e) for _, e in cut)])
     edge = np.cumsum(per) - per
-    bags = []  # by document: table rows, and their parts of its mean
-    held_by = np.zeros(buckets, np.int64)
+    out = []
     for d in docs:
         ids, count = np.unique(np.fromiter(map(at.__getitem__, d), np.int64, len(d)), return_counts=True)
         n = per[ids]
         own, place = np.unique(rows[np.repeat(edge[ids], n) + ragged(n)], return_inverse=True)
-        bags.append((own, np.bincount(place, np.repeat(count / (len(d) + pad) / n, n), len(own)).astype(np.float32)))
+        out.append((own, np.bincount(place, np.repeat(count / (len(d) + pad) / n, n), len(own)).astype(np.float32)))
+    return out
+
+
+def fit(docs: list[list[bytes]], y: np.ndarray, buckets: int = 1 << 18, sizes: tuple[int, ...] = (3, 4, 5), pad: int = 20, **options) -> Model:
+    """Train table and softmax jointly on documents' words."""
+    return fit_bags(bags(docs, buckets, sizes, pad), y, buckets, sizes, pad, **options)
+
+
+def fit_bags(docs: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, buckets: int = 1 << 18, sizes: tuple[int, ...] = (3, 4, 5), pad: int = 20, dims: int = 8, steps: int = 1_500, batch: int = 64, rate: float = 3.0, curb: float = 10.0, seed: int = 7) -> Model:
+    """Train table and softmax jointly on documents' table rows.
+
+    Every row that occurs is trained, at a rate that grows with the square of
+    what its documents' labels tell: the log-odds of their toxic share, shrunk
+    towards the sample's by ``curb`` documents of the sample's share.  So rare
+    rows and those that both classes hold alike stay nearer to neutral."""
+    if not len(y) or y.min() == y.max():
+        share = (y.sum() + 1) / (len(y) + 2) if len(y) else 0.01
+        return Model(np.zeros(buckets), float(np.log(share / (1 - share))), sizes, pad)
+    held_by, toxic_by = np.zeros(buckets), np.zeros(buckets)
+    for (own, _), label in zip(docs, y, strict=True):
         held_by[own] += 1
-    # rows of unseen and rare subwords stay neutral; the others are trained under numbers of their own
-    common = np.flatnonzero(held_by >= least_docs)
+        toxic_by[own] += label
+    # the rows that occur are trained under numbers of their own
+    common = np.flatnonzero(held_by)
     number = np.full(buckets, -1, np.int32)
     number[common] = np.arange(len(common))
-    bags = [(number[own][number[own] >= 0], part[number[own] >= 0]) for own, part in bags]
+    share = y.mean()
+    near = (toxic_by[common] + curb * share) / (held_by[common] + curb)
+    pace = rate * np.abs(np.log(near / (1 - near)) - np.log(share / (1 - share))) ** 2
+    docs = [(number[own], part) for own, part in docs]
+    size = np.array([len(own) for own, _ in docs])
     random = np.random.default_rng(seed)
-    table = np.zeros((dims, len(common)))
+    table = np.zeros((len(common), dims), np.float32)
     soft, bias = random.normal(0, 1.0, (dims, 2)), np.zeros(2)
     seen = np.full(len(common), 1e-10)
     for _ in range(-(-steps * batch // len(docs))):
         order = random.permutation(len(docs))
         for start in range(0, len(order), batch):
             own = order[start : start + batch]
-            sub, part = (np.concatenate([bags[i][k] for i in own]) for k in (0, 1))
-            doc = np.repeat(np.arange(len(own)), [len(bags[i][0]) for i in own])
-            mean = np.stack([np.bincount(doc, part * table[k][sub], len(own)) for k in range(dims)], axis=1)
+            sub, part = (np.concatenate([docs[i][k] for i in own]) for k in (0, 1))
+            mean = np.stack([docs[i][1] @ table[docs[i][0]] for i in own])
             logits = mean @ soft + bias
             p = np.exp(logits - logits.max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
             wrong = p.copy()
             wrong[np.arange(len(own)), y[own].astype(int)] -= 1
             wrong /= len(own)
-            back = wrong @ soft.T
-            step = np.stack([np.bincount(sub, part * back[doc, k], len(common)) for k in range(dims)])
-            seen += (step**2).mean(axis=0)
-            table -= rate * step / np.sqrt(seen)
+            # both classes' errors are opposite, so all dimensions share one sum over the documents
+            line = soft[:, 1] - soft[:, 0]
+            back = np.bincount(sub, part * np.repeat(wrong[:, 1], size[own]), len(common))
+            hit = np.flatnonzero(back)
+            seen[hit] += back[hit] ** 2 * (line**2).mean()
+            table[hit] -= np.outer(pace[hit] * back[hit] / np.sqrt(seen[hit]), line)
             move, lean = mean.T @ wrong, wrong.sum(axis=0)
             soft -= 0.02 * move
             bias -= 0.5 * lean
     line = soft[:, 1] - soft[:, 0]
     weight = np.zeros(buckets)
-    weight[common] = line @ table
+    weight[common] = table @ line
     return Model(weight, float(bias[1] - bias[0]), sizes, pad)
 
 

@@ -195,3 +195,19 @@ def test_toxicity_odd_rows(spark):
     assert len(rows) == len(ODD) + 2 and got[9] > 0.5 > got[10] and got[1] == got[2] == got[3]
     none = toxicity.train(frame(spark, ODD), spark.createDataFrame([], "doc_id long, toxic int"))
     assert {round(r.score, 6) for r in toxicity.score(frame(spark, ODD), none).collect()} == {0.01}
+
+
+def planted(r, toxic, word):
+    """60 words of a small vocabulary, in a toxic document one word of its own."""
+    own = [f"w{i}".encode() for i in r.integers(0, 500, 60)]
+    return [*own, word.encode()] if toxic else own
+
+
+def test_toxicity_of_words_that_few_documents_hold():
+    r = np.random.default_rng(3)
+    bad = ["zorgly", "quibbax", "fnordle", "grimpty", "blaxxor", "vuncheo", "skrelph", "jubtick", "hozzaym", "dwemfla"]
+    learned = [(planted(r, True, bad[i % 10]), 1.0) for i in range(60)] + [(planted(r, False, ""), 0.0) for _ in range(400)]  # each word in six documents
+    model = toxicity.fit([d for d, _ in learned], np.array([y for _, y in learned]))
+    scores = toxicity.Scores(model).of([planted(r, i < 50, bad[i % 10]) for i in range(250)])
+    assert (scores[:50] >= 0.7).mean() >= 0.7 and (scores[50:] >= 0.7).mean() <= 0.02
+    assert toxicity.Scores(model).of([planted(r, True, "zorgl1y")])[0] > scores[50:].mean()
