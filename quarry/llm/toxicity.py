@@ -13,6 +13,7 @@ mean over its words.  Words are scored once per task, not once per occurrence.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -115,19 +116,14 @@ def fit_bags(docs: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, buckets:
     for (own, _), label in zip(docs, y, strict=True):
         held_by[own] += 1
         toxic_by[own] += label
-    # the rows that occur are trained under numbers of their own
-    common = np.flatnonzero(held_by)
-    number = np.full(buckets, -1, np.int32)
-    number[common] = np.arange(len(common))
     share = y.mean()
-    near = (toxic_by[common] + curb * share) / (held_by[common] + curb)
+    near = (toxic_by + curb * share) / (held_by + curb)
     pace = rate * np.abs(np.log(near / (1 - near)) - np.log(share / (1 - share))) ** 2
-    docs = [(number[own], part) for own, part in docs]
     size = np.array([len(own) for own, _ in docs])
     random = np.random.default_rng(seed)
-    table = np.zeros((len(common), dims), np.float32)
+    table = np.zeros((buckets, dims), np.float32)
     soft, bias = random.normal(0, 1.0, (dims, 2)), np.zeros(2)
-    seen = np.full(len(common), 1e-10)
+    seen = np.full(buckets, 1e-10)
     for _ in range(-(-steps * batch // len(docs))):
         order = random.permutation(len(docs))
         for start in range(0, len(order), batch):
@@ -142,17 +138,14 @@ def fit_bags(docs: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, buckets:
             wrong /= len(own)
             # both classes' errors are opposite, so all dimensions share one sum over the documents
             line = soft[:, 1] - soft[:, 0]
-            back = np.bincount(sub, part * np.repeat(wrong[:, 1], size[own]), len(common))
+            back = np.bincount(sub, part * np.repeat(wrong[:, 1], size[own]), buckets)
             hit = np.flatnonzero(back)
             seen[hit] += back[hit] ** 2 * (line**2).mean()
             table[hit] -= np.outer(pace[hit] * back[hit] / np.sqrt(seen[hit]), line)
             move, lean = mean.T @ wrong, wrong.sum(axis=0)
             soft -= 0.02 * move
             bias -= 0.5 * lean
-    line = soft[:, 1] - soft[:, 0]
-    weight = np.zeros(buckets)
-    weight[common] = table @ line
-    return Model(weight, float(bias[1] - bias[0]), sizes, pad)
+    return Model(table @ (soft[:, 1] - soft[:, 0]), float(bias[1] - bias[0]), sizes, pad)
 
 
 class Scores(dict):
@@ -183,31 +176,32 @@ class Scores(dict):
         return 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
 
 
-def train(documents: DataFrame, labels: DataFrame, sample_rows: int = 8_000, sample_words: int = 400, **options) -> Model:
+def train(documents: DataFrame, labels: DataFrame, sample_rows: int = 8_000, **options) -> Model:
     """Fit on at most ``sample_rows`` labelled documents (those with the
-    smallest hashed doc_id, a quarter of them toxic where there are enough), each
-    cut into stretches of ``sample_words`` words of which one is taken by the
-    document's hash, so what comes to the driver is bounded whatever the
-    corpus.  Rows with a null id or label are left out."""
+    smallest hashed doc_id, a quarter of them toxic where there are enough).
+    Tasks reduce each whole text to its table rows and their parts of its
+    mean, sent compressed, so what comes to the driver is bounded by sample and table whatever
+    the texts' lengths.  Rows with a null id or label are left out."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).dropna()
     picked = None
     for label, most in ((0, sample_rows * 3 // 4), (1, sample_rows // 4)):
         part = known.filter(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
         picked = part if picked is None else picked.unionByName(part)
     source = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    shape = {k: options[k] for k in ("buckets", "sizes", "pad") if k in options}
 
-    def stretch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def reduced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches):
-            out = []
-            for doc, text in zip(b["doc_id"].to_pylist(), texts(b["text"]), strict=True):
-                words = plain_lower(text)
-                at = doc * 2654435761 % max(1, -(-len(words) // sample_words)) * sample_words
-                out.append(b" ".join(words[at : at + sample_words]))
-            yield pa.RecordBatch.from_arrays([b["doc_id"], b["toxic"], pa.array(out, pa.binary())], ["doc_id", "toxic", "words"])
-
-    rows = source.join(F.broadcast(picked), "doc_id").mapInArrow(stretch, "doc_id long, toxic int, words binary").orderBy("doc_id", "toxic").toArrow()
-    docs = [x.split() for x in rows["words"].to_pylist()]
-    return fit(docs, np.array(rows["toxic"].to_pylist(), float), **options)
+            own = bags([plain_lower(x) for x in texts(b["text"])], **shape)
+            rows = pa.array([zlib.compress(np.diff(x, prepend=0).astype("<i4").tobytes(), 1) for x, _ in own], pa.binary())
+            parts = pa.array([zlib.compress(x.astype("<f4").tobytes(), 1) for _, x in own], pa.binary())
+            yield pa.RecordBatch.from_arrays([b["doc_id"], b["toxic"], rows, parts], ["doc_id", "toxic", "rows", "parts"])
+
+    got = source.join(F.broadcast(picked), "doc_id").mapInArrow(reduced, "doc_id long, toxic int, rows binary, parts binary").orderBy("doc_id", "toxic", "rows", "parts").toArrow()
+    y = np.array(got["toxic"].to_pylist(), float)
+    docs = [(np.cumsum(np.frombuffer(zlib.decompress(a.as_buffer()), "<i4"), dtype=np.int32), np.frombuffer(zlib.decompress(b.as_buffer()), "<f4")) for a, b in zip(got["rows"], got["parts"], strict=True)]
+    del got
+    return fit_bags(docs, y, **options)
 
 
 def score(documents: DataFrame, model: Model) -> DataFrame:

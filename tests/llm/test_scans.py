@@ -211,3 +211,20 @@ def test_toxicity_of_words_that_few_documents_hold():
     scores = toxicity.Scores(model).of([planted(r, i < 50, bad[i % 10]) for i in range(250)])
     assert (scores[:50] >= 0.7).mean() >= 0.7 and (scores[50:] >= 0.7).mean() <= 0.02
     assert toxicity.Scores(model).of([planted(r, True, "zorgl1y")])[0] > scores[50:].mean()
+
+
+def test_toxicity_learns_from_whole_texts(spark):
+    r = np.random.default_rng(5)
+    rows, labels = [], []
+    for i in range(120):
+        words = [f"w{x}" for x in r.integers(0, 300, 1500)]
+        if i % 2:
+            words[(i * 37) % 1500] = "zorgly"  # one word anywhere in a long text
+        rows.append((i, " ".join(words)))
+        labels.append((i, i % 2))
+    docs = frame(spark, rows)
+    table = spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.train(docs, table, steps=200, buckets=1 << 14)
+    words = [t.encode().split() for _, t in rows]
+    whole = toxicity.fit(words, np.array([y for _, y in labels], float), steps=200, buckets=1 << 14)
+    assert np.allclose(model.weight, whole.weight) and np.isclose(model.bias, whole.bias)
