@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, interpolated_lm, license_scan, packing, partenum, quality_gbt, store, substring_dedup, token_file, toxicity, warc
+from quarry.llm import decontaminate, interpolated_lm, license_scan, merkle, packing, partenum, quality_gbt, store, substring_dedup, token_file, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,6 +76,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(documents, model).select("doc_id", F.coalesce(out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's Merkle proof; where 7 divides the checksum of its
+    doc_id, the proof is tried on a document with another n_chars."""
+    changed = F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, F.try_add(F.col("n_chars"), F.lit(1))).otherwise(F.col("n_chars"))
+    return merkle.proofs(_table(spark, sf_dir, "documents"), {"n_chars": changed})
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_quality_rules": op2_quality_rules,
@@ -87,4 +94,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_pack_sequences": op9_pack_sequences,
     "op10_toxicity": op10_toxicity,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
