@@ -27,7 +27,8 @@ n AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
 SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n.n, 0) AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256
 FROM w LEFT JOIN n USING (doc_id) LEFT JOIN kept USING (doc_id)"""
 
-JOIN = f"""
+#: Documents linked by shingles: filled with the least similarity in per cent.
+LINKED = f"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {LETTERS}), '{SPACED}') AS ws FROM documents),
 s AS (
   SELECT DISTINCT doc_id, s FROM (
@@ -35,14 +36,16 @@ s AS (
     UNION ALL SELECT doc_id, array_to_string(ws, ' ') FROM w WHERE len(ws) BETWEEN 1 AND 4)),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 both_ AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
-link AS (SELECT a, b FROM both_ JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+link AS (SELECT a, b FROM both_ JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= {{percent}} * (x.n + y.n - c)),
 edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
 reach(doc_id, other) AS (
   SELECT DISTINCT a, a FROM edge
   UNION SELECT r.doc_id, e.b FROM reach r JOIN edge e ON e.a = r.other),
 comp AS (SELECT doc_id, min(other) AS c FROM reach GROUP BY doc_id)
-SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(comp.c, w.doc_id) AS component_id
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(comp.c, w.doc_id) AS component_id{{more}}
 FROM w LEFT JOIN n USING (doc_id) LEFT JOIN comp USING (doc_id)"""
+JOIN = LINKED.format(percent=75, more="")
+NEAR = LINKED.format(percent=85, more=", coalesce(comp.c, w.doc_id) = w.doc_id AS kept")
 
 #: 40 hex digits are 8 groups of 20 bits, four base32 digits each.
 WARC = f"""
@@ -74,5 +77,6 @@ ORACLE: dict[str, str] = {
     "op1_substring_dedup": SUBSTRINGS,
     "op4_ngram_join": JOIN,
     "op6_warc_members": WARC,
+    "op12_minhash_dedup": NEAR,
     "op8_decontaminate": BENCHMARK,
 }
