@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, interpolated_lm, license_scan, merkle, minhash, packing, partenum, quality_gbt, store, substring_dedup, token_file, toxicity, warc
+from quarry.llm import decontaminate, interpolated_lm, license_scan, merkle, minhash, packing, partenum, quality_gbt, store, substring_dedup, token_file, toxicity, warc, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,6 +76,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(documents, model).select("doc_id", F.coalesce(out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight whitened components of every usable embedding."""
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
 def op12_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents linked by 5-word shingles, similarity 0.85."""
     return minhash.groups(_table(spark, sf_dir, "documents")).drop("sid")
@@ -99,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_pack_sequences": op9_pack_sequences,
     "op10_toxicity": op10_toxicity,
+    "op11_embedding_whitening": op11_embedding_whitening,
     "op12_minhash_dedup": op12_minhash_dedup,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
