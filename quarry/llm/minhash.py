@@ -56,9 +56,10 @@ MEMBERS_ROW, DOCUMENTS_ROW = -1, -2
 
 
 def _orders() -> np.ndarray:
-    """Place of each filled bin (column) in the order of each empty one (row)."""
+    """Place of each bin (column) in the order of each bin (row): itself first."""
     at = np.arange(BINS, dtype=np.uint64)
     keys = mixed(mixed(at[:, None] + np.uint64(0x2545F4914F6CDD1D)) + at[None, :])
+    np.fill_diagonal(keys, 0)
     return np.argsort(np.argsort(keys, axis=1, kind="stable"), axis=1).astype(np.uint16)
 
 
