@@ -1,6 +1,6 @@
-"""Token ids of whole texts with a public tokenizer, many times faster than
-encoding text by text: every distinct chunk between spaces is encoded once per
-worker and looked up afterwards.
+"""Token ids of whole texts with a public tokenizer, faster than encoding text
+by text: Arrow cuts texts into chunks between spaces and numbers the distinct
+ones of a piece; each of those is encoded once and looked up afterwards.
 
 The chunks are chosen so that encoding them one by one gives exactly the ids
 of the whole text (tested against the library on whole texts).  Texts or
@@ -12,12 +12,13 @@ these are recognised.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable
-from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import tokenizers
+import xxhash
 
 #: Pre-tokenizer patterns of the two layouts that may be cut at spaces (fixed values of the public vocabularies).
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -42,58 +43,74 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in same} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-class Ragged(dict):
-    """Key to index of a run of ids; all runs lie in one flat array."""
+class Runs:
+    """Runs of ids by the 128-bit hash of a key, in plain arrays: some 40 bytes
+    a key, where a dictionary of byte strings takes four times as much."""
 
     def __init__(self, most: int) -> None:
-        super().__init__()
         self.most = most
-        self.empty()
-
-    def empty(self) -> None:
-        self.clear()
-        self.ids, self.lens = np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        self.starts = self.lens
-
-    def trim(self) -> None:
-        """Start anew beyond ``most`` keys, so memory is bounded whatever the texts."""
-        if len(self) > self.most:
-            self.empty()
-
-    def add(self, ids: np.ndarray, lens: np.ndarray) -> None:
-        self.ids, self.lens = np.concatenate([self.ids, ids.astype(np.uint32)]), np.concatenate([self.lens, lens])
-        self.starts = np.cumsum(self.lens) - self.lens
-
-    def places(self, keys: Iterable, n: int) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, keys), np.int64, n)
-
-    def runs(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the runs one after the other, and the length of each."""
-        lens = self.lens[index]
-        return self.ids[np.repeat(self.starts[index] - (np.cumsum(lens) - lens), lens) + np.arange(int(lens.sum()))], lens
-
-
-class Parts(Ragged):
-    """Pre-token to its ids by the library's model."""
-
-    def __init__(self, tokenize, most: int) -> None:
-        self.tokenize, self.letters, self.found, self.sizes = tokenize, byte_letters(), [], []
-        super().__init__(most)
-
-    def __missing__(self, part: str) -> int:
-        if part == SEPARATOR:
-            self.sizes.append(0)
-        else:
-            tokens = self.tokenize(part if part.isascii() and part.isalnum() else part.encode().decode("latin-1").translate(self.letters))
-            self.found += [t.id for t in tokens]
-            self.sizes.append(len(tokens))
-        self[part] = at = len(self)
-        return at
-
-    def settle(self) -> None:
-        if self.sizes:
-            self.add(np.array(self.found, np.uint32), np.array(self.sizes, np.int64))
-            self.found, self.sizes = [], []
+        self.a, self.b = np.zeros(0, np.uint64), np.zeros(0, np.uint64)  # both halves of the hash, ascending by the first
+        self.start, self.size, self.uses = np.zeros(0, np.uint32), np.zeros(0, np.uint32), np.zeros(0, np.uint8)
+        self.ids = np.zeros(0, np.uint32)
+
+    def _trim(self) -> None:
+        """Keep the most used half of ``most`` keys, so memory is bounded
+        whatever the texts."""
+        keep = np.sort(np.argsort(255 - self.uses, kind="stable")[: self.most // 2])
+        start, size = self.start[keep], self.size[keep]
+        self.ids = self.ids[spread(start, size)]
+        self.a, self.b, self.uses, self.size = self.a[keep], self.b[keep], self.uses[keep] // 2, size
+        self.start = (np.cumsum(size) - size).astype(np.uint32)
+
+    def runs(self, keys: list[bytes], learn) -> tuple[np.ndarray, np.ndarray]:
+        """Start in ``ids`` and size of each of the distinct ``keys``'s run;
+        ``learn`` (new keys) gives the ids of those not known yet."""
+        if len(self.a) + len(keys) > self.most and len(self.a) > self.most // 2:
+            self._trim()
+        hashes = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, keys)), np.uint64).reshape(-1, 2)
+        a, b = hashes[:, 0], hashes[:, 1]
+        at = np.searchsorted(self.a, a)
+        near = np.minimum(at, len(self.a) - 1)
+        known = (self.a[near] == a) & (self.b[near] == b) if len(self.a) else np.zeros(len(keys), bool)
+        start, size = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+        own = at[known]
+        start[known], size[known] = self.start[own], self.size[own]
+        self.uses[own] = np.minimum(self.uses[own], 254) + 1
+        fresh = np.flatnonzero(~known)
+        if len(fresh):
+            ids, lens = learn([keys[i] for i in fresh.tolist()])
+            start[fresh], size[fresh] = len(self.ids) + np.cumsum(lens) - lens, lens
+            self.ids = np.concatenate([self.ids, ids.astype(np.uint32)])
+            new = fresh[np.argsort(a[fresh], kind="stable")]
+            where = at[new]
+            for name, values in (("a", a), ("b", b), ("start", start), ("size", size), ("uses", np.zeros(len(keys)))):
+                old = getattr(self, name)
+                setattr(self, name, np.insert(old, where, values[new].astype(old.dtype)))
+        return start, size
+
+
+def spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start[0], ..., start[0] + size[0] - 1, start[1], ..."""
+    size = size.astype(np.int64)
+    out = np.repeat(start.astype(np.int64) - (np.cumsum(size) - size), size)
+    out += np.arange(len(out))
+    return out
+
+
+def distinct(values: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Number of each value, and the distinct values."""
+    coded = values.dictionary_encode()
+    return coded.indices.to_numpy(), coded.dictionary
+
+
+def as_bytes(values: pa.Array) -> list[bytes]:
+    """The values of a large binary or string array."""
+    if not len(values):
+        return []
+    _, ends, data = values.buffers()
+    at = np.frombuffer(ends, np.int64)[values.offset : values.offset + len(values) + 1].tolist()
+    raw = data.to_pybytes() if data is not None else b""
+    return [raw[a:b] for a, b in zip(at, at[1:], strict=False)]
 
 
 class Encoder:
@@ -102,7 +119,7 @@ class Encoder:
     ``special``: the strings of special tokens in a text become their ids, as
     by the library's default; else they are ordinary text."""
 
-    def __init__(self, path: str, special: bool = False, most: int = 500_000) -> None:
+    def __init__(self, path: str, special: bool = False, most: int = 1_200_000) -> None:
         self.library = tokenizers.Tokenizer.from_file(path)
         self.library.encode_special_tokens = not special
         layout = json.loads(self.library.to_str())
@@ -117,35 +134,37 @@ class Encoder:
         self.bytes = not normal and before.get("type") == "ByteLevel" and not before["add_prefix_space"]
         own = (WORD_PATTERN if self.words else BYTE_PATTERN).replace(r"[^\s\p{L}\p{N}]", r"[^\s\p{L}\p{N}\x00]")
         self._cut = regex.compile(SEPARATOR + "|" + own).findall
-        self._chunks_seen = Ragged(most)
-        self._parts = Parts(self.library.model.tokenize, most)
+        self._runs, self._parts, self._letters = Runs(most), Runs(most // 2), byte_letters()
 
-    def _learn(self, fresh: list[bytes]) -> None:
-        """Encode new chunks: all the plain ones in one pass of the pattern."""
+    def _learn(self, fresh: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of new chunks, one after the other, and the number of each's:
+        all the plain ones in one pass of the pattern."""
         if self.bytes:
             text = [c[1:].decode() if c[:1] == FIRST else " " + c.decode() for c in fresh]
         else:
             text = [c.decode() for c in fresh]
         odd = [i for i, t in enumerate(text) if SEPARATOR in t or not t.isascii() and not SIMPLE.fullmatch(t) or t[-1].isspace()]
+        direct = [e.ids for e in self.library.encode_batch([text[i] for i in odd], add_special_tokens=False)] if odd else []
+        for i in odd:
+            text[i] = ""  # no parts
+        joined = SEPARATOR.join(text)
+        number, parts = distinct(pa.array(self._cut(joined.lower() if self.words else joined), pa.large_string()))
+        start, size = self._parts.runs(as_bytes(parts), self._learn_parts)
+        ids = self._parts.ids[spread(start[number], size[number])]
+        chunk = np.cumsum(number == pc.index(parts, SEPARATOR).as_py()) if len(fresh) > 1 else np.zeros(len(number), np.int64)
+        lens = np.bincount(chunk, size[number], len(fresh)).astype(np.int64)
         if odd:
-            out = set(odd)
-            direct = [e.ids for e in self.library.encode_batch([text[i] for i in odd], add_special_tokens=False)]
-            self._add([fresh[i] for i in odd], np.array([x for ids in direct for x in ids], np.uint32), np.array([len(x) for x in direct], np.int64))
-            fresh, text = ([x for i, x in enumerate(y) if i not in out] for y in (fresh, text))
-        if fresh:
-            joined = SEPARATOR.join(text)
-            parts = self._cut(joined.lower() if self.words else joined)
-            self._parts.trim()
-            index = self._parts.places(parts, len(parts))
-            self._parts.settle()
-            ids, lens = self._parts.runs(index)
-            chunk = np.cumsum(index == self._parts.get(SEPARATOR, -1))
-            self._add(fresh, ids, np.bincount(chunk, lens, len(fresh)).astype(np.int64))
-
-    def _add(self, keys: list[bytes], ids: np.ndarray, lens: np.ndarray) -> None:
-        n = len(self._chunks_seen)
-        self._chunks_seen.update(zip(keys, range(n, n + len(keys)), strict=True))
-        self._chunks_seen.add(ids, lens)
+            cuts = np.cumsum(lens)[odd]
+            ids = np.insert(ids, np.repeat(cuts, [len(x) for x in direct]), [x for run in direct for x in run])
+            lens[odd] = [len(x) for x in direct]
+        return ids, lens
+
+    def _learn_parts(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of new pre-tokens by the library's model; the separator has none."""
+        tokenize, letters = self.library.model.tokenize, self._letters
+        found = [[] if p == b"\0" else tokenize(p.decode().replace(" ", letters[32]) if p.isascii() and p.decode().isprintable() else p.decode("latin-1").translate(letters)) for p in parts]
+        lens = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter((t.id for run in found for t in run), np.uint32, int(lens.sum())), lens
 
     def _normal(self, text: str) -> str:
         return self.library.normalizer.normalize_str(text) if self.library.normalizer else text
@@ -167,33 +186,30 @@ class Encoder:
             return True
         return RUN_OF_SPACES in text or any(b in text for b in ODD_LEADS) and ODD_SPACE.search(text) is not None
 
-    def _chunks(self, text: bytes) -> list[bytes]:
+    def _chunks(self, docs: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+        """All chunks of all texts, and the number of each text's."""
         if self.words:
-            return text.split()
-        if not text:
-            return []
-        if b"\n" in text and not any(x in text for x in BESIDE_LINE_END):  # line ends alone are tokens of their own
-            text = text.replace(b"\n", b" \x1c\n \x1c")
-        chunks = text.split(b" ")
-        chunks[0] = FIRST + chunks[0]  # as after line ends, no space before it
-        if chunks[0] == FIRST:
-            del chunks[0]
-        if chunks and chunks[-1] == FIRST:
-            del chunks[-1]
-        return chunks
+            lists = pc.ascii_split_whitespace(pa.array(docs, pa.large_binary()).cast(pa.large_string()))
+            none = ""
+        else:  # no space stands before the first chunk and before those beside line ends, which are tokens of their own
+            cut = [FIRST + x.replace(b"\n", b" \x1c\n \x1c") if b"\n" in x and not any(y in x for y in BESIDE_LINE_END) else FIRST + x for x in docs]
+            lists = pc.split_pattern(pa.array(cut, pa.large_binary()).cast(pa.large_string()), " ")
+            none = FIRST.decode()
+        chunks = lists.flatten()
+        counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+        some = pc.not_equal(chunks, none)
+        kept = np.concatenate([[0], np.cumsum(some.to_numpy(zero_copy_only=False))])
+        return chunks.filter(some), np.diff(kept[np.concatenate([[0], np.cumsum(counts)])])
 
     def encode(self, docs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in order (uint32), and the offset of each text."""
         whole = [i for i, x in enumerate(docs) if self._whole(x)]
         direct = {i: e.ids for i, e in zip(whole, self.library.encode_batch([docs[i].decode() for i in whole], add_special_tokens=False), strict=True)} if whole else {}
-        chunks = [[] if i in direct else self._chunks(x) for i, x in enumerate(docs)]
-        counts = np.fromiter(map(len, chunks), np.int64, len(docs))
-        flat_chunks = list(chain.from_iterable(chunks))
-        self._chunks_seen.trim()
-        if fresh := set(flat_chunks).difference(self._chunks_seen):
-            self._learn(list(fresh))
-        flat, lens = self._chunks_seen.runs(self._chunks_seen.places(flat_chunks, len(flat_chunks)))
-        edges = np.concatenate([[0], np.cumsum(lens)])[np.concatenate([[0], np.cumsum(counts)])]
+        chunks, counts = self._chunks([b"" if i in direct else x for i, x in enumerate(docs)])
+        number, keys = distinct(chunks)
+        start, size = self._runs.runs(as_bytes(keys), self._learn)
+        flat = self._runs.ids[spread(start[number], size[number])]
+        edges = np.concatenate([[0], np.cumsum(size[number])])[np.concatenate([[0], np.cumsum(counts)])]
         if not direct:
             return flat, edges
         out = [np.array(direct[i], np.uint32) if i in direct else flat[edges[i] : edges[i + 1]] for i in range(len(docs))]
