@@ -66,6 +66,34 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def materialize_bucketed(df: DataFrame, name: str, key: str, buckets: int, partition_by: list[str]) -> DataFrame:
+    """Like ``materialize``, dealt into ``buckets`` by ``key``: a scan gives
+    all rows of a key to one task, so grouping by it (and more columns) and
+    joining on it need no exchange.  ``df`` should come hash-partitioned by
+    ``key`` into as many partitions: one file per bucket is written then."""
+    import uuid
+
+    from quarry.session import checkpoint_dir
+
+    spark = df.sparkSession
+    table = f"{name}_{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{table}"
+    df.write.format("parquet").partitionBy(*partition_by).bucketBy(buckets, key).option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
+def shard_of(key: str, buckets: int) -> Column:
+    """The bucket of ``key`` in ``materialize_bucketed``."""
+    return F.pmod(F.hash(key), F.lit(buckets))
+
+
+def fits(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT, max_bytes: int = BROADCAST_BYTE_LIMIT) -> bool:
+    """Whether a written table is within the broadcast bounds."""
+    width = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    n, size = df.select(width.alias("w")).limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum("w"), F.lit(0))).first()
+    return n <= max_rows and size <= max_bytes
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin repartition when the input has fewer partitions than the
     cluster has task slots (one big file or row group would otherwise run the

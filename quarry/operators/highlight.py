@@ -1,11 +1,13 @@
 """Highlighting and result rendering.
 
-A field is cut into alternating word / non-word pieces (the same word
-definition as its analyzer); a word piece whose lower-case form is one of
-the query's terms for that field (found by a join with the term table) is
-wrapped in ``<strong>``.  Only fields
-with at least one mark are returned, as ES does.  Hits are joined to the
-stored fields after top-k, so only the shown documents are read.
+A shown field is cut into pieces, words and what stands between them (the same
+words as its analyzer's).  Marks are spans of pieces: a word that is one of the
+query's terms or matches one of its patterns is a span by itself, and a phrase
+is a span from its first to its last word, only where its words stand one after
+the other; spans that overlap are one.  The field is put back together with
+``<strong>`` around the spans, all within its row.  Only fields with at least
+one mark are returned, as ES does.  Hits are joined to the stored fields after
+top-k, so only the shown documents are read.
 """
 
 from __future__ import annotations
@@ -15,9 +17,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.common import bounded_broadcast, materialize
+from quarry.functions import text as T
+from quarry.operators.common import fits, materialize
 from quarry.operators.index import URL, Dictionary, SearchIndex
-from quarry.operators.search import query_terms
+from quarry.operators.search import query_terms, wildcard_terms
 
 # --- fixed values ----------------------------------------------------------
 PRE_TAG = "<strong>"
@@ -31,56 +34,130 @@ MAX_FRAGMENTS = 5
 
 STD_PIECES = r"\p{IsHan}|[^\p{L}\p{N}]+|[\p{L}\p{N}&&[^\p{IsHan}]]+"
 # Pieces of a marked text: a marked word, a word, what stands between words.
-MARKED_PIECES = r"<strong>[^<]+</strong>|[\p{L}\p{N}]+|[^\p{L}\p{N}<]+|<"
+MARKED_PIECES = r"(?s)<strong>.+?</strong>|[\p{L}\p{N}]+|[^\p{L}\p{N}<]+|<"
 SENTENCE_END = r"[.!?]\s|[。！？\n]"
+WORD_CHARACTER = r"[\p{L}\p{N}]"
 URL_PIECES = r"[\p{L}\p{N}_]+(?:\.[\p{L}\p{N}_]+)*|[^\p{L}\p{N}_]+|[\p{L}\p{N}_]"
 
 
 def highlight(index: SearchIndex, hits: DataFrame, queries: DataFrame, fields: Sequence[str], text_col: str = "query",
-              terms: DataFrame | None = None) -> DataFrame:
+              words: bool = True, phrases: DataFrame | None = None, patterns: DataFrame | None = None) -> DataFrame:
     """``(query_id, doc_id, field, fragment)`` — the whole field with marks,
-    for each hit and each requested field that has a matching term.
-
-    ``terms`` ``(query_id, field, term)`` overrides the analysed query terms
-    (wildcard search passes the dictionary terms its patterns matched, which
-    can be many).  The shown fields are cut into pieces, the pieces meet the
-    term table in a join (never a per-query term array), and each field is
-    put back together from its own pieces.  In a run of a dictionary-analysed
-    field every term that occurs is marked, overlapping ones as one.  The hits
-    are written once and counted; the count decides their broadcast.
-    """
-    qt = terms if terms is not None else query_terms(index, queries, fields, text_col)
-    qt = qt.select("query_id", "field", "term").distinct()
-    h = hits.select("query_id", "doc_id").distinct()
+    for each hit and each requested field that has one.
+
+    ``words``: each term of the query's text is marked wherever it stands.
+    ``phrases`` ``(query_id, phrase_no, <text_col>)``: each phrase's terms,
+    where they stand one after the other.  ``patterns`` ``(query_id,
+    <text_col>)``: words that match a wildcard pattern.  A query's marks are
+    its own text, so they are bounded by it; patterns are tried on the shown
+    words and never become lists of the dictionary's terms.
+
+    In a run of a dictionary-analysed field every term that occurs is marked,
+    overlapping ones as one (``highlight_runs``)."""
+    plain = [f for f in fields if not isinstance(index.analyzers.get(f), Dictionary)]
+    runs = [f for f in fields if f not in plain]
+    h = materialize(hits.select("query_id", "doc_id").distinct(), "shown_hits")
+    out = None
+    if plain:
+        spec = materialize(_marks(index, queries, plain, text_col, words, phrases, patterns), "marks")
+        out = _marked_fields(index, h, spec, plain)
+    if runs:
+        terms = [] if not words else [query_terms(index, queries, runs, text_col)]
+        if phrases is not None:
+            terms.append(query_terms(index, phrases, runs, text_col))
+        if patterns is not None:
+            terms.append(wildcard_terms(index, patterns, runs, text_col))
+        every = None
+        for t in terms:
+            t = t.select("query_id", "field", "term")
+            every = t if every is None else every.unionByName(t)
+        more = highlight_runs(index, h, every.distinct(), runs)
+        out = more if out is None else out.unionByName(more)
+    return out
+
+
+def _marks(index: SearchIndex, queries: DataFrame, fields: Sequence[str], text_col: str, words: bool, phrases: DataFrame | None, patterns: DataFrame | None) -> DataFrame:
+    """``(query_id, field, terms, phrases, patterns)``: single terms, longer
+    phrases as arrays of terms, and regular expressions."""
+    strings, lists = "array<string>", "array<array<string>>"
+    parts = []
+
+    def part(df: DataFrame, **columns: Column) -> None:
+        every = {"terms": F.array().cast(strings), "phrases": F.array().cast(lists), "patterns": F.array().cast(strings)} | columns
+        parts.append(df.select("query_id", "field", *(c.alias(n) for n, c in every.items())))
+
+    if words:
+        part(query_terms(index, queries, fields, text_col), terms=F.array("term"))
+    if phrases is not None:
+        asked = phrases.select(F.struct("query_id", "phrase_no").alias("query_id"), text_col)
+        found = query_terms(index, asked, fields, text_col).groupBy("query_id", "field").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "term"))), lambda x: x["term"]).alias("run"))
+        found = found.select("query_id.query_id", "field", "run")
+        one = F.size("run") == 1
+        part(found, terms=F.when(one, F.col("run")).otherwise(F.array().cast(strings)), phrases=F.when(one, F.array().cast(lists)).otherwise(F.array("run")))
+    if patterns is not None:
+        rx = patterns.select("query_id", T.wildcard_to_regex(F.col(text_col)).alias("rx"), F.explode(F.array(*map(F.lit, fields))).alias("field"))
+        part(rx, patterns=F.array("rx"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    flat = {n: F.array_distinct(F.flatten(F.collect_list(n))).alias(n) for n in ("terms", "phrases", "patterns")}
+    return out.groupBy("query_id", "field").agg(*flat.values())
+
+
+def _marked_fields(index: SearchIndex, hits: DataFrame, spec: DataFrame, fields: Sequence[str]) -> DataFrame:
     stored = index.docs.select("doc_id", *[F.col(f).cast("string").alias(f) for f in fields])
-    shown = stored.join(bounded_broadcast(materialize(h, "shown_hits")), "doc_id")
-    url_fields = [f for f in fields if index.analyzers.get(f) == URL]
-    run_fields = {f: "(?:" + a.run_pattern + ")" for f in fields if isinstance(a := index.analyzers.get(f), Dictionary)}
-    pattern = F.when(F.col("field").isin(url_fields), F.lit(URL_PIECES))
-    is_run = F.lit(False)
-    for f, run in run_fields.items():
-        pattern = pattern.when(F.col("field") == f, F.lit(run + "|" + STD_PIECES))
-        is_run = is_run | ((F.col("field") == f) & F.col("piece").rlike("^" + run + "$"))
+    shown = stored.join(F.broadcast(hits) if fits(hits) else hits, "doc_id")
+    rows = shown.select("query_id", "doc_id", F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in fields])).alias("s")).select("query_id", "doc_id", "s.field", "s.text")
+    url = F.col("field").isin([f for f in fields if index.analyzers.get(f) == URL])
+    asked = rows.join(F.broadcast(spec) if fits(spec) else spec, ["query_id", "field"])
+    cut = asked.withColumn("pieces", F.regexp_extract_all(F.coalesce("text", F.lit("")), F.when(url, F.lit(URL_PIECES)).otherwise(F.lit(STD_PIECES)), 0)).filter(F.size("pieces") > 0)
+    cut = cut.withColumn("low", F.transform("pieces", F.lower))
+    word = WORD_CHARACTER.replace("\\", "\\\\")
+    # the places of words among the pieces, then the spans of each phrase: first and last piece
+    cut = cut.withColumn("at", F.expr(f"filter(sequence(0, size(low) - 1), i -> low[i] rlike '{word}')"))
+    spans = F.expr("""
+        flatten(transform(phrases, p -> transform(
+          filter(
+            CASE WHEN size(at) < size(p) THEN cast(array() AS array<int>) ELSE sequence(0, size(at) - size(p)) END,
+            s -> CASE WHEN low[at[s]] = p[0] THEN forall(sequence(1, size(p) - 1), j -> low[at[s + j]] = p[j]) ELSE false END),
+          s -> named_struct('a', at[s], 'b', at[s + size(p) - 1]))))""")
+    cut = cut.withColumn("spans", spans)
+    alone = "(array_contains(terms, low[i]) OR exists(patterns, rx -> low[i] rlike rx)) AND low[i] rlike '" + word + "'"
+    marked = F.expr(f"""
+        array_join(transform(pieces, (x, i) -> CASE
+          WHEN exists(spans, s -> s.a <= i AND i <= s.b) THEN concat(
+            CASE WHEN exists(spans, s -> s.a <= i - 1 AND i - 1 <= s.b) THEN '' ELSE '{PRE_TAG}' END, x,
+            CASE WHEN exists(spans, s -> s.a <= i + 1 AND i + 1 <= s.b) THEN '' ELSE '{POST_TAG}' END)
+          WHEN {alone} THEN concat('{PRE_TAG}', x, '{POST_TAG}') ELSE x END), '')""")
+    some = F.expr(f"size(spans) > 0 OR exists(at, i -> {alone})")
+    # written before the filter: pushed below the projections, it would work out all arrays again for every piece
+    found = materialize(cut.select("query_id", "doc_id", "field", F.when(some, marked).alias("fragment")), "marked_fields")
+    return found.filter("fragment is not null")
+
+
+def highlight_runs(index: SearchIndex, hits: DataFrame, qt: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """The same for dictionary-analysed fields, by their terms ``qt (query_id,
+    field, term)``: the shown fields are cut into runs and words, and these
+    and their substrings meet the terms in a join."""
+    stored = index.docs.select("doc_id", *[F.col(f).cast("string").alias(f) for f in fields])
+    shown = stored.join(F.broadcast(hits) if fits(hits) else hits, "doc_id")
+    is_run, pattern = F.lit(False), None
+    for f in fields:
+        run = "(?:" + index.analyzers[f].run_pattern + ")"
+        own = F.col("field") == f
+        pattern = F.when(own, F.lit(run + "|" + STD_PIECES)) if pattern is None else pattern.when(own, F.lit(run + "|" + STD_PIECES))
+        is_run = is_run | (own & F.col("piece").rlike("^" + run + "$"))
     stacked = shown.select(
         "query_id",
         "doc_id",
         F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in fields])).alias("s"),
     ).select("query_id", "doc_id", "s.field", "s.text")
-    pieces = stacked.select(
-        "query_id",
-        "doc_id",
-        "field",
-        F.posexplode(
-            F.regexp_extract_all(
-                F.coalesce("text", F.lit("")),
-                pattern.otherwise(F.lit(STD_PIECES)),
-                0,
-            )
-        ).alias("i", "piece"),
-    ).withColumn("term", F.lower("piece"))
-    pieces = _with_spans(pieces, qt, is_run) if run_fields else pieces.withColumn("spans", F.lit(None).cast(SPANS))
-    hit = qt.withColumn("hit", F.lit(True))
-    marked_pieces = pieces.join(hit, ["query_id", "field", "term"], "left").select(
+    pieces = stacked.select("query_id", "doc_id", "field", F.posexplode(F.regexp_extract_all(F.coalesce("text", F.lit("")), pattern, 0)).alias("i", "piece")).withColumn("term", F.lower("piece"))
+    pieces = _with_spans(pieces, qt, is_run)
+    # only words and runs meet the terms; what stands between them is the same in every text
+    word = F.when(F.col("piece").rlike(WORD_CHARACTER), F.col("term"))
+    hit = qt.withColumn("hit", F.lit(True)).withColumnRenamed("term", "word")
+    marked_pieces = pieces.withColumn("word", word).join(hit, ["query_id", "field", "word"], "left").select(
         "query_id",
         "doc_id",
         "field",

@@ -6,10 +6,13 @@
 * ``doc_len``     (field, doc_id, len)
 * ``field_stats`` (field, n_docs, avg_len)   docs with a non-empty field only
 * ``term_stats``  (field, term, df)
+* ``bounds``      (shard, field, term, df, top)  largest impact of a term in a shard
 
-Postings are cut per document from its token array (no shuffle); the doc
-length rides on every posting, so scoring never joins back to a
-per-document table.  ``analyze`` gives one row per token where a token table
+Documents are dealt to shards by a hash of ``doc_id`` before they are
+analysed; postings are cut per document from its token array where it lies
+and written bucketed by ``doc_id``, so a shard is one task of every later scan
+and scores its documents alone.  The doc length rides on every posting, so
+scoring never joins back to a per-document table.  ``analyze`` gives one row per token where a token table
 is wanted (query analysis, the ``tokenize`` operator).
 """
 
@@ -27,6 +30,13 @@ STANDARD = "standard"
 URL = "url"
 KEYWORD = "keyword"
 
+# Text bytes of a shard, and the most shards (the bucket limit of a table).
+SHARD_BYTES = 256 << 20
+MOST_SHARDS = 100_000
+# BM25 (k1, b), as the search scores.
+K1 = 1.2
+B = 0.75
+
 # Default word-run pattern for dictionary segmentation: runs of Han characters.
 HAN_RUN = r"\p{IsHan}+"
 
@@ -126,6 +136,8 @@ class SearchIndex:
     field_stats: DataFrame
     term_stats: DataFrame
     extra: dict = dfield(default_factory=dict)
+    shards: int = 0  # postings are bucketed by doc_id into so many; 0: they aren't
+    bounds: DataFrame | None = None
 
     def analyzer(self, f: str):
         return self.analyzers[f]
@@ -203,19 +215,41 @@ def stacked_tokens(df: DataFrame, id_col: str, fields: dict[str, object]) -> Dat
     ).select("s.field", "doc_id", "s.toks")
 
 
-def build_index(docs: DataFrame, fields: dict[str, object], id_col: str = "doc_id", materialized: bool = True) -> SearchIndex:
+def shard_count(docs: DataFrame, fields: list[str]) -> int:
+    """Shards for the text of ``docs``: by its size, one per task slot at least."""
+    size = docs.select(sum((F.coalesce(F.octet_length(F.col(f).cast("string")), F.lit(0)) for f in fields), F.lit(0)).cast("long").alias("n")).agg(F.sum("n")).first()[0] or 0
+    return min(max(docs.sparkSession.sparkContext.defaultParallelism, -(-size // SHARD_BYTES)), MOST_SHARDS)
+
+
+def impact_bounds(postings: DataFrame, stats: DataFrame, shards: int) -> DataFrame:
+    """``(shard, field, term, df, top)``: the shard's documents with the term,
+    and the largest share of the term's weight that one of them gets,
+    ``tf / (tf + k1 * (1 - b + b * dl / avg))``."""
+    from quarry.operators.common import shard_of
+
+    share = F.col("tf") / (F.col("tf") + K1 * (1 - B) + K1 * B * F.col("dl") / F.col("avg_len"))
+    scored = postings.join(F.broadcast(stats.select("field", "avg_len")), "field")  # a row per field
+    return scored.groupBy(shard_of("doc_id", shards).alias("shard"), "field", "term").agg(F.count(F.lit(1)).alias("df"), F.max(share).alias("top"))
+
+
+def build_index(docs: DataFrame, fields: dict[str, object], id_col: str = "doc_id", materialized: bool = True, shards: int | None = None) -> SearchIndex:
     """Index ``fields`` of ``docs``; ``docs`` keeps the stored columns.
 
-    Column-analysed fields get their postings per document (``doc_postings``,
-    no shuffle); dictionary fields go through token rows and one
-    aggregation.  ``materialized`` writes the postings once (see
-    ``common.materialize``) so every scan of a search plan reads them instead
-    of re-analysing the text.  Document lengths ride on the postings.
+    Column-analysed fields get their postings per document (``doc_postings``);
+    dictionary fields go through token rows and one aggregation per document.
+    ``materialized`` deals the documents to ``shards`` (see ``shard_count``)
+    and writes the postings once, bucketed by document (see
+    ``common.materialize_bucketed``), so every scan of a search plan reads
+    them instead of re-analysing the text.
     """
-    from quarry.operators.common import materialize
+    from quarry.operators.common import materialize, materialize_bucketed
 
     if id_col != "doc_id":
         docs = docs.withColumnRenamed(id_col, "doc_id")
+    stored = docs
+    if materialized:
+        shards = shards or shard_count(docs, list(fields))
+        docs = docs.select("doc_id", *fields).repartition(shards, "doc_id")
     col_fields = {f: a for f, a in fields.items() if not isinstance(a, Dictionary)}
     dict_fields = {f: a for f, a in fields.items() if isinstance(a, Dictionary)}
     parts = []
@@ -231,24 +265,31 @@ def build_index(docs: DataFrame, fields: dict[str, object], id_col: str = "doc_i
     for p in parts[1:]:
         postings = postings.unionByName(p)
     if materialized:
-        postings = materialize(postings, "postings")
+        if dict_fields:
+            postings = postings.repartition(shards, "doc_id")
+        postings = materialize_bucketed(postings, "postings", "doc_id", shards, ["field"])
     # one row per (field, doc) with a term; empty fields are not counted by
     # the field statistics anyway
     dl = postings.groupBy("field", "doc_id").agg(F.max("dl").alias("len"))
-    stats, terms = field_stats(dl), term_stats(postings)
+    stats, bounds = field_stats(dl), None
+    terms = term_stats(postings)
     if materialized:
         # corpus statistics are part of the index: a search reads a few rows
         # of them instead of aggregating all postings again
         dl = materialize(dl, "doc_len")
-        stats, terms = materialize(field_stats(dl), "field_stats"), materialize(terms, "term_stats")
+        stats = materialize(field_stats(dl), "field_stats")
+        bounds = materialize(impact_bounds(postings, stats, shards), "bounds")
+        terms = materialize(bounds.groupBy("field", "term").agg(F.sum("df").alias("df")), "term_stats")
     return SearchIndex(
-        docs=docs,
+        docs=stored,
         analyzers=dict(fields),
         tokens=None,
         postings=postings,
         doc_len=dl,
         field_stats=stats,
         term_stats=terms,
+        shards=shards if materialized else 0,
+        bounds=bounds,
     )
 
 
@@ -256,10 +297,11 @@ def term_bucket(term, buckets: int):
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
-def write_index(index: SearchIndex, path: str, term_buckets: int = 64) -> None:
+def write_index(index: SearchIndex, path: str, term_buckets: int = 16) -> None:
     """Persist the index.  Postings are partitioned by field and a hash bucket
-    of the term and sorted by term inside each file, so a lookup of a few
-    terms prunes partitions (dynamic pruning on ``tb``) and row groups.
+    of the term, so a lookup of a few terms reads their partitions only, and
+    inside those bucketed by document, so a shard still scores
+    alone.
 
     Every build goes to a version folder of its own; the small pointer table
     ``current`` is switched last, so readers see the old index or the new one,
@@ -267,38 +309,39 @@ def write_index(index: SearchIndex, path: str, term_buckets: int = 64) -> None:
     spark = index.docs.sparkSession
     base, version = path, f"v-{uuid.uuid4().hex}"
     path = f"{base}/{version}"
-    (
-        index.postings.withColumn("tb", term_bucket(F.col("term"), term_buckets))
-        .repartition("field", "tb")
-        .sortWithinPartitions("term", "doc_id")
-        .write.mode("overwrite")
-        .partitionBy("field", "tb")
-        .parquet(f"{path}/postings")
-    )
+    postings = index.postings.withColumn("tb", term_bucket(F.col("term"), term_buckets))
+    table = f"postings_{uuid.uuid4().hex}"
+    postings.repartition(index.shards, "doc_id").write.format("parquet").partitionBy("field", "tb").bucketBy(index.shards, "doc_id").option("path", f"{path}/postings").saveAsTable(table)
+    spark.sql(f"DROP TABLE {table}")  # of an external table only the catalog entry goes
     index.term_stats.write.mode("overwrite").parquet(f"{path}/term_stats")
     index.doc_len.write.mode("overwrite").partitionBy("field").parquet(f"{path}/doc_len")
     index.field_stats.write.mode("overwrite").parquet(f"{path}/field_stats")
+    index.bounds.write.mode("overwrite").parquet(f"{path}/bounds")
     index.docs.write.mode("overwrite").parquet(f"{path}/docs")
-    meta = spark.createDataFrame([(version, term_buckets)], "version string, term_buckets int").coalesce(1)
+    meta = spark.createDataFrame([(version, term_buckets, index.shards)], "version string, term_buckets int, shards int").coalesce(1)
     meta.write.mode("overwrite").json(f"{base}/current")
 
 
 def read_index(spark, path: str, analyzers: dict[str, object]) -> SearchIndex:
     """The current version of the index written by ``write_index``; postings
     keep their ``field`` / ``tb`` partition columns, which the search joins use
-    for pruning."""
-    meta = spark.read.schema("version string, term_buckets int").json(f"{path}/current").first()
-    path, buckets = f"{path}/{meta['version']}", meta["term_buckets"]
-    postings = spark.read.parquet(f"{path}/postings")
+    for pruning, and their buckets."""
+    meta = spark.read.schema("version string, term_buckets int, shards int").json(f"{path}/current").first()
+    path, table = f"{path}/{meta['version']}", f"postings_{uuid.uuid4().hex}"
+    columns = ", ".join(f"`{c}` {t}" for c, t in spark.read.parquet(f"{path}/postings").dtypes)
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY (field, tb) CLUSTERED BY (doc_id) INTO {meta['shards']} BUCKETS LOCATION '{path}/postings'")
+    spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
     return SearchIndex(
         docs=spark.read.parquet(f"{path}/docs"),
         analyzers=dict(analyzers),
         tokens=None,  # not persisted; phrase search uses postings positions
-        postings=postings,
+        postings=spark.table(table),
         doc_len=spark.read.parquet(f"{path}/doc_len"),
         field_stats=spark.read.parquet(f"{path}/field_stats"),
         term_stats=spark.read.parquet(f"{path}/term_stats"),
-        extra={"term_buckets": int(buckets)},
+        extra={"term_buckets": int(meta["term_buckets"])},
+        shards=int(meta["shards"]),
+        bounds=spark.read.parquet(f"{path}/bounds"),
     )
 
 

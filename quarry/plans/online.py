@@ -86,10 +86,14 @@ def answer(web: SearchIndex, tp: SearchIndex, queries: DataFrame, history: DataF
         h = shown.filter(F.col("search_type") == t)
         q = queries.join(h.select("query_id").distinct(), "query_id", "left_semi")
         if t == "wildcard_search":
-            m = HL.highlight(index, h, q, fields, terms=S.wildcard_terms(index, q, fields))
+            m = HL.highlight(index, h, q, fields, words=False, patterns=q)
         elif t == "site_search":
             pats = q.select("query_id", F.concat(F.lit("*"), F.col("query"), F.lit("*")).alias("query"))
-            m = HL.highlight(index, h, q, fields, terms=wildcard_terms_for_site(index, pats))
+            m = HL.highlight(index, h, q, fields, words=False, patterns=pats)
+        elif t == "multi_phrase_search":
+            m = HL.highlight(index, h, q, fields, words=False, phrases=S.split_phrases(q).withColumnRenamed("phrase", "query"))
+        elif t == "one_phrase_search":
+            m = HL.highlight(index, h, q, fields, phrases=q.withColumn("phrase_no", F.lit(0)))
         else:
             m = HL.highlight(index, h, q, fields)
         marked = m if marked is None else marked.unionByName(m)
@@ -97,7 +101,3 @@ def answer(web: SearchIndex, tp: SearchIndex, queries: DataFrame, history: DataF
     return rendered.join(queries.select("query_id", "username"), "query_id").select(
         "query_id", "username", "rank", "doc_id", "title_html", "content_html", "editor_html", "url_html"
     )
-
-
-def wildcard_terms_for_site(index: SearchIndex, patterns: DataFrame) -> DataFrame:
-    return S.wildcard_terms(index, patterns, ["url"])

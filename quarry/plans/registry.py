@@ -121,11 +121,19 @@ def q_filter_http(spark, sf_dir):
     return L.filter_http(_resolved(spark, sf_dir)).select("page_id", "pos", "target")
 
 
+#: Article links of the crawled pages: a page name in small letters only.
+ARTICLE_PATTERN = r"^https?://[^/]+/[a-z]+$"
+
+
 @query("filter_links")
 def q_filter_links(spark, sf_dir):
-    """Raw hrefs of each page filtered by the site article pattern."""
-    hrefs = _parsed(spark, sf_dir).select("page_id", F.transform("anchors", lambda a: a["href"]).alias("links"))
-    return L.filter_links(hrefs).select("page_id", F.size("links").alias("n_links"), "links")
+    """Resolved link targets of each page filtered by an article pattern that
+    some of them match."""
+    r = _resolved(spark, sf_dir)
+    links = r.groupBy("page_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "target"))), lambda x: x["target"]).alias("links"))
+    pages = src.pages(spark, sf_dir).select("page_id").join(links, "page_id", "left")
+    every = pages.select("page_id", F.coalesce("links", F.array().cast("array<string>")).alias("links"))
+    return L.filter_links(every, ARTICLE_PATTERN).select("page_id", F.size("links").alias("n_links"), "links")
 
 
 @query("title_key")
@@ -414,6 +422,16 @@ def q_highlight(spark, sf_dir):
     return HL.highlight(idx, hits, qs, ["title", "content", "url", "editor"])
 
 
+@query("highlight_phrase")
+def q_highlight_phrase(spark, sf_dir):
+    """Documents that hold a benchmark passage as a phrase, marked where the
+    passage stands and nowhere else."""
+    idx = documents_index(spark, sf_dir)
+    qs = src.benchmark_queries(spark, sf_dir)
+    hits = S.match_phrase(idx, qs, "content", k=10)
+    return HL.highlight(idx, hits, qs, ["content"], words=False, phrases=qs.withColumn("phrase_no", F.lit(0)))
+
+
 @query("highlight_fragments")
 def q_highlight_fragments(spark, sf_dir):
     idx, qs, hits = _simple_hits(spark, sf_dir)

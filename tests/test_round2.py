@@ -11,7 +11,6 @@ from quarry.operators import common as C
 from quarry.operators import highlight as HL
 from quarry.operators import pages as P
 from quarry.operators.index import STANDARD, Dictionary, build_index, read_index, write_index
-from quarry.operators.search import wildcard_terms
 from quarry.sources import files as IO
 from quarry.sources import tables as src
 
@@ -94,11 +93,10 @@ def test_dictionary_fields_are_marked(spark):
     index = build_index(docs, {"content": Dictionary(words), "title": Dictionary(words)})
     patterns = spark.createDataFrame([(7, "东?"), (8, "?红")], "query_id long, query string")
     hits = spark.createDataFrame([(7, 1), (8, 1)], "query_id long, doc_id long")
-    terms = wildcard_terms(index, patterns, ["title", "content"])
-    got = {(r.query_id, r.field): r.fragment for r in HL.highlight(index, hits, patterns, ["title", "content"], terms=terms).collect()}
+    got = {(r.query_id, r.field): r.fragment for r in HL.highlight(index, hits, patterns, ["title", "content"], words=False, patterns=patterns).collect()}
     assert got == {(7, "content"): "看<strong>东方</strong>红日 and <strong>东风</strong>", (7, "title"): "<strong>东方</strong>", (8, "content"): "看东<strong>方红</strong>日 and 东风"}
     both = spark.createDataFrame([(7, "content", "东方"), (7, "content", "方红")], "query_id long, field string, term string")
-    got = [r.fragment for r in HL.highlight(index, hits.limit(1), patterns, ["content"], terms=both).collect()]
+    got = [r.fragment for r in HL.highlight_runs(index, hits.limit(1), both, ["content"]).collect()]
     assert got == ["看<strong>东方红</strong>日 and 东风"]
 
 
