@@ -13,9 +13,13 @@ head on, so a bucket that a third of all documents share costs a row per task,
 not per document.  Shards of bounded size find the heads that several tasks
 have.
 
-Edges.  Within a bucket all sets are compared with one centre, a star, by their
-whole shingle sets; linked ones fall into components.  Only buckets whose sets
-are still in several components go on, with many times more centres each round,
+Edges.  Of the sets in buckets, shingles that no other one has are counted: a
+set with more of them than its links may miss has no link, and a pair's numbers
+bound its similarity; later rounds also use a small bitmap of each set, as two
+sets differ in a shingle at least for every cell that only one has.  Within a bucket all sets that are left are compared with
+one centre, a star, by their whole shingle sets; the centre is the set with the
+fewest shingles of its own.  Linked sets fall into components.  Only buckets
+whose sets are still in several go on, with many times more centres each round,
 chosen by hash, until every pair between components has been compared: no link
 in a bucket is lost, and thousands of copies cost one comparison each.
 
@@ -34,7 +38,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm import store
 from quarry.llm.partenum import Sets, _merged, components
-from quarry.llm.text import Words, mixed, pieces, spaced_lower, texts
+from quarry.llm.text import Cut, mixed, pieces
 
 #: Similarity as a fraction, so that the verdict is exact in integers.
 NUMERATOR, DENOMINATOR = 85, 100
@@ -45,10 +49,12 @@ BANDS = BINS // ROWS
 SETS, CLASSES = 2_048, 24_000
 #: Classes whose heads one shard holds, all in all.
 SHARD_CLASSES = 30_000
+#: Shingles that a task sorts at a time, and that one shard counts.
+CHUNK_SHINGLES, SHARD_SHINGLES = 1_000_000, 2_000_000
+#: Cells of a set's bitmap.
+MARKS = 2_048
 #: A round takes so many times the centres that have been compared before.
 CENTRES = 16
-#: Text bytes of a piece.
-PIECE = 1 << 20
 FOUND = "shard int, sids binary, keys binary, doc_ids array<long>, doc_sids array<long>, doc_sizes array<long>"
 MEMBERS = "token long, sid long"
 #: Marks of rows of FOUND that aren't heads.
@@ -138,7 +144,7 @@ def _found(documents: DataFrame, shards: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, signer = Words(), Signer()
+        signer = Signer()
         seen: set[int] = set()
         sids: list[np.ndarray] = []
         keys: list[np.ndarray] = []
@@ -151,10 +157,10 @@ def _found(documents: DataFrame, shards: int) -> DataFrame:
             sids.clear()
             keys.clear()
 
-        for batch in pieces(batches, most=PIECE):
+        for batch in pieces(batches):
             for start in range(0, batch.num_rows, SETS):
                 part = batch.slice(start, SETS)
-                sets = Sets([spaced_lower(x) for x in texts(part["text"])], words)
+                sets = Sets(Cut(part["text"], lower=True))
                 yield batch_of([(DOCUMENTS_ROW, None, None, part["doc_id"].to_pylist(), sets.sids.tolist(), sets.sizes.tolist())])
                 fresh = [i for i, s in enumerate(sets.sids.tolist()) if s and not (s in seen or seen.add(s))]
                 if fresh:
@@ -225,7 +231,8 @@ def _cell(sids: np.ndarray, bits: int) -> np.ndarray:
 
 
 def _shingles(documents: DataFrame, sids: DataFrame) -> DataFrame:
-    """sid and sorted shingle hashes of the given classes, each once.
+    """sid, size, sorted shingle hashes, and marks (a bit for each of ``MARKS``
+    cells that a shingle falls into) of the given classes, each once.
 
     The filter has 16 bits for each of them, 128 MB at most; beyond that it
     lets more sets through to the exact join."""
@@ -233,26 +240,96 @@ def _shingles(documents: DataFrame, sids: DataFrame) -> DataFrame:
     shared = documents.sparkSession.sparkContext.broadcast(_marks(sids, bits))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
-        for batch in pieces(batches, most=PIECE):
-            sets = Sets([spaced_lower(x) for x in texts(batch["text"])], words)
+        for batch in pieces(batches):
+            sets = Sets(Cut(batch["text"], lower=True))
             cell = _cell(sets.sids, bits)
             needed = (sets.sizes > 0) & ((shared.value[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1 == 1)
             once = np.zeros(len(needed), bool)
             once[np.unique(sets.sids, return_index=True)[1]] = True
             some = np.flatnonzero(needed & once)
             if len(some):
-                yield pa.RecordBatch.from_arrays([pa.array(sets.sids[some]), pa.array([sets.shingles[sets.edges[i] : sets.edges[i + 1]].tobytes() for i in some.tolist()], pa.binary())], ["sid", "shingles"])
+                own = [sets.shingles[sets.edges[i] : sets.edges[i + 1]] for i in some.tolist()]
+                yield pa.RecordBatch.from_arrays([pa.array(sets.sids[some]), pa.array([x.tobytes() for x in own], pa.binary()), pa.array([marked(x) for x in own], pa.list_(pa.int64()))], ["sid", "shingles", "marks"])
 
-    found = documents.select(F.col("text").cast("string").alias("text")).mapInArrow(task, "sid long, shingles binary")
+    def marked(shingles: np.ndarray) -> np.ndarray:
+        on = np.zeros(MARKS, bool)
+        on[(mixed(shingles + np.uint64(0x8CB92BA72F3D8DD7)) >> np.uint64(64 - MARKS.bit_length() + 1)).astype(np.int64)] = True
+        return np.packbits(on).view(np.int64)
+
+    found = documents.select(F.col("text").cast("string").alias("text")).mapInArrow(task, "sid long, shingles binary, marks array<long>")
     return store.table(found.join(sids, "sid", "left_semi").dropDuplicates(["sid"]).withColumn("size", F.expr("cast(octet_length(shingles) div 8 as int)")), "minhash-sets")
 
 
+def _weighed(sets: DataFrame) -> DataFrame:
+    """sid, size and own (shingles that no other of these sets has) of every set.
+
+    Two sets share at most size - own shingles, a bound that needs no pair.  A
+    task sends each of its shingles once, without a set where several have it,
+    so a shingle of a third of all sets costs a row per task."""
+    shards = max(16, -(-(sets.agg(F.sum("size")).first()[0] or 0) // SHARD_SHINGLES))
+    schema = "shard int, sids binary, counts binary, keys binary, more binary"
+
+    def sent(sids: list[int], held: list[np.ndarray]) -> pa.RecordBatch:
+        owner = np.repeat(np.arange(len(held)), [len(x) for x in held])
+        shingles = mixed(np.concatenate(held))
+        order = np.argsort(shingles, kind="stable")
+        shingles, owner = shingles[order], owner[order]
+        first = np.flatnonzero(np.concatenate([[True], shingles[1:] != shingles[:-1]]))
+        several = np.diff(np.append(first, len(shingles))) > 1
+        shingles, owner, names = shingles[first], owner[first], np.array(sids, np.int64)
+        shard = ((shingles >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
+        low, edges = (shingles & np.uint64(0xFFFFFFFF)).astype("<u4"), np.searchsorted(shard, np.arange(shards + 1))
+        rows = []
+        for s in np.flatnonzero(np.diff(edges)).tolist():
+            part = slice(edges[s], edges[s + 1])
+            one = ~several[part]
+            by = np.argsort(owner[part][one], kind="stable")
+            who, count = np.unique(owner[part][one], return_counts=True)
+            rows.append((s, names[who].tobytes(), count.astype("<u4").tobytes(), low[part][one][by].tobytes(), low[part][~one].tobytes()))
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if i == 0 else pa.binary()) for i, c in enumerate(zip(*rows, strict=True))], ["shard", "sids", "counts", "keys", "more"])
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sids: list[int] = []
+        held: list[np.ndarray] = []
+        total = 0
+        for batch in batches:
+            for sid, raw in zip(batch["sid"].to_pylist(), batch["shingles"], strict=True):
+                sids.append(sid)
+                held.append(np.frombuffer(raw.as_buffer(), np.uint64))
+                total += len(held[-1])
+                if total >= CHUNK_SHINGLES:
+                    yield sent(sids, held)
+                    sids, held, total = [], [], 0
+        if held:
+            yield sent(sids, held)
+
+    def count(key: tuple, group: pa.Table) -> pa.Table:
+        raw = lambda c, t: np.concatenate([np.frombuffer(x, t) for x in group[c].to_pylist()])
+        sids, keys, more = np.repeat(raw("sids", "<i8"), raw("counts", "<u4")), raw("keys", "<u4"), raw("more", "<u4")
+        every = np.sort(np.concatenate([keys, more]))
+        alone = (np.searchsorted(every, keys, "right") - np.searchsorted(every, keys, "left")) == 1
+        who, own = np.unique(sids[alone], return_counts=True)
+        return pa.table({"sid": who, "own": own.astype(np.int64)})
+
+    own = sets.select("sid", "shingles").mapInArrow(task, schema).groupBy("shard").applyInArrow(count, "sid long, own long").groupBy("sid").agg(F.sum("own").cast("int").alias("own"))
+    return sets.select("sid", "size").join(own, "sid", "left").select("sid", "size", F.coalesce("own", F.lit(0)).alias("own"))
+
+
+def _may(size: str, own: str, other: str, others: str):
+    """Whether sets of so many shingles, some of them their own, may link."""
+    both = F.least(F.col(size) - F.col(own), F.col(other) - F.col(others))
+    return both * DENOMINATOR >= (F.col(size) + F.col(other) - both) * NUMERATOR
+
+
+def _differ():
+    """Cells that only one of two sets (``size``, ``marks``; ``m``, ``signs``)
+    has a shingle in: so many shingles at least are in only one of them."""
+    return F.aggregate(F.zip_with("marks", "signs", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda n, k: n + k)
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (u: centre, v) whose whole sets are similar enough."""
-    sizes = sets.select("sid", "size")
-    pairs = pairs.distinct().join(sizes.select(F.col("sid").alias("u"), F.col("size").alias("m")), "u").join(sizes.select(F.col("sid").alias("v"), F.col("size").alias("n")), "v")
-    pairs = store.table(pairs.filter(F.least("m", "n") * DENOMINATOR >= F.greatest("m", "n") * NUMERATOR).select("u", "v"), "minhash-pairs")
+    pairs = store.table(pairs.distinct(), "minhash-pairs")
     v = sets.select(F.col("sid").alias("v"), F.col("shingles").alias("right"))
     u = sets.join(pairs.select(F.col("u").alias("sid")).distinct(), "sid", "left_semi").select(F.col("sid").alias("u"), F.col("shingles").alias("left"))
 
@@ -272,20 +349,25 @@ def links(documents: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFram
     """Links (u, v) between classes, enough to connect every component, and
     the components (sid, root) of all linked classes."""
     sets = _shingles(documents, members.select("sid").distinct())
-    centre = members.groupBy("token").agg(F.min("sid").alias("u"))
-    edges = _confirmed(members.join(centre, "token").filter("sid != u").select("u", F.col("sid").alias("v")), sets)
+    weighed = store.table(_weighed(sets).filter((F.col("size") - F.col("own")) * DENOMINATOR >= F.col("size") * NUMERATOR), "minhash-weighed")
+    members = store.table(members.join(weighed, "sid"), "minhash-linkable")
+    centre = members.groupBy("token").agg(F.min(F.struct("own", "sid", "size")).alias("c"))
+    star = members.join(centre, "token").select(F.col("c.sid").alias("u"), F.col("c.size").alias("m"), F.col("c.own").alias("rare"), F.col("sid").alias("v"), "size", "own")
+    edges = _confirmed(star.filter(F.col("u") != F.col("v")).filter(_may("m", "rare", "size", "own")).select("u", "v"), sets)
     roots, done = components(edges), 1
     # of a bucket's n members, those whose hash in it is below done/n have been centres
     turn = F.pmod(F.xxhash64("token", "sid"), F.lit(1 << 40)) / float(1 << 40)
     while True:
         now = members.join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
         split = now.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("n")).filter((F.col("a") != F.col("b")) & (F.col("n") > (done if done > 1 else 0))).select("token", "n")
-        open_ = store.table(now.join(split, "token").withColumn("turn", turn * F.col("n")), "minhash-open")
+        open_ = store.table(now.join(split, "token").withColumn("turn", turn * F.col("n")).join(sets.select("sid", "marks"), "sid"), "minhash-open")
         if open_.isEmpty():
             return edges, roots
         low, done = (0 if done == 1 else done), done * CENTRES
-        centres = open_.filter((F.col("turn") >= low) & (F.col("turn") < done)).select("token", F.col("sid").alias("u"), F.col("root").alias("other"), F.col("turn").alias("before"))
-        pairs = centres.join(open_, "token").filter((F.struct("turn", "sid") > F.struct("before", "u")) & (F.col("root") != F.col("other")))
+        centres = open_.filter((F.col("turn") >= low) & (F.col("turn") < done)).select("token", F.col("sid").alias("u"), F.col("size").alias("m"), F.col("own").alias("rare"), F.col("marks").alias("signs"), F.col("root").alias("other"), F.col("turn").alias("before"))
+        later = (F.col("turn") > F.col("before")) | (F.col("turn") == F.col("before")) & (F.col("sid") > F.col("u"))
+        near = _differ() * (NUMERATOR + DENOMINATOR) <= (F.col("m") + F.col("size")) * (DENOMINATOR - NUMERATOR)
+        pairs = centres.join(open_, "token").filter(later & (F.col("root") != F.col("other")) & _may("m", "rare", "size", "own") & near)
         found = _confirmed(pairs.select("u", F.col("sid").alias("v")), sets)
         edges = edges.unionByName(found)
         roots = _merged(roots, found)

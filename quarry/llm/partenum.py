@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.llm import store
-from quarry.llm.text import Words, field, mixed, pieces, spaced_lower, starts, texts, windows
+from quarry.llm.text import Cut, field, mixed, pieces, starts, windows
 
 #: Similarity as a fraction, so that every bound is exact in integers.
 NUMERATOR, DENOMINATOR = 3, 4
@@ -62,12 +62,12 @@ REPEATED = "sid long, band int, size int, total int, token long, df int"
 class Sets:
     """Distinct shingle hashes of each document of a piece."""
 
-    def __init__(self, docs: list[list[bytes]], words: Words, size: int = SHINGLE) -> None:
-        ids, offsets = words.ids(docs)
-        hashes = words.lanes()[ids, 0]
+    def __init__(self, cut: Cut, size: int = SHINGLE) -> None:
+        offsets = cut.offsets
+        hashes = cut.lanes()[cut.ids, 0]
         lens = np.diff(offsets)
         at = starts(offsets, size)
-        owner = np.repeat(np.arange(len(docs)), np.maximum(lens - size + 1, 0))
+        owner = np.repeat(np.arange(len(lens)), np.maximum(lens - size + 1, 0))
         found = windows(hashes, size)[at] if len(at) else np.zeros(0, np.uint64)
         for n in range(1, size):  # shorter documents: the whole sequence
             short = np.flatnonzero(lens == n)
@@ -79,7 +79,7 @@ class Sets:
         once = np.ones(len(found), bool)
         once[1:] = (found[1:] != found[:-1]) | (owner[1:] != owner[:-1])
         self.shingles, self.owner = found[once], owner[once]
-        self.sizes = np.bincount(self.owner, minlength=len(docs))
+        self.sizes = np.bincount(self.owner, minlength=len(lens))
         self.edges = np.concatenate([[0], np.cumsum(self.sizes)])
         sums = np.concatenate([[np.uint64(0)], np.cumsum(mixed(self.shingles + np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64)])
         #: class of each document: a hash of its whole set; 0 without shingles
@@ -134,9 +134,8 @@ def _packets(documents: DataFrame, shards: int) -> DataFrame:
     their space grows with the data."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
         for batch in pieces(batches):
-            sets = Sets([spaced_lower(x) for x in texts(batch["text"])], words)
+            sets = Sets(Cut(batch["text"], lower=True))
             use = np.zeros(len(sets.sizes), bool)
             use[np.unique(sets.sids, return_index=True)[1]] = True
             use &= sets.sizes > 0
@@ -236,9 +235,8 @@ def _shingles(documents: DataFrame, sids: DataFrame) -> DataFrame:
     shared = documents.sparkSession.sparkContext.broadcast(_needed(sids))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
         for batch in pieces(batches):
-            sets = Sets([spaced_lower(x) for x in texts(batch["text"])], words)
+            sets = Sets(Cut(batch["text"], lower=True))
             cell = _cell(sets.sids)
             needed = (sets.sizes > 0) & ((shared.value[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1 == 1)
             once = np.zeros(len(needed), bool)
@@ -300,9 +298,8 @@ def classes(documents: DataFrame) -> DataFrame:
     n_shingles of every document."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
         for batch in pieces(batches):
-            sets = Sets([spaced_lower(x) for x in texts(batch["text"])], words)
+            sets = Sets(Cut(batch["text"], lower=True))
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(sets.sids), pa.array(sets.sizes.astype(np.int64))], ["doc_id", "sid", "n_shingles"])
 
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(task, "doc_id long, sid long, n_shingles long")
@@ -390,9 +387,8 @@ def keep_one(documents: DataFrame) -> DataFrame:
     schema = T.StructType([T.StructField("kept", T.StructType(documents.schema.fields)), T.StructField("sid", T.LongType()), T.StructField("id", T.LongType())])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
         for batch in pieces(batches, "kept.text"):
-            sets = Sets([spaced_lower(x) for x in texts(field(batch, "kept.text"))], words)
+            sets = Sets(Cut(field(batch, "kept.text"), lower=True))
             yield pa.RecordBatch.from_arrays([batch["kept"], pa.array(sets.sids), field(batch, "kept.doc_id").cast(pa.int64())], ["kept", "sid", "id"])
 
     rows = documents.select(F.struct(*columns).alias("kept")).mapInArrow(task, schema)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm import store
-from quarry.llm.text import Words, pieces, spaced, starts, texts, windows, covered, mixed
+from quarry.llm.text import Cut, covered, mixed, pieces, starts, texts, windows
 
 #: Characters of the symbol count (fixed value).
 SYMBOLS = b"#*$%&|<>"
@@ -49,22 +49,21 @@ def _classes() -> np.ndarray:
 CLASSES = _classes()
 
 
-def statistics(docs: list[bytes], words: Words) -> dict[str, np.ndarray]:
+def statistics(column: pa.Array) -> dict[str, np.ndarray]:
     """All counts and ratios of some texts."""
+    docs = texts(column)
     n = len(docs)
-    cut = [spaced(x) for x in docs]
-    ids, offsets = words.ids(cut)
+    cut = Cut(column)
+    ids, offsets = cut.ids, cut.offsets
     lens = np.diff(offsets)
-    kinds = CLASSES[np.frombuffer(b"".join(docs), np.uint8)]
-    doc = np.repeat(np.arange(n), [len(x) for x in docs])
-    by = np.bincount(doc * 10 + kinds, minlength=10 * n).reshape(n, 10) if len(kinds) else np.zeros((n, 10), np.int64)
+    by = np.array([np.bincount(CLASSES[np.frombuffer(x, np.uint8)], minlength=10) for x in docs], np.int64).reshape(n, 10)
     chars = by.sum(axis=1) - by[:, 1] - by[:, 6] - by[:, 9]
 
     # words in windows of five that occur twice or more in their document
     at = starts(offsets, 5)
     owner = np.repeat(np.arange(n), np.maximum(lens - 4, 0))
     salt = mixed(owner.astype(np.uint64) + np.uint64(1))
-    keys = windows(words.lanes()[ids, 0], 5)[at] ^ salt
+    keys = windows(cut.lanes()[ids, 0], 5)[at] ^ salt
     ordered = np.sort(keys)
     again = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
     twice = at[np.isin(keys, again)] if len(again) else at[:0]
@@ -96,9 +95,8 @@ def features(documents: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Statistics of every whole text; null text: no words, all zero."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
         for batch in pieces(batches):
-            s = statistics(texts(batch["text"]), words)
+            s = statistics(batch["text"])
             yield pa.RecordBatch.from_arrays([batch["doc_id"], *(pa.array(s[c].astype(np.int64)) for c in COUNTS), *(pa.array(s[c].astype(float)) for c in RATIOS)], ["doc_id", *COUNTS, *RATIOS])
 
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(task, FEATURES)
@@ -225,9 +223,8 @@ def keep(documents: DataFrame, labels: DataFrame, sample_rows: int = 20_000, lea
     trees = train(feats, labels, sample_rows)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
         for batch in pieces(batches):
-            s = statistics(texts(batch["text"]), words)
+            s = statistics(batch["text"])
             x = np.stack([s[c].astype(float) for c in RATIOS], axis=1)
             bad = (s["n_words"] < 10) | (s["n_repeat_words"] * 100 > s["n_words"] * 20)
             good = ~bad & (1 / (1 + np.exp(-trees.score(x))) >= least)

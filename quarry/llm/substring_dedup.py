@@ -14,9 +14,9 @@ whose word sequence also starts in a document with a smaller doc_id go.
    smallest doc_id of each comes back by an equi-join.  No repeated window is
    lost: the sketch errs on the large side only.
 
-What is broadcast is one bit per cell: ``rows`` x ``2**bits`` bits whatever the
-corpus.  With more keys than cells the filter lets more windows through; the
-result stays the same.
+The sketch is sized by the corpus, ``CELLS`` cells a row for each key expected,
+2**``MOST_BITS`` at most: its bits are broadcast, 256 MB for two rows.  Beyond
+that the filter lets more windows through; the result stays the same.
 """
 
 from __future__ import annotations
@@ -32,10 +32,12 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.text import Words, covered, field, mixed, pieces, sliding_min, spaced, starts, texts, windows
+from quarry.llm.text import Cut, Words, covered, field, mixed, pieces, sliding_min, spaced, starts, texts, windows
 
 #: Cells of a slice of a sketch row, as a power of two.
 SLICE_BITS = 18
+#: Text bytes to a key, cells to a key, and the largest row, as a power of two.
+KEY_BYTES, CELLS, MOST_BITS = 130, 8, 30
 SKETCH = "part int, cells binary, twice binary"
 WINDOWS = "doc_id long, at long, lane_a long, lane_b long"
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -44,12 +46,13 @@ WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 class Windows:
     """Window hashes of the documents of a piece."""
 
-    def __init__(self, docs: list[list[bytes]], words: Words, size: int, anchor: int) -> None:
-        ids, self.offsets = words.ids(docs)
+    def __init__(self, column: pa.Array, size: int, anchor: int) -> None:
+        cut = Cut(column)
+        ids, self.offsets = cut.ids, cut.offsets
         self.at = starts(self.offsets, size)
-        self.doc = np.repeat(np.arange(len(docs)), np.maximum(np.diff(self.offsets) - size + 1, 0))
+        self.doc = np.repeat(np.arange(len(column)), np.maximum(np.diff(self.offsets) - size + 1, 0))
         self.size = size
-        lanes = words.lanes()
+        lanes = cut.lanes()
         self.a = lanes[ids, 0]
         self._b = lambda: lanes[ids, 1]
         self.keys = sliding_min(windows(self.a, anchor), size - anchor + 1)[self.at] if len(self.at) else np.zeros(0, np.uint64)
@@ -64,6 +67,12 @@ def cells(keys: np.ndarray, row: int, bits: int) -> np.ndarray:
     return (mixed(keys + np.uint64(0x632BE59BD9B4E019 * (row + 1) % 2**64)) >> np.uint64(64 - bits)).astype(np.int64)
 
 
+def sketch_bits(documents: DataFrame) -> int:
+    """Size of a sketch row for the documents, as a power of two."""
+    size = documents.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    return min(max(SLICE_BITS, (CELLS * size // KEY_BYTES).bit_length()), MOST_BITS)
+
+
 def _packed(x: np.ndarray) -> bytes:
     """Ascending numbers: differences as 32-bit words, deflated."""
     return zlib.compress(np.diff(x, prepend=0).astype("<u4").tobytes(), 1)
@@ -82,9 +91,9 @@ def repeated_cells(documents: DataFrame, size: int, anchor: int, rows: int, bits
     span = 1 << min(bits, SLICE_BITS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, held = Words(), []
+        held = []
         for batch in pieces(batches):
-            w = Windows([spaced(x) for x in texts(batch["text"])], words, size, anchor)
+            w = Windows(batch["text"], size, anchor)
             new = np.ones(len(w.keys), bool)
             new[1:] = (w.keys[1:] != w.keys[:-1]) | (w.doc[1:] != w.doc[:-1])
             keys, doc = w.keys[new], w.doc[new]
@@ -148,10 +157,9 @@ def repeats(documents: DataFrame, repeated: Broadcast, size: int, anchor: int, r
     start)."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
         for batch in pieces(batches):
             raw = texts(batch["text"])
-            w = Windows([spaced(x) for x in raw], words, size, anchor)
+            w = Windows(batch["text"], size, anchor)
             some = np.flatnonzero(_estimated(w.keys, repeated.value, rows, bits))
             if len(some):
                 a, b = w.exact(some)
@@ -171,7 +179,7 @@ def repeats(documents: DataFrame, repeated: Broadcast, size: int, anchor: int, r
     return later.groupBy("doc_id", text_key.alias("text_key")).agg(F.collect_list(start).alias("starts"))
 
 
-def marked(documents: DataFrame, keep: list[str], size: int = 50, anchor_words: int = 8, rows: int = 2, bits: int = 27) -> DataFrame:
+def marked(documents: DataFrame, keep: list[str], size: int = 50, anchor_words: int = 8, rows: int = 2, bits: int | None = None) -> DataFrame:
     """The documents, as struct ``kept`` (columns ``keep`` and text), with
     ``starts`` of the windows to remove (null: none).
 
@@ -180,6 +188,7 @@ def marked(documents: DataFrame, keep: list[str], size: int = 50, anchor_words:
     repeat a doc_id with another text don't remove each other's words."""
     spark = documents.sparkSession
     anchor = min(anchor_words, size)
+    bits = bits or sketch_bits(documents)
     shared = spark.sparkContext.broadcast(repeated_cells(documents, size, anchor, rows, bits))
     later = repeats(documents, shared, size, anchor, rows, bits)
     text = F.col("text").cast("string")
@@ -187,9 +196,8 @@ def marked(documents: DataFrame, keep: list[str], size: int = 50, anchor_words:
     schema = own.schema
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
         for batch in pieces(batches, "kept.text"):
-            w = Windows([spaced(x) for x in texts(field(batch, "kept.text"))], words, size, anchor)
+            w = Windows(field(batch, "kept.text"), size, anchor)
             some = np.zeros(batch.num_rows, bool)
             some[w.doc[_estimated(w.keys, shared.value, rows, bits)]] = True
             yield batch.set_column(3, "some", pa.array(some))

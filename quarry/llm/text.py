@@ -1,8 +1,9 @@
 """Words, word tables and rolling window hashes shared by the operators.
 
 Everything here runs inside tasks on Arrow batches.  A batch is cut into
-pieces of bounded text size, each distinct word of a piece gets a small
-integer once, and all further work is numpy on integer arrays.
+pieces of bounded text size; ``Cut`` has Arrow split and number the words of a
+piece, so that Python sees each distinct word once and no list of words is
+built; all further work is numpy on integer arrays.
 """
 
 from __future__ import annotations
@@ -51,7 +52,7 @@ def field(batch: pa.RecordBatch, column: str) -> pa.Array:
     return batch[name].flatten()[batch[name].type.get_field_index(inner)]
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut batches so that a piece holds at most ``most`` bytes of ``column``
     (or one row, if that row alone is longer)."""
     for batch in batches:
@@ -67,6 +68,44 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
         yield batch.slice(start)
 
 
+class Cut:
+    """Words ``[^\\x20\\x09-\\x0D]+`` of the texts of a string column (null:
+    none): ``ids``, numbers of the piece's distinct words in text order, and
+    ``offsets``, where each text's words begin."""
+
+    def __init__(self, column: pa.Array, lower: bool = False) -> None:
+        # a copy without offset: the kernels don't all take slices
+        text = pa.concat_arrays([column, column.slice(0, 0)]).cast(pa.large_string())
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(text) if lower else text)
+        self._number(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False), lists.flatten())
+
+    @classmethod
+    def of(cls, docs: list[list[bytes]]) -> Cut:
+        """The same for lists of words."""
+        out = cls.__new__(cls)
+        out._number(np.fromiter(map(len, docs), np.int64, len(docs)), pa.array([w.decode() for d in docs for w in d], pa.large_string()))
+        return out
+
+    def _number(self, lens: np.ndarray, words: pa.Array) -> None:
+        coded = words.dictionary_encode()
+        ids, edges = coded.indices.to_numpy(), np.concatenate([[0], np.cumsum(lens, dtype=np.int64)])
+        self._words = coded.dictionary
+        none = pc.index(self._words, "").as_py()  # white space at either end of a text
+        if none >= 0:
+            some = ids != none
+            edges = np.concatenate([[0], np.cumsum(some)])[edges]
+            ids = ids[some]
+        self.ids, self.offsets = ids, edges
+
+    def lanes(self) -> np.ndarray:
+        """Two 64-bit hashes per word, in the order of the numbers."""
+        _, ends, data = self._words.buffers()
+        at = np.frombuffer(ends, np.int64)[self._words.offset : self._words.offset + len(self._words) + 1].tolist() if len(self._words) else [0]
+        raw = data.to_pybytes() if data is not None else b""
+        digest = b"".join([xxhash.xxh3_128_digest(raw[a:b]) for a, b in zip(at, at[1:], strict=False)])
+        return np.frombuffer(digest, np.uint64).reshape(-1, 2)
+
+
 class Words(dict):
     """Word to small integer, with the two 64-bit hashes of each word.
 
@@ -113,15 +152,19 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+#: Powers that a worker keeps; a longer run of words makes its own.
+KEPT_POWERS = 1 << 18
 
 
 def _powers(multiplier: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     have = _POWERS.get(multiplier)
     if have is None or len(have[0]) < n:
-        size = max(1 << 16, n + n // 4)
+        size = max(KEPT_POWERS, n)
         bases = np.array([[multiplier], [pow(multiplier, -1, 1 << 64)]], np.uint64).repeat(size, axis=1)
         bases[:, 0] = 1
-        have = _POWERS[multiplier] = tuple(np.cumprod(bases, axis=1, dtype=np.uint64))
+        have = tuple(np.cumprod(bases, axis=1, dtype=np.uint64))
+        if size == KEPT_POWERS:
+            _POWERS[multiplier] = have
     return have[0][:n], have[1][:n]
 
 

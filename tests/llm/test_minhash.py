@@ -9,7 +9,7 @@ import pytest
 
 from quarry.llm import minhash, queries
 from quarry.llm.partenum import Sets
-from quarry.llm.text import Words
+from quarry.llm.text import Cut
 
 SF = "/root/testdata/sf0.001"
 ODD = [(None, "x y z"), (None, "x y z"), (900, "x y z"), (901, None), (902, ""), (903, " \n\t"), (904, "the " * 30_000), (905, "ſé 中文 \x0b a\x1cb"), (905, "twice"), (905, "twice"), (906, "A B c d e f"), (907, "a b C d e f"), (908, None)]
@@ -110,7 +110,7 @@ def test_densified_agreement_is_similarity():
         for k in range(12):
             common = [f"c{k}-{i}" for i in range(size)]
             a, b = common + [f"a{k}"] * 1, common + [f"b{k}-{i}" for i in range(size // 4)]
-            sets = Sets([[w.encode() for w in x] for x in (a, b)], Words(), 1)
+            sets = Sets(Cut.of([[w.encode() for w in x] for x in (a, b)]), 1)
             s = signer.signatures(sets, np.array([0, 1]))
             share.append((s[0] == s[1]).mean())
             want.append(len({*a} & {*b}) / len({*a} | {*b}))
@@ -120,7 +120,7 @@ def test_densified_agreement_is_similarity():
 def test_few_and_many_filled_bins_take_the_same_order():
     """Both ways of densifying pick the first filled bin of a bin's order."""
     signer = minhash.Signer()
-    sets = Sets([[f"t{k}-{i}".encode() for i in range(n)] for k, n in enumerate((1, 5, 8, 9, 40, 700))], Words(), 1)
+    sets = Sets(Cut.of([[f"t{k}-{i}".encode() for i in range(n)] for k, n in enumerate((1, 5, 8, 9, 40, 700))]), 1)
     got = signer.signatures(sets, np.arange(6))
     hashes = minhash.mixed(sets.shingles ^ np.uint64(0x9FB21C651E98DF25))
     for d in range(6):

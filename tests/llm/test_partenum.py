@@ -5,10 +5,11 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from quarry.llm import partenum, queries
-from quarry.llm.text import Words
+from quarry.llm.text import Cut
 
 SF = "/root/testdata/sf0.001"
 
@@ -105,9 +106,20 @@ def test_linked_sizes_share_a_band_and_shingles_have_parts_of_their_own():
         bands = []
         for size in (n, n * 4 // 3):
             docs = [[b"%d" % x for x in r.integers(0, 10**9, size + 4)] for _ in range(5)]
-            sets = partenum.Sets(docs, Words())
+            sets = partenum.Sets(Cut.of(docs))
             found = list(partenum.signatures(sets, sets.sizes > 0))
             bands.append({band for band, _, _, _ in found})
             for _, own, count, tokens in found:
                 assert (count + partenum.SPARE >= sets.sizes[own]).all() and len(tokens) == count.sum()
         assert bands[0] & bands[1]
+
+
+def test_slices_are_cut_like_word_lists():
+    texts = [f" Ab{i} é{i % 7}Z\t{'x ' * (i % 5)}" if i % 11 else None for i in range(300)]
+    column = pa.array(texts)
+    for part in (column, column.slice(100, 150), column.slice(299), column.slice(3, 0)):
+        for lower in (False, True):
+            cut = Cut(part, lower)
+            words = [w for t in part.to_pylist() for w in re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "") if lower else t or "")]
+            whole = Cut.of([[w.encode() for w in words]])
+            assert (cut.lanes()[cut.ids] == whole.lanes()[whole.ids]).all() and len(cut.offsets) == len(part) + 1 and cut.offsets[-1] == len(words)
