@@ -12,6 +12,7 @@ indexed words that were found in place.
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -98,10 +99,17 @@ class Index:
 
 def find(index: Index, at: np.ndarray, words: np.ndarray, drift: int, share: float) -> list[tuple[int, int, float]]:
     """(template, start, score) in one document; ``at``: places of the known
-    words in it, ``words``: which they are."""
+    words in it, ``words``: which they are.
+
+    Every place of a template's key phrase gives a start; around it, within
+    ``drift`` words, enough of the template's indexed words must vote for a
+    start there (sorted votes, so a start looks at its neighbours only)."""
     votes: dict[int, list[tuple[int, int]]] = {}
-    there = set(words.tolist())
-    live = {t for t, w in enumerate(index.anchors) if w in there}
+    where: dict[int, list[int]] = {w: [] for w in set(index.anchors)}
+    for place, word in zip(at.tolist(), words.tolist(), strict=True):
+        if word in where:
+            where[word].append(place)
+    live = {t for t, w in enumerate(index.anchors) if where[w]}
     for place, word in zip(at.tolist(), words.tolist(), strict=True):
         for t, i in index.postings.get(word, ()):
             if t in live:
@@ -116,18 +124,13 @@ def find(index: Index, at: np.ndarray, words: np.ndarray, drift: int, share: flo
         if len(offsets) < need:
             continue
         offsets.sort()
-        group: list[tuple[int, int]] = []
-        for offset in [*offsets, (1 << 60, 0)]:
-            if group and offset[0] - group[-1][0] > slack:
-                found = len({i for _, i in group})
-                if found >= need:
-                    middle = group[len(group) // 2][0]
-                    for start in sorted(range(middle - slack, middle + slack + 1), key=lambda x, m=middle: (abs(x - m), x)):
-                        if start + key_at >= 0 and all(known.get(start + key_at + j) == w for j, w in enumerate(key)):
-                            out.append((t, start, found / index.sizes[t]))
-                            break
-                group = []
-            group.append(offset)
+        inside = [j for j, w in enumerate(key) if w == index.anchors[t]]
+        for begin in sorted({place - j for place in where[index.anchors[t]] for j in inside}):
+            start = begin - key_at
+            near = offsets[bisect_left(offsets, (start - slack, -1)) : bisect_left(offsets, (start + slack + 1, -1))]
+            found = len({i for _, i in near})
+            if found >= need and all(known.get(begin + j) == w for j, w in enumerate(key)):
+                out.append((t, start, found / index.sizes[t]))
     return out
 
 
@@ -141,7 +144,9 @@ def scan(documents: DataFrame, base: tuple[Template, ...] = BASE, notices: tuple
     Null and empty texts have no words and score 0; repeated rows are scanned
     each; other columns play no part.  ``rare``: indexed words of a notice
     (base phrases are indexed whole); ``share``: of these, as many must agree
-    on the place within ``drift`` words."""
+    on the place within ``drift`` words.  Notices may overlap or follow each
+    other at any distance: every place of a key phrase is judged by itself, and
+    ties in score are all kept.  An empty table has no rows."""
     index = Index((*base, *notices), len(base), max(rare, *(len(plain_lower(t.text.encode())) for t in base)))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

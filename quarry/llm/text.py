@@ -8,6 +8,7 @@ built; all further work is numpy on integer arrays.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from itertools import chain
 
@@ -52,10 +53,30 @@ def field(batch: pa.RecordBatch, column: str) -> pa.Array:
     return batch[name].flatten()[batch[name].type.get_field_index(inner)]
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+#: What workers keep from task to task; a task of another kind drops it.
+CACHES: list[dict] = []
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):  # another C library: nothing to ask for
+    _trim = None
+
+
+def give_back() -> None:
+    """Return freed memory to the system, as idle workers stay for a while."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
+def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 1 << 20, keep: dict | None = None) -> Iterator[pa.RecordBatch]:
     """Cut batches so that a piece holds at most ``most`` bytes of ``column``
-    (or one row, if that row alone is longer)."""
+    (or one row, if that row alone is longer).  Of what the worker kept from
+    earlier tasks only ``keep`` stays."""
+    for cache in CACHES:
+        if cache is not keep:
+            cache.clear()
     for batch in batches:
+        give_back()
         if not batch.num_rows:
             continue
         sizes = np.array([0 if n is None else n for n in pc.binary_length(field(batch, column)).to_pylist()], np.int64)
@@ -66,6 +87,7 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
                 start, total = i, 0
             total += int(n)
         yield batch.slice(start)
+    give_back()
 
 
 class Cut:

@@ -20,6 +20,8 @@ import regex
 import tokenizers
 import xxhash
 
+from quarry.llm.text import CACHES
+
 #: Pre-tokenizer patterns of the two layouts that may be cut at spaces (fixed values of the public vocabularies).
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -216,14 +218,17 @@ class Encoder:
         return np.concatenate(out), np.concatenate([[0], np.cumsum([len(x) for x in out])])
 
 
-_ENCODERS: dict[tuple[str, bool], Encoder] = {}
+#: The worker's encoders, until a task comes that needs none.
+ENCODERS: dict[tuple[str, bool], Encoder] = {}
+CACHES.append(ENCODERS)
 
 
 def encoder(path: str, special: bool = False) -> Encoder:
     """The worker's encoder for a vocabulary file, kept between tasks."""
-    if (path, special) not in _ENCODERS:
-        _ENCODERS[path, special] = Encoder(path, special)
-    return _ENCODERS[path, special]
+    if (path, special) not in ENCODERS:
+        ENCODERS.clear()
+        ENCODERS[path, special] = Encoder(path, special)
+    return ENCODERS[path, special]
 
 
 def with_end(flat: np.ndarray, offsets: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:

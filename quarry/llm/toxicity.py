@@ -3,7 +3,7 @@
 A word is the bag of its character n-grams (with word borders) and of itself;
 each is hashed to a row of an embedding table.  A document is the mean of its
 words' vectors, and a softmax over two classes reads it.  Table and softmax are
-trained jointly in numpy by mini-batch gradient descent.  An unseen misspelling shares
+trained jointly in numpy by mini-batch gradient descent from random embeddings.  An unseen misspelling shares
 most n-grams, and so most of its vector, with the word it comes from.
 
 A mean is linear, so for scoring table and softmax fold into one number per
@@ -19,9 +19,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.llm import store
 from quarry.llm.text import mixed, pieces, plain_lower, ragged, texts
 
 SCHEMA = "doc_id long, score double"
@@ -102,8 +103,18 @@ def fit(docs: list[list[bytes]], y: np.ndarray, buckets: int = 1 << 18, sizes: t
     return fit_bags(bags(docs, buckets, sizes, pad), y, buckets, sizes, pad, **options)
 
 
-def fit_bags(docs: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, buckets: int = 1 << 18, sizes: tuple[int, ...] = (3, 4, 5), pad: int = 20, dims: int = 8, steps: int = 1_500, batch: int = 64, rate: float = 3.0, curb: float = 10.0, seed: int = 7) -> Model:
-    """Train table and softmax jointly on documents' table rows.
+def fit_bags(docs: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, buckets: int = 1 << 18, sizes: tuple[int, ...] = (3, 4, 5), pad: int = 20, dims: int = 8, steps: int = 1_500, batch: int = 64, rate: float = 3.0, curb: float = 10.0, spread: float = 0.05, seed: int = 7) -> Model:
+    """Train table and softmax jointly on documents' table rows."""
+    table, soft, bias = embeddings(docs, y, buckets, dims, steps, batch, rate, curb, spread, seed)
+    return Model(table @ (soft[:, 1] - soft[:, 0]), float(bias[1] - bias[0]), sizes, pad)
+
+
+def embeddings(docs: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, buckets: int, dims: int, steps: int, batch: int, rate: float, curb: float, spread: float, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Embedding table, softmax weights and biases.
+
+    Rows that occur start at random points (deviation ``spread``), rows that
+    don't stay at zero, neutral.  Softmax weights move too, so the steps of the
+    table turn from batch to batch and reach all dimensions.
 
     Every row that occurs is trained, at a rate that grows with the square of
     what its documents' labels tell: the log-odds of their toxic share, shrunk
@@ -111,7 +122,7 @@ def fit_bags(docs: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, buckets:
     rows and those that both classes hold alike stay nearer to neutral."""
     if not len(y) or y.min() == y.max():
         share = (y.sum() + 1) / (len(y) + 2) if len(y) else 0.01
-        return Model(np.zeros(buckets), float(np.log(share / (1 - share))), sizes, pad)
+        return np.zeros((buckets, dims), np.float32), np.zeros((dims, 2)), np.array([0.0, np.log(share / (1 - share))])
     held_by, toxic_by = np.zeros(buckets), np.zeros(buckets)
     for (own, _), label in zip(docs, y, strict=True):
         held_by[own] += 1
@@ -121,7 +132,7 @@ def fit_bags(docs: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, buckets:
     pace = rate * np.abs(np.log(near / (1 - near)) - np.log(share / (1 - share))) ** 2
     size = np.array([len(own) for own, _ in docs])
     random = np.random.default_rng(seed)
-    table = np.zeros((buckets, dims), np.float32)
+    table = np.where(held_by[:, None] > 0, random.normal(0, spread, (buckets, dims)), 0.0).astype(np.float32)
     soft, bias = random.normal(0, 1.0, (dims, 2)), np.zeros(2)
     seen = np.full(buckets, 1e-10)
     for _ in range(-(-steps * batch // len(docs))):
@@ -145,7 +156,7 @@ def fit_bags(docs: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, buckets:
             move, lean = mean.T @ wrong, wrong.sum(axis=0)
             soft -= 0.02 * move
             bias -= 0.5 * lean
-    return Model(table @ (soft[:, 1] - soft[:, 0]), float(bias[1] - bias[0]), sizes, pad)
+    return table, soft, bias
 
 
 class Scores(dict):
@@ -176,12 +187,14 @@ class Scores(dict):
         return 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
 
 
-def train(documents: DataFrame, labels: DataFrame, sample_rows: int = 8_000, **options) -> Model:
+def train(documents: DataFrame, labels: DataFrame, sample_rows: int = 8_000, sample_parts: int = 40_000_000, **options) -> Model:
     """Fit on at most ``sample_rows`` labelled documents (those with the
-    smallest hashed doc_id, a quarter of them toxic where there are enough).
-    Tasks reduce each whole text to its table rows and their parts of its
-    mean, sent compressed, so what comes to the driver is bounded by sample and table whatever
-    the texts' lengths.  Rows with a null id or label are left out."""
+    smallest hashed doc_id, a quarter of them toxic where there are enough) and
+    ``sample_parts`` table rows of theirs, both classes alike.  Tasks reduce
+    each whole text to its table rows and their parts of its mean, sent
+    compressed, so the driver holds 8 bytes for each of ``sample_parts``
+    whatever the texts' lengths.  Rows with a null id or label are left out;
+    conflicting labels of a document count each."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).dropna()
     picked = None
     for label, most in ((0, sample_rows * 3 // 4), (1, sample_rows // 4)):
@@ -195,9 +208,13 @@ def train(documents: DataFrame, labels: DataFrame, sample_rows: int = 8_000, **o
             own = bags([plain_lower(x) for x in texts(b["text"])], **shape)
             rows = pa.array([zlib.compress(np.diff(x, prepend=0).astype("<i4").tobytes(), 1) for x, _ in own], pa.binary())
             parts = pa.array([zlib.compress(x.astype("<f4").tobytes(), 1) for _, x in own], pa.binary())
-            yield pa.RecordBatch.from_arrays([b["doc_id"], b["toxic"], rows, parts], ["doc_id", "toxic", "rows", "parts"])
+            yield pa.RecordBatch.from_arrays([b["doc_id"], b["toxic"], pa.array([len(x) for x, _ in own], pa.int64()), rows, parts], ["doc_id", "toxic", "n", "rows", "parts"])
 
-    got = source.join(F.broadcast(picked), "doc_id").mapInArrow(reduced, "doc_id long, toxic int, rows binary, parts binary").orderBy("doc_id", "toxic", "rows", "parts").toArrow()
+    # at most sample_rows rows, so the running sum per class is a small sort
+    bagged = store.table(source.join(F.broadcast(picked), "doc_id").mapInArrow(reduced, "doc_id long, toxic int, n long, rows binary, parts binary"), "toxicity-sample")
+    so_far = F.sum("n").over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id", "rows").rowsBetween(Window.unboundedPreceding, 0))
+    share = F.when(F.col("toxic") == 1, sample_parts // 4).otherwise(sample_parts * 3 // 4)
+    got = bagged.withColumn("so_far", so_far).filter(F.col("so_far") <= share).drop("so_far", "n").orderBy("doc_id", "toxic", "rows", "parts").toArrow()
     y = np.array(got["toxic"].to_pylist(), float)
     docs = [(np.cumsum(np.frombuffer(zlib.decompress(a.as_buffer()), "<i4"), dtype=np.int32), np.frombuffer(zlib.decompress(b.as_buffer()), "<f4")) for a, b in zip(got["rows"], got["parts"], strict=True)]
     del got
@@ -206,7 +223,8 @@ def train(documents: DataFrame, labels: DataFrame, sample_rows: int = 8_000, **o
 
 def score(documents: DataFrame, model: Model) -> DataFrame:
     """doc_id and score (0 to 1) of every whole text.  Null and empty texts
-    get the score of the bias alone; repeated rows are scored each."""
+    get the score of the bias alone; repeated rows are scored each and alike.
+    An empty table has no rows."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -167,6 +167,102 @@ def test_clean(spark):
     assert got[1]["items"] == "z" and decontaminate.clean(docs, table, window=3).columns == docs.columns
 
 
+def every_start(text, drift=6, share=0.6, rare=8):
+    """All (label, start) by trying every start of every template."""
+    templates = (*license_scan.BASE, *license_scan.NOTICES)
+    index = license_scan.Index(templates, len(license_scan.BASE), max(rare, *(len(plain(t.text)) for t in license_scan.BASE)))
+    words, out = plain(text), set()
+    number = {i: w.decode() for w, i in index.words.items()}
+    for t, template in enumerate(templates):
+        own = [(number[w], i) for w, posts in index.postings.items() for u, i in posts if u == t]
+        key, body = plain(template.key or template.text), plain(template.text)
+        at = next(i for i in range(len(body)) if body[i : i + len(key)] == key)
+        base = t < len(license_scan.BASE)
+        need = len(own) if base else max(2, -(-round(share * 100) * len(own) // 100))
+        for start in range(-len(body), len(words)):
+            if start + at < 0 or words[start + at : start + at + len(key)] != key:
+                continue
+            slack = 0 if base else drift
+            agree = sum(any(0 <= start + i + d < len(words) and words[start + i + d] == w for d in range(-slack, slack + 1)) for w, i in own)
+            if agree >= need:
+                out.add((template.label, start))
+    return out
+
+
+def test_every_notice_is_found(spark):
+    mit, gpl = "released under the MIT license", license_scan.NOTICES[0].text
+    rows = [
+        (1, "under the mit x x " * 8 + mit), (2, " ".join([mit] * 3)), (3, f"{gpl} {gpl}\n{mit}. {gpl}"), (4, "a " * 500 + gpl + " b" * 500),
+        (5, " ".join(t.text for t in license_scan.NOTICES)), (6, " x ".join(t.text for t in reversed(license_scan.NOTICES))),
+        (7, gpl.replace("free software you can", "free, very free software and you can")), (8, "the mit license it can you " * 40 + mit + " it can you"),
+    ]
+    got = {r.doc_id: r for r in license_scan.scan(frame(spark, rows)).collect()}
+    for d, text in rows:
+        assert {(m.label, m.start) for m in got[d].matches} == every_start(text), d
+    assert "mit-notice" in got[1].labels and sum(m.label == "mit-notice" for m in got[2].matches) == 3
+    assert set(got[5].labels.split(",")) == {t.label for t in (*license_scan.BASE, *license_scan.NOTICES)} - {"cc-by" if "cc by" not in " ".join(t.text for t in license_scan.NOTICES) else "-"}
+
+
+def test_empty_tables(spark):
+    none, labels = frame(spark, []), spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    assert license_scan.scan(none).collect() == []
+    assert toxicity.score(none, toxicity.train(none, labels)).collect() == []
+
+
+def test_embeddings_have_many_dimensions():
+    r = np.random.default_rng(2)
+    words = [f"w{k}".encode() for k in range(300)]
+    docs = [[words[i] for i in r.integers(0, 250, 40)] + ([words[280 + i % 7]] * 2 if i % 2 else []) for i in range(200)]
+    y = np.arange(200) % 2
+    bagged = toxicity.bags(docs, 1 << 12, (3, 4, 5), 20)
+    table, soft, bias = toxicity.embeddings(bagged, y.astype(float), 1 << 12, 8, 300, 64, 3.0, 10.0, 0.05, 7)
+    singular = np.linalg.svd(table - table.mean(axis=0), compute_uv=False)
+    assert (singular > 0.05).sum() == 8
+    held = np.zeros(1 << 12, bool)
+    for own, _ in bagged:
+        held[own] = True
+    assert (table[~held] == 0).all() and (np.abs(table[held]).sum(axis=1) > 0).all()
+    odds = [(part @ table[own]) @ (soft[:, 1] - soft[:, 0]) + bias[1] - bias[0] for own, part in bagged]
+    assert np.mean((np.array(odds) > 0) == (y == 1)) > 0.95
+
+
+def test_embeddings_by_plain_loops():
+    """The same steps, document by document and dimension by dimension."""
+    r = np.random.default_rng(4)
+    docs = [(np.sort(r.choice(40, 6, replace=False)), r.random(6).astype(np.float32)) for _ in range(12)]
+    y = np.arange(12) % 2.0
+    args = dict(buckets=40, dims=3, steps=9, batch=4, rate=0.7, curb=2.0, spread=0.05, seed=3)
+    table, soft, bias = toxicity.embeddings(docs, y, **args)
+    random = np.random.default_rng(3)
+    held = [sum(k in own for own, _ in docs) for k in range(40)]
+    toxic = [sum(k in own for (own, _), label in zip(docs, y) if label) for k in range(40)]
+    logit = lambda p: np.log(p / (1 - p))
+    pace = [0.7 * (logit((toxic[k] + 1.0) / (held[k] + 2.0)) - logit(0.5)) ** 2 for k in range(40)]
+    t = random.normal(0, 0.05, (40, 3)).astype(np.float32)
+    t[[k for k in range(40) if not held[k]]] = 0
+    w, b, seen = random.normal(0, 1.0, (3, 2)), np.zeros(2), np.full(40, 1e-10)
+    for _ in range(3):
+        order = random.permutation(12)
+        for start in range(0, 12, 4):
+            grad, move, lean = np.zeros(40), np.zeros((3, 2)), np.zeros(2)
+            for i in order[start : start + 4].tolist():
+                own, part = docs[i]
+                mean = sum(p * t[k] for k, p in zip(own, part))
+                e = np.exp(mean @ w + b)
+                wrong = (e / e.sum() - np.eye(2)[int(y[i])]) / 4
+                for k, p in zip(own, part):
+                    grad[k] += p * wrong[1]
+                move += np.outer(mean, wrong)
+                lean += wrong
+            line = w[:, 1] - w[:, 0]
+            for k in range(40):
+                if grad[k]:
+                    seen[k] += grad[k] ** 2 * (line**2).mean()
+                    t[k] -= pace[k] * grad[k] / np.sqrt(seen[k]) * line
+            w, b = w - 0.02 * move, b - 0.5 * lean
+    assert np.allclose(table, t, atol=1e-4) and np.allclose(soft, w, atol=1e-4) and np.allclose(bias, b, atol=1e-4)
+
+
 def test_subwords_are_character_ngrams():
     words = ["abc", "é中x", "a"]
     rows, edge = toxicity.subwords([w.encode() for w in words], 1 << 30, (2, 3))
