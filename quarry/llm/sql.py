@@ -1,8 +1,8 @@
 """DuckDB SQL for the queries that SQL can express.
 
 The others can't be: the trees' verdict (op2), learned mixture weights (op3),
-the tokenizer (op5, op9), labels by agreeing places (op7) and embeddings
-(op10).  Their tests compare with brute force, an exact round trip or held-out
+the tokenizer (op5, op9), labels by agreeing places (op7), embeddings (op10)
+and eigenvectors (op11).  Their tests compare with brute force, an exact round trip or held-out
 labels instead.
 """
 
@@ -73,10 +73,58 @@ names AS (SELECT doc_id, count(*) AS c, string_agg(item, ',' ORDER BY item) AS i
 SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(covered.c, 0) AS n_hit, coalesce(names.c, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, covered.c IS NOT NULL AS contaminated
 FROM w LEFT JOIN covered USING (doc_id) LEFT JOIN names USING (doc_id)"""
 
+
+
+def _part(value: str) -> str:
+    return f"coalesce(octet_length(encode(CAST({value} AS VARCHAR))) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(map(_part, ("doc_id", "source", "lang", n_chars, "text"))) + ")"
+
+
+def _nodes(name: str, leaves: str) -> str:
+    """Digests of all levels: two neighbours, or a last one alone, make one."""
+    return f"""{name}(grp, level, pos, n, h) AS (
+  SELECT grp, 0, pos, n, h FROM {leaves}
+  UNION ALL
+  SELECT grp, level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM {name} WHERE n > 1 GROUP BY grp, level, pos // 2, n)"""
+
+
+def _siblings(tree: int, leaves: str, nodes: str, at: str) -> str:
+    """A row for each level of each document's way up, h null where it is alone."""
+    return f"""SELECT l.rid, {tree} AS tree, v.level, s.h, (t.pos >> v.level) & 1 AS odd
+  FROM l JOIN {leaves} t ON {at} JOIN (SELECT DISTINCT grp, level FROM {nodes} WHERE n > 1) v ON v.grp IS NOT DISTINCT FROM t.grp
+  LEFT JOIN {nodes} s ON s.grp IS NOT DISTINCT FROM t.grp AND s.level = v.level AND s.pos = xor(t.pos >> v.level, 1)"""
+
+
+#: CRC-32 of a number's decimal digits, bit by bit.
+CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+  lambda a, b: list_reduce(list_prepend(xor(a, b), range(0, 8)), lambda r, k: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384::BIGINT) ELSE r >> 1 END)))"""
+
+MERKLE = f"""
+WITH RECURSIVE d AS (SELECT doc_id, lang AS grp, {_leaf('n_chars')} AS h, {_leaf(f'CASE WHEN {CRC} % 7 = 0 THEN n_chars + 1 ELSE n_chars END')} AS claim FROM documents),
+l AS (
+  SELECT *, row_number() OVER () AS rid, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, h) - 1 AS pos, count(*) OVER (PARTITION BY grp) AS n FROM d),
+{_nodes('node', 'l')},
+top AS (
+  SELECT NULL AS grp, grp AS lang, h, row_number() OVER (ORDER BY grp IS NOT NULL, grp) - 1 AS pos, count(*) OVER () AS n FROM node WHERE n = 1),
+{_nodes('over_', 'top')},
+sib AS ({_siblings(0, 'l', 'node', 't.rid = l.rid')} UNION ALL {_siblings(1, 'top', 'over_', 't.lang IS NOT DISTINCT FROM l.grp')}),
+way AS (SELECT rid, list({{'h': coalesce(h, ''), 'odd': odd}} ORDER BY tree, level) AS p FROM sib GROUP BY rid),
+out_ AS (
+  SELECT l.doc_id, l.h AS leaf, top.h AS subroot, (SELECT h FROM over_ WHERE n = 1) AS root,
+    sha256(coalesce(array_to_string(list_transform(p, lambda x: x.h), ''), '')) AS proof_sha256,
+    CASE WHEN p IS NULL THEN claim ELSE list_reduce(list_prepend({{'h': claim, 'odd': 0::BIGINT}}, p),
+      lambda a, b: {{'h': sha256(CASE WHEN b.odd = 1 THEN b.h || a.h ELSE a.h || b.h END), 'odd': 0::BIGINT}}).h END AS folded_root
+  FROM l JOIN top ON top.lang IS NOT DISTINCT FROM l.grp LEFT JOIN way USING (rid))
+SELECT *, folded_root = root AS verified FROM out_"""
+
 ORACLE: dict[str, str] = {
     "op1_substring_dedup": SUBSTRINGS,
     "op4_ngram_join": JOIN,
     "op6_warc_members": WARC,
     "op12_minhash_dedup": NEAR,
+    "op13_merkle_manifest": MERKLE,
     "op8_decontaminate": BENCHMARK,
 }
