@@ -131,9 +131,31 @@ def wildcard_to_regex(c: Column | str) -> Column:
     return F.concat(F.lit("^"), F.array_join(F.transform(parts, part), ""), F.lit("$"))
 
 
-def wildcard_literal(c: Column | str) -> Column:
-    """Longest run of plain characters in a wildcard pattern ('' when none):
-    every matching term contains it, so it is a cheap guard before the
-    regex."""
-    segs = F.regexp_extract_all(_col(c), F.lit(r"[^*?\\]+"), 0)
-    return F.aggregate(segs, F.lit(""), lambda acc, s: F.when(F.length(s) > F.length(acc), s).otherwise(acc))
+#: Ends of a term, as characters of its trigrams (fixed values no text has).
+TERM_START, TERM_END = "\x02", "\x03"
+
+
+def _trigrams(c: Column) -> Column:
+    return F.transform(F.sequence(F.lit(1), F.length(c) - 2), lambda i: F.substring(c, i, F.lit(3)))
+
+
+def term_trigrams(c: Column | str) -> Column:
+    """Distinct trigrams of a term (not empty) with both its ends."""
+    return F.array_distinct(_trigrams(F.concat(F.lit(TERM_START), _col(c), F.lit(TERM_END))))
+
+
+def wildcard_trigrams(c: Column | str, case_insensitive: bool = False) -> Column:
+    """Trigrams that every term matching a wildcard pattern has: those of its
+    literal runs, an end of the pattern being one of the term's.  None where no
+    run is long enough.  Without regard to case, only runs of ASCII count (other
+    letters may change their number), in small letters, as the terms are."""
+    gap = "\x00"
+    parts = F.regexp_extract_all(_col(c), F.lit(WILDCARD_PART), 0)
+
+    def part(p: Column) -> Column:
+        return F.when(p.isin("*", "?"), F.lit(gap)).when(p.startswith("\\") & (F.length(p) > 1), F.substring(p, 2, 2)).otherwise(p)
+
+    runs = F.split(F.concat(F.lit(TERM_START), F.array_join(F.transform(parts, part), ""), F.lit(TERM_END)), gap, -1)
+    if case_insensitive:
+        runs = F.transform(F.filter(runs, lambda r: r.rlike(r"^[\x00-\x7F]*$")), F.lower)
+    return F.array_distinct(F.flatten(F.transform(F.filter(runs, lambda r: F.length(r) >= 3), _trigrams)))

@@ -149,6 +149,16 @@ class SearchIndex:
         hold a query term."""
         return ["field", "tb", "term"] if "term_buckets" in self.extra else ["field", "term"]
 
+    def trigrams(self) -> tuple[DataFrame, DataFrame]:
+        """``(gram, field, term)`` of the term dictionary and ``(gram, n)``, the
+        terms of each; made when a wildcard search asks first."""
+        if "trigrams" not in self.extra:
+            from quarry.operators.common import materialize
+
+            grams = materialize(self.term_stats.select(F.explode(T.term_trigrams("term")).alias("gram"), "field", "term"), "trigrams")
+            self.extra["trigrams"] = grams, materialize(grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n")), "trigram_stats")
+        return self.extra["trigrams"]
+
     def keyed(self, terms: DataFrame) -> DataFrame:
         """``terms`` with the bucket column when the index is bucketed."""
         b = self.extra.get("term_buckets")

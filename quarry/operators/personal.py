@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.operators.common import bounded_broadcast
+from quarry.operators.common import bounded_broadcast, fits, materialize
 
 # --- fixed values ----------------------------------------------------------
 TITLE_HIT = 1
@@ -45,8 +45,10 @@ def personal_rerank(hits: DataFrame, docs: DataFrame, queries: DataFrame, histor
     if pagerank_weight:
         cols.append(F.coalesce("pagerank", F.lit(0.0)).alias("pr"))
     d = docs.select(*cols)
-    hq = h.join(bounded_broadcast(q), "query_id")
-    j = hq.join(hist, "username", "left").join(d.join(hq.select("doc_id").distinct(), "doc_id", "left_semi"), "doc_id")
+    hq = materialize(h.join(bounded_broadcast(q), "query_id"), "personal_hits")  # the search runs once
+    shown = materialize(hq.select("doc_id").distinct(), "shown_docs")
+    d = d.join(F.broadcast(shown) if fits(shown) else shown, "doc_id", "left_semi")
+    j = hq.join(hist, "username", "left").join(d, "doc_id")
     score = F.aggregate(
         "hl",
         F.lit(0).cast("bigint"),

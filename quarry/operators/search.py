@@ -253,21 +253,30 @@ def multi_phrase_search(index: SearchIndex, queries: DataFrame, field: str = "co
 
 def wildcard_terms(index: SearchIndex, patterns: DataFrame, fields: Sequence[str], text_col: str = "query", case_insensitive: bool = False) -> DataFrame:
     """``(query_id, field, term)``: dictionary terms matching the wildcard
-    pattern.  Patterns only meet the distinct-term dictionary (a broadcast
-    nested-loop join of the small pattern table); documents are reached
-    afterwards by an equi-join on the matched terms."""
-    p = _queries(patterns, text_col).select(
-        "query_id", T.wildcard_to_regex(F.col(text_col)).alias("rx"), T.wildcard_literal(F.col(text_col)).alias("lit")
+    pattern; documents are reached afterwards by an equi-join on the terms.
+
+    A pattern meets the dictionary by the rarest trigram of its literal runs,
+    an equi-join, and is tried on the terms that have it.  Only patterns
+    without a run of three characters (the term's ends count) go through the
+    whole dictionary."""
+    own = F.lower(F.col(text_col)) if case_insensitive else F.col(text_col)
+    rx = T.wildcard_to_regex(own)
+    asked = _queries(patterns, text_col).select(
+        "query_id", (F.concat(F.lit("(?iu)"), rx) if case_insensitive else rx).alias("rx"), T.wildcard_trigrams(F.col(text_col), case_insensitive).alias("grams")
     )
-    if case_insensitive:
-        p = p.withColumn("rx", F.concat(F.lit("(?iu)"), "rx")).withColumn("lit", F.lower("lit"))
-    dict_terms = index.term_stats.filter(F.col("field").isin(list(fields))).select("field", "term")
-    side = bounded_broadcast(p)
-    # the literal guard is a plain substring test; the regex (compiled per
-    # pattern change) only runs on terms that pass it
-    t = F.lower("term") if case_insensitive else F.col("term")
-    cond = t.contains(F.col("lit")) & F.expr("term rlike rx")
-    return dict_terms.join(side, cond).select("query_id", "field", "term")
+    asked = materialize(asked, "patterns")
+    small = fits(asked)
+    grams, stats = index.trigrams()
+    wanted = asked.select("query_id", "rx", F.size("grams").alias("n_grams"), F.explode("grams").alias("gram"))
+    known = stats.join(_sent(wanted, small), "gram").groupBy("query_id", "rx").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"), F.count(F.lit(1)).alias("n_found"), F.first("n_grams").alias("n_grams"))
+    best = materialize(known.filter(F.col("n_found") == F.col("n_grams")).select("query_id", "rx", "gram"), "pattern_trigrams")
+    of_fields = F.col("field").isin(list(fields))
+    out = grams.filter(of_fields).join(_sent(best, small), "gram").filter(F.expr("term rlike rx")).select("query_id", "field", "term")
+    short = asked.filter(F.size("grams") == 0).select("query_id", "rx")
+    if not short.isEmpty():
+        terms = index.term_stats.filter(of_fields).select("field", "term")
+        out = out.unionByName(terms.join(_sent(short, small), F.expr("term rlike rx")).select("query_id", "field", "term"))
+    return out
 
 
 def wildcard_field_hits(index: SearchIndex, patterns: DataFrame, fields: Sequence[str], text_col: str = "query", case_insensitive: bool = False) -> DataFrame:

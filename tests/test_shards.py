@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators import highlight as HL
 from quarry.operators import search as S
-from quarry.operators.index import STANDARD, build_index
+from quarry.operators.index import KEYWORD, STANDARD, build_index
 
 WORDS = [f"w{i}" for i in range(30)]
 
@@ -165,3 +165,28 @@ def test_overlapping_phrases_are_one_span(spark):
     phrases = spark.createDataFrame([(1, 0, "a b"), (1, 1, "b c"), (1, 2, "d")], "query_id long, phrase_no int, query string")
     hits = spark.createDataFrame([(1, 1)], "query_id long, doc_id long")
     assert [r.fragment for r in HL.highlight(idx, hits, q, ["content"], words=False, phrases=phrases).collect()] == ["<strong>a b c</strong> <strong>d</strong>"]
+
+
+TERMS = ["the", "then", "bathe", "a", "ab", "abc", "x1y2", "the-end", "été", "naïve", "d*g", "[x]", "tttt"]
+
+
+@pytest.mark.parametrize("case_insensitive", [False, True])
+def test_wildcards_by_brute_force(spark, case_insensitive):
+    import fnmatch
+
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(TERMS)], "doc_id long, word string")
+    idx = build_index(docs, {"word": KEYWORD})
+    asked = ["the*", "*the*", "*the", "?he", "a", "a*", "*", "??", "abc", "x?y?", "t*e", "été", "*é", "th?n", "zzz*", "*hen*d", "THE*", "t?t?", "*ttt*"]
+    q = queries(spark, list(enumerate(asked)))
+    got = {(r.query_id, r.term) for r in S.wildcard_terms(idx, q, ["word"], case_insensitive=case_insensitive).collect()}
+    want = {(i, t) for i, p in enumerate(asked) for t in TERMS if fnmatch.fnmatchcase(t, (p.lower() if case_insensitive else p))}
+    assert got == want
+    escaped = S.wildcard_terms(idx, queries(spark, [(1, "d\\*g"), (2, "\\[x?"), (3, "\\*")]), ["word"]).collect()
+    assert {(r.query_id, r.term) for r in escaped} == {(1, "d*g"), (2, "[x]")}
+
+
+def test_wildcards_need_no_nested_loop(spark):
+    _, idx = corpus(spark, n=20)
+    nested = lambda rows: "NestedLoop" in S.wildcard_terms(idx, queries(spark, rows), ["content"])._jdf.queryExecution().executedPlan().toString()
+    assert not nested([(1, "w1*"), (2, "?12"), (3, "w1?*")])
+    assert nested([(1, "*1*")])
