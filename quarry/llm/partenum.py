@@ -1,4 +1,4 @@
-"""N-gram Jaccard join by PartEnum signatures.
+"""N-gram Jaccard join by prefix filtering (in place of PartEnum, see README).
 
 Two documents link when their sets of 5-word shingles have a Jaccard
 similarity of at least 0.75; the result is each document's connected component.
@@ -50,7 +50,7 @@ SHINGLE = 5
 #: Bits of a part's number, and signatures of a set that may share a part with another set's shingle by chance.
 PART_BITS, SPARE = 40, 1
 #: Text bytes whose signatures one shard holds.
-SHARD_BYTES = 24_000_000
+SHARD_BYTES = 10_000_000
 #: A round takes so many times the centres that have been compared before.
 CENTRES = 16
 #: Bits of the filter that tells which sets' shingles are needed for checking.

@@ -18,8 +18,21 @@ from pyspark.sql import DataFrame, SparkSession
 from quarry.session import checkpoint_dir
 
 
+#: Bytes of an Arrow batch between Spark and Python.
+BATCH_BYTES = 8 << 20
+
+
+def _bounded_batches(spark: SparkSession) -> None:
+    """Spark's 64 MB batches are held several times over, by the JVM and by
+    each Python worker; unless the session names a size, take smaller ones."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not spark._jsparkSession.sessionState().conf().contains(key):
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def folder(spark: SparkSession, name: str) -> str:
     """A new shared folder's URI."""
+    _bounded_batches(spark)
     return f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
