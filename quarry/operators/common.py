@@ -66,7 +66,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def materialize_bucketed(df: DataFrame, name: str, key: str, buckets: int, partition_by: list[str]) -> DataFrame:
+def materialize_bucketed(df: DataFrame, name: str, key: str | list[str], buckets: int, partition_by: list[str] | None = None) -> DataFrame:
     """Like ``materialize``, dealt into ``buckets`` by ``key``: a scan gives
     all rows of a key to one task, so grouping by it (and more columns) and
     joining on it need no exchange.  ``df`` should come hash-partitioned by
@@ -78,7 +78,9 @@ def materialize_bucketed(df: DataFrame, name: str, key: str, buckets: int, parti
     spark = df.sparkSession
     table = f"{name}_{uuid.uuid4().hex}"
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{table}"
-    df.write.format("parquet").partitionBy(*partition_by).bucketBy(buckets, key).option("path", path).saveAsTable(table)
+    keys = [key] if isinstance(key, str) else key
+    writer = df.write.format("parquet").bucketBy(buckets, *keys).option("path", path)
+    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(table)
     return spark.table(table)
 
 

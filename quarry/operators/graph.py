@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.common import BROADCAST_ROW_LIMIT, materialize
+from quarry.operators.common import fits, materialize, materialize_bucketed
 
 
 def link_edges(records: DataFrame, src: str = "url", links: str = "links") -> DataFrame:
@@ -58,83 +58,38 @@ def pagerank(
     ``max_iter`` rounds raise, like the common library default.  The
     convergence test is one scalar per round read by the driver.
 
-    Skew: a source with more than ``heavy_degree`` out-links (default: four
-    times the mean edges per partition) would make one partition of the
-    source-partitioned edge list hold a large share of all edges.  Such
-    sources are split off: their edges are partitioned by target instead and
-    meet a broadcast of only the heavy sources' ranks, whose count is bounded
-    by ``edges / heavy_degree``.
+    Edges never move between rounds: they are written once in buckets of
+    (source, salt), with the sources of more than ``heavy_degree`` out-links
+    (default: the mean edges of a bucket) cut into blocks by their targets, so
+    no bucket holds more than a few such blocks.  A round deals the ranks to
+    those buckets, a heavy source's once per block, adds contributions up per
+    block, and brings the partial sums to the targets' buckets.  This is the
+    plan for every size; Spark broadcasts ranks by itself where they are small.
     """
     spark = nodes.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    nodes = materialize(nodes.select("node").distinct(), "pr_all_nodes")
-    n_nodes = nodes.count()
-    if n_nodes <= BROADCAST_ROW_LIMIT:
-        # a rank vector of proven size is broadcast into the edge scan: the
-        # edges never move, and adaptive execution stays on
-        return _pagerank_rounds(spark, parts, edges, nodes, alpha, iterations, max_iter, tol, checkpoint_every,
-                                raise_on_no_convergence, heavy_degree, broadcast_rank=True)
-    # Too many nodes to broadcast: edges and ranks are co-partitioned.
-    # Adaptive execution hides the partitioning of a cached plan, which would
-    # re-shuffle the kept edge list every round; inside the loop every join
-    # is co-partitioned and hot sources are split off, so it is switched off
-    # here and restored afterwards (the returned table is a plain scan).
-    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        return _pagerank_rounds(spark, parts, edges, nodes, alpha, iterations, max_iter, tol, checkpoint_every,
-                                raise_on_no_convergence, heavy_degree, broadcast_rank=False)
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
-
-
-def _pagerank_rounds(spark, parts, edges, nodes, alpha, iterations, max_iter, tol, checkpoint_every,
-                     raise_on_no_convergence, heavy_degree, broadcast_rank: bool) -> DataFrame:
     deg = materialize(out_degree(edges), "pr_degree")
-    all_w = materialize(edges.join(deg, "src").select("src", "dst", "out_degree", (1.0 / F.col("out_degree")).alias("w")), "pr_edges")
     if heavy_degree is None:
-        n_edges = all_w.count()
-        heavy_degree = max(1000, 4 * n_edges // max(parts, 1))
-    # light sources: the edge list is hash-partitioned by source once and
-    # kept, so every round joins it with the rank vector on ``src`` without
-    # moving the edges again
-    w_edges = all_w.filter(F.col("out_degree") <= heavy_degree).select("src", "dst", "w")
-    w_edges = (w_edges if broadcast_rank else w_edges.repartition(parts, "src")).persist()
-    # heavy sources: partitioned by target; their ranks are broadcast
-    w_heavy = all_w.filter(F.col("out_degree") > heavy_degree).select("src", "dst", "w").repartition(parts, "dst").persist()
-    heavy_src = deg.filter(F.col("out_degree") > heavy_degree).select(F.col("src").alias("node"))
+        n_edges = deg.agg(F.sum("out_degree")).first()[0] or 0
+        heavy_degree = max(1000, n_edges // parts)
+    # no more blocks than edges / heavy_degree, besides one per heavy source
+    blocks = materialize(deg.filter(F.col("out_degree") > heavy_degree).select("src", F.ceil(F.col("out_degree") / heavy_degree).cast("int").alias("blocks")), "pr_heavy")
+    heavy = F.broadcast(blocks) if fits(blocks) else blocks
+    salted = edges.join(deg, "src").join(heavy, "src", "left").select("src", F.pmod(F.hash("dst"), F.coalesce("blocks", F.lit(1))).alias("salt"), "dst", (1.0 / F.col("out_degree")).alias("w"))
+    w_edges = materialize_bucketed(salted.repartition(parts, "src", "salt"), "pr_edges", ["src", "salt"], parts)
     # nodes carry their dangling flag, so the dangling mass is a plain sum
-    flagged = materialize(
-        nodes.select("node").distinct().join(deg.select(F.col("src").alias("node"), F.lit(False).alias("d")), "node", "left")
-        .select("node", F.col("d").isNull().alias("dangling")),
-        "pr_nodes",
-    )
-    n_df = flagged.agg(F.count(F.lit(1)).cast("double").alias("n"))
-    # the rank vector is kept hash-partitioned by node like the edges are by
-    # source, so both joins of a round are co-partitioned (no rank shuffle)
-    def by_node(df: DataFrame) -> DataFrame:
-        return df if broadcast_rank else df.repartition(parts, "node")
-
-    rank = by_node(materialize(
-        flagged.crossJoin(F.broadcast(n_df)).select("node", "dangling", (1.0 / F.col("n")).alias("pr")), "pr_rank"
-    ))
+    flags = nodes.select("node").distinct().join(deg.select(F.col("src").alias("node"), F.lit(False).alias("d")), "node", "left").select("node", F.col("d").isNull().alias("dangling"))
+    flagged = materialize_bucketed(flags.repartition(parts, "node"), "pr_nodes", "node", parts)
+    n_df = materialize(flagged.agg(F.count(F.lit(1)).cast("double").alias("n")), "pr_count")
+    rank = materialize(flagged.crossJoin(F.broadcast(n_df)).select("node", "dangling", (1.0 / F.col("n")).alias("pr")), "pr_rank")
     rounds = iterations if iterations is not None else max_iter
     cached: list[DataFrame] = []  # rounds kept between two written tables
     for i in range(rounds):
-        heavy_rank = rank.join(heavy_src, "node", "left_semi").select(F.col("node").alias("src"), "pr")
-        contrib = (
-            w_edges.join(
-                F.broadcast(rank.select(F.col("node").alias("src"), "pr")) if broadcast_rank else rank.select(F.col("node").alias("src"), "pr"),
-                "src",
-            )
-            .unionByName(w_heavy.join(F.broadcast(heavy_rank), "src"))
-            .groupBy("dst")
-            .agg(F.sum(F.col("pr") * F.col("w")).alias("c"))
-        )
+        dealt = rank.select(F.col("node").alias("src"), "pr").join(heavy, "src", "left").select("src", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)).alias("salt"), "pr")
+        contrib = w_edges.join(dealt, ["src", "salt"]).groupBy(F.col("dst").alias("node")).agg(F.sum(F.col("pr") * F.col("w")).alias("c"))
         consts = n_df.crossJoin(rank.agg(F.coalesce(F.sum(F.when(F.col("dangling"), F.col("pr"))), F.lit(0.0)).alias("dm")))
         new = (
-            rank.select("node", "dangling")
-            .join(contrib.withColumnRenamed("dst", "node"), "node", "left")
+            flagged.join(contrib, "node", "left")
             .crossJoin(F.broadcast(consts))  # one row
             .select(
                 "node",
@@ -143,7 +98,7 @@ def _pagerank_rounds(spark, parts, edges, nodes, alpha, iterations, max_iter, to
             )
         )
         if (i + 1) % checkpoint_every == 0 or i + 1 == rounds:
-            new = by_node(materialize(new, "pr_rank"))
+            new = materialize(new, "pr_rank")
             for c in cached:
                 c.unpersist()
             cached = []
@@ -156,19 +111,14 @@ def _pagerank_rounds(spark, parts, edges, nodes, alpha, iterations, max_iter, to
             n = n_df.first()[0]
             rank = new
             if err is not None and err < n * tol:
-                w_edges.unpersist()
-                w_heavy.unpersist()
                 return rank.select("node", F.col("pr").alias("pagerank"))
         else:
             rank = new
-    w_edges.unpersist()
-    w_heavy.unpersist()
     if iterations is None and raise_on_no_convergence:
         raise RuntimeError(f"pagerank did not converge in {max_iter} iterations")
     return rank.select("node", F.col("pr").alias("pagerank"))
 
 
-
 def attach_pagerank(records: DataFrame, ranks: DataFrame, key: str = "url") -> DataFrame:
     """Records with ``pagerank`` (0 when the URL has none)."""
     return records.join(ranks.withColumnRenamed("node", key), key, "left").withColumn(

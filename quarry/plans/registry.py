@@ -204,7 +204,7 @@ def q_snapshot_lookup(spark, sf_dir):
         (-(F.col("conv_id") * 1000 + F.col("turn")) - 1).alias("request_id"), F.substring_index("text", "\n", 1).alias("title")
     )
     return P.snapshot_lookup(req_pages.unionByName(conv), pt, src.pages(spark, sf_dir)).select(
-        "request_id", "page_id", "status", F.length("snapshot").alias("snapshot_chars")
+        "request_id", "page_id", "status", F.length("snapshot").alias("snapshot_chars"), F.md5("snapshot").alias("snapshot_md5")
     )
 
 

@@ -65,8 +65,8 @@ def test_attach_defaults_to_zero(spark):
 
 
 def test_heavy_sources_split(spark):
-    # a hub links to every other node; with heavy_degree=2 it goes the
-    # broadcast way, the others the partitioned way; the result is the same
+    # a hub links to every other node; with heavy_degree=2 its edges lie in
+    # blocks by target; the result is the same
     edges = [("hub", f"n{i}") for i in range(6)] + [("n0", "n1"), ("n1", "hub"), ("n2", "n3")]
     e = spark.createDataFrame(edges, "src string, dst string")
     nodes = spark.createDataFrame([(x,) for x in {a for ab in edges for a in ab}], "node string")
@@ -75,15 +75,17 @@ def test_heavy_sources_split(spark):
     assert all(abs(got[k] - want[k]) < 1e-12 for k in want)
 
 
-def test_co_partitioned_path(spark, monkeypatch):
-    # a node count above the broadcast bound takes the co-partitioned path
-    import quarry.operators.graph as graph_mod
-
-    monkeypatch.setattr(graph_mod, "BROADCAST_ROW_LIMIT", 1)
+def test_edges_stay_in_their_buckets(spark):
+    # whatever the size: with no broadcast by Spark the written edges are read without an exchange
     recs, e = cycle(spark)
     edges = [tuple(r) for r in e.collect()]
     want = reference_pagerank(edges, ["d", "p1", "p2", "p3", "p4"], rounds=4)
-    before = spark.conf.get("spark.sql.adaptive.enabled")
-    got = {r.node: r.pagerank for r in graph_mod.pagerank(e, link_nodes(recs, e), iterations=4, checkpoint_every=2).collect()}
+    adaptive, limit = (spark.conf.get(f"spark.sql.{k}") for k in ("adaptive.enabled", "autoBroadcastJoinThreshold"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ranks = pagerank(e, link_nodes(recs, e), iterations=4, checkpoint_every=2, heavy_degree=1)
+        got = {r.node: r.pagerank for r in ranks.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     assert all(abs(got[k] - want[k]) < 1e-12 for k in want)
-    assert spark.conf.get("spark.sql.adaptive.enabled") == before  # restored
+    assert spark.conf.get("spark.sql.adaptive.enabled") == adaptive
