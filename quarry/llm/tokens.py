@@ -20,7 +20,7 @@ import regex
 import tokenizers
 import xxhash
 
-from quarry.llm.text import CACHES
+from quarry.llm.text import CACHES, give_back
 
 #: Pre-tokenizer patterns of the two layouts that may be cut at spaces (fixed values of the public vocabularies).
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -121,7 +121,7 @@ class Encoder:
     ``special``: the strings of special tokens in a text become their ids, as
     by the library's default; else they are ordinary text."""
 
-    def __init__(self, path: str, special: bool = False, most: int = 1_200_000) -> None:
+    def __init__(self, path: str, special: bool = False, most: int = 800_000) -> None:
         self.library = tokenizers.Tokenizer.from_file(path)
         self.library.encode_special_tokens = not special
         layout = json.loads(self.library.to_str())
@@ -137,6 +137,8 @@ class Encoder:
         own = (WORD_PATTERN if self.words else BYTE_PATTERN).replace(r"[^\s\p{L}\p{N}]", r"[^\s\p{L}\p{N}\x00]")
         self._cut = regex.compile(SEPARATOR + "|" + own).findall
         self._runs, self._parts, self._letters = Runs(most), Runs(most // 2), byte_letters()
+        del layout, added  # the vocabulary as Python objects
+        give_back()
 
     def _learn(self, fresh: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of new chunks, one after the other, and the number of each's:
