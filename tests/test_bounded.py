@@ -42,8 +42,8 @@ def test_texts_without_runs_make_no_token_rows(spark):
     d = I.Dictionary(words)
     texts = [(1, "The cat, the dog"), (2, "in 中国人 x"), (3, None), (4, "")]
     df = spark.createDataFrame(texts, "doc_id long, text string")
-    plain, runs = I.dictionary_plain(df, d)
-    assert {r.doc_id for r in runs.collect()} == {2}
+    assert {r.doc_id for r in df.filter(I.has_run(F.col("text"), d)).collect()} == {2}
+    plain = I.stacked_tokens(df, "doc_id", {"text": d})
     whole = {(r.doc_id, r.pos, r.term) for r in I.dictionary_segment(df, "doc_id", "text", d).collect()}
     own = {(r.doc_id, r.pos, r.term) for r in plain.select("doc_id", F.posexplode("toks").alias("pos", "term")).collect()}
     assert {x for x in whole if x[0] != 2} == own
