@@ -37,7 +37,7 @@ def test_cut_keeps_all_that_may_be_best():
 def test_terms_in_all():
     b = next(BL._blocks([batch([(7, [(1, 0.5), (2, 0.25)]), (9, [(2, 0.5)]), (11, [(1, 0.1), (2, 0.1), (3, 0.1)])])]))
     block = BL._Block(b.rename_columns(["ids", *b.schema.names[1:]]), 0)
-    chunk = type("C", (), {"ids": [0, 1, 2], "ptr": np.array([0, 2, 3, 5]), "tno": np.array([1, 2, 2, 1, 8])})
+    chunk = type("C", (), {"ids": [0, 1, 2], "ptr": np.array([0, 2, 3, 5]), "tno": np.array([1, 2, 2, 1, 8]), "w": np.ones(5)})
     assert [(q, [block.ids[int(d)].as_py() for d in found]) for q, found, _ in BL._in_all(block, chunk)] == [(0, [7, 11]), (1, [7, 9, 11])]
 
 
@@ -62,3 +62,33 @@ def test_document_search_moves_no_whole_text(spark):
     plan = S.document_search(idx, queries(spark, QUERIES))._jdf.queryExecution().optimizedPlan().toString()
     after_join = plan[: plan.index("Join")]
     assert "substring" not in after_join
+
+
+def test_all_words_are_scored_in_their_blocks(spark):
+    """A query of single words needs no positions, and no row per document and term of it."""
+    rows, idx = corpus(spark, n=300)
+    asked = [(1, "w0 w1 w2"), (2, "w3 w3"), (3, "w0 absent"), (4, "w5,w6 w1"), (5, "w4")]
+    got = S.multi_phrase_search(idx, queries(spark, asked), "content", k=3)
+    every = S.multi_phrase_search(idx, queries(spark, asked), "content", k=None).collect()
+    want = sorted((r.query_id, r.rank, r.doc_id, r.score) for r in every if r["rank"] <= 3)
+    assert sorted((r.query_id, r.rank, r.doc_id, r.score) for r in got.collect()) == want and {1, 2, 5} <= {w[0] for w in want}
+    plan = S.multi_phrase_search(idx, queries(spark, asked[:3]), "content", k=3)._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "positions" not in plan[plan.index("MapInArrow") :].split("Relation")[0]
+
+
+def test_patterns_are_sieved_before_their_trigrams_are_rows(spark):
+    from quarry.operators.index import KEYWORD, build_index
+
+    docs = spark.createDataFrame([(1, "www.example.org"), (2, "other.example.com")], "doc_id long, url string")
+    idx = build_index(docs, {"url": KEYWORD})
+    long = " ".join(f"word{i}" for i in range(200))
+    q = queries(spark, [(1, "*example*"), (2, f"*{long}*"), (3, "*other*"), (3, "*www*"), (4, "zz*")])
+    made = []
+    real = S.materialize
+    S.materialize = lambda df, name: made.append((name, real(df, name))) or made[-1][1]
+    try:
+        got = {(r.query_id, r.term) for r in S.wildcard_terms(idx, q, ["url"]).collect()}
+    finally:
+        S.materialize = real
+    assert got == {(1, "www.example.org"), (1, "other.example.com"), (3, "other.example.com"), (3, "www.example.org")}
+    assert dict(made)["sieved_patterns"].count() <= 3 and "rx" not in dict(made)["sieved_patterns"].columns
