@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from quarry.llm import store
 from quarry.llm.text import Words, mixed, pieces, spaced_lower, texts
 from quarry.llm.token_file import decode, encode
+from quarry.llm.tokens import with_end
 
 #: What ends every document; no word is white space.
 END = b"\n"
@@ -44,6 +45,8 @@ SHARD_KEYS = 2_500_000
 BUCKETS = 24
 #: Width of a bin of log2 probability ratios in the statistics of the deleted part.
 BIN = 0.125
+#: Tokens, about, that are looked at at a time once a block's counts are known.
+STEP = 1 << 18
 
 
 def _pack(x: np.ndarray, kind: str) -> bytes:
@@ -54,48 +57,74 @@ def _unpack(x: bytes, kind: str) -> np.ndarray:
     return np.frombuffer(zlib.decompress(x), kind)
 
 
+class Draft:
+    """An open block: its words are numbered piece by piece, so that what
+    grows with its texts is 4 bytes a token."""
+
+    def __init__(self) -> None:
+        self.words = Words(most=1 << 40)
+        self.end = self.words[END]
+        self.docs: list[int | None] = []
+        self.folds: list[int] = []
+        self.size = 0
+        self._waiting: list[list[bytes]] = []
+        self._ids: list[np.ndarray] = []
+        self._lens: list[np.ndarray] = []
+
+    def add(self, doc: int | None, fold: int, text: bytes) -> None:
+        self.docs.append(doc)
+        self.folds.append(fold)
+        self.size += len(text)
+        self._waiting.append(spaced_lower(text))
+
+    def number(self) -> None:
+        """Ids, with each document's end, of the texts added since the last time."""
+        if not self._waiting:
+            return
+        ids, offsets = self.words.ids(self._waiting)
+        out, ends = with_end(ids, offsets, self.end)
+        self._ids.append(out)
+        self._lens.append(np.diff(ends).astype("<u4"))
+        self._waiting = []
+
+    def columns(self) -> tuple:
+        """The block's columns from n_tokens on."""
+        self.number()
+        ids, lens = np.concatenate(self._ids), np.concatenate(self._lens)
+        self._ids = self._lens = []
+        order = np.argsort(-np.bincount(ids, minlength=len(self.words)), kind="stable")
+        rank = np.empty(len(order), np.uint32)
+        rank[order] = np.arange(len(order))
+        control, data = encode(rank[ids])
+        docs = np.array([d or 0 for d in self.docs], "<i8").tobytes(), bytes(d is None for d in self.docs), np.array(self.folds, "i1").tobytes()
+        return (len(ids), *docs, lens.tobytes(), self.words.lanes()[order, 0].tobytes(), control, data)
+
+
 def blocks(documents: DataFrame, block_bytes: int = 16 << 20) -> DataFrame:
     """Tokenised blocks: documents of the deleted fold and others apart."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = {True: [], False: []}
-        size = {True: 0, False: 0}
         number = TaskContext.get().partitionId() << 30
+        open_blocks = {True: Draft(), False: Draft()}
 
         def close(held: bool) -> pa.RecordBatch:
             nonlocal number
             number += 1
-            words = Words(most=1 << 40)
-            end = words[END]
-            docs = [d for d, _, _ in own[held]]
-            ids, offsets = words.ids([t for _, _, t in own[held]])
-            n = len(docs)
-            out = np.full(len(ids) + n, end, np.int64)
-            keep = np.ones(len(out), bool)
-            keep[offsets[1:] + np.arange(n)] = False
-            out[keep] = ids
-            count = np.bincount(out, minlength=len(words))
-            order = np.argsort(-count, kind="stable")
-            rank = np.empty(len(order), np.int64)
-            rank[order] = np.arange(len(order))
-            control, data = encode(rank[out])
-            row = (
-                number, held, len(out), np.array([d or 0 for d in docs], "<i8").tobytes(), bytes(d is None for d in docs), np.array([f for _, f, _ in own[held]], "i1").tobytes(),
-                (np.diff(offsets) + 1).astype("<u4").tobytes(), words.lanes()[order, 0].tobytes(), control, data,
-            )
-            own[held], size[held] = [], 0
+            row = (number, held, *open_blocks.pop(held).columns())
+            open_blocks[held] = Draft()
             kinds = (pa.int64(), pa.bool_(), pa.int64(), *[pa.binary()] * 7)
             return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds, strict=True)], [c.split()[0] for c in BLOCKS.split(", ")])
 
         for batch in pieces(batches):
             for doc, fold, text in zip(batch["doc_id"].to_pylist(), batch["fold"].to_pylist(), texts(batch["text"]), strict=True):
                 held = fold == DELETED
-                own[held].append((doc, fold, spaced_lower(text)))
-                size[held] += len(text)
-                if size[held] >= block_bytes:
+                open_blocks[held].add(doc, fold, text)
+                if open_blocks[held].size >= block_bytes:
                     yield close(held)
+            for draft in open_blocks.values():
+                draft.number()
         for held in (True, False):
-            if own[held]:
+            if open_blocks[held].docs:
                 yield close(held)
 
     fold = F.coalesce(F.crc32(F.col("doc_id").cast("long").cast("string").cast("binary")) % FOLDS, F.lit(-1)).cast("int")
@@ -103,18 +132,42 @@ def blocks(documents: DataFrame, block_bytes: int = 16 << 20) -> DataFrame:
     return store.table(source.mapInArrow(task, BLOCKS), "lm-blocks")
 
 
+def numbered(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values, ascending, and the number of each value among them."""
+    order = np.argsort(x)
+    x = x[order]
+    new = np.ones(len(x), bool)
+    new[1:] = x[1:] != x[:-1]
+    x = x[new]
+    place = np.empty(len(order), np.int32)
+    place[order] = np.cumsum(new, dtype=np.int32) - 1
+    return x, place
+
+
 class Block:
     """A block's tokens, and its distinct keys in the order of its requests."""
 
     def __init__(self, row: dict) -> None:
-        self.folds = np.frombuffer(row["folds"], "i1").astype(np.int64)
+        self.folds = np.frombuffer(row["folds"], "i1")
         self.lens = np.frombuffer(row["lens"], "<u4").astype(np.int64)
-        self.ids = decode(row["control"], row["data"], row["n_tokens"]).astype(np.int64)
+        self.ids = decode(row["control"], row["data"], row["n_tokens"]).view(np.int32)
         self.vocab = np.frombuffer(row["vocab"], np.uint64)
         self.fold = np.repeat(self.folds, self.lens)
-        #: word before each token; before the first, what ended the document before
-        end = int(self.ids[-1]) if len(self.ids) else 0
-        self.before = np.concatenate([[end], self.ids[:-1]])
+
+    @property
+    def before(self) -> np.ndarray:
+        """Word before each token; before the first, what ended the document before."""
+        return np.roll(self.ids, 1)
+
+    def spans(self) -> Iterator[tuple[slice, slice]]:
+        """Runs of whole documents of some ``STEP`` tokens, and their tokens."""
+        ends = np.cumsum(self.lens)
+        first = 0
+        while first < len(ends):
+            begin = int(ends[first - 1]) if first else 0
+            last = max(first + 1, int(np.searchsorted(ends, begin + STEP, "right")))
+            yield slice(first, last), slice(begin, int(ends[last - 1]))
+            first = last
 
     def keys(self, kind: int, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct keys sorted by shard and low bits, the place of each
@@ -122,32 +175,32 @@ class Block:
         if kind == 0:
             raw, place = self.vocab, self.ids
         else:
-            pair = self.before * len(self.vocab) + self.ids
-            used, place = np.unique(pair, return_inverse=True)
+            used, place = numbered(self.before.astype(np.int64) * len(self.vocab) + self.ids)
             raw = mixed(self.vocab[used // len(self.vocab)] * np.uint64(0x9E3779B97F4A7C15) + self.vocab[used % len(self.vocab)])
-        shard = (raw >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)
+            del used
+        shard = ((raw >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.uint32)
         low = mixed(raw) & np.uint64(0xFFFFFFFFFFFF)
+        del raw
         order = np.lexsort((low, shard))
-        to = np.empty(len(order), np.int64)
-        to[order] = np.arange(len(order))
-        return low[order], to[place], shard[order].astype(np.int64)
+        to = np.empty(len(order), np.int32)
+        to[order] = np.arange(len(order), dtype=np.int32)
+        return low[order], to[place], shard[order]
 
 
 def _requests(made: DataFrame, shards: tuple[int, int]) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                own = Block(row)
-                for kind in (0, 1):
-                    low, place, shard = own.keys(kind, shards[kind])
-                    every = np.bincount(place[own.fold > OUT], minlength=len(low))
-                    kept = np.bincount(place[own.fold > DELETED], minlength=len(low))
-                    edges = np.concatenate([[0], np.flatnonzero(np.diff(shard)) + 1, [len(shard)]])
-                    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                        step = np.diff(low[a:b], prepend=np.uint64(0))
-                        out = (kind, int(shard[a]), row["block"], (step & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes(), _pack(step >> np.uint64(32), "<u2"), _pack(every[a:b], "<u4"), _pack(kept[a:b], "<u4"))
-                        kinds = (pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 4)
-                        yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(out, kinds, strict=True)], [c.split()[0] for c in REQUESTS.split(", ")])
+        for row in _rows(batches):
+            own = Block(row)
+            for kind in (0, 1):
+                low, place, shard = own.keys(kind, shards[kind])
+                every = np.bincount(place[own.fold > OUT], minlength=len(low))
+                kept = np.bincount(place[own.fold > DELETED], minlength=len(low))
+                edges = np.concatenate([[0], np.flatnonzero(np.diff(shard)) + 1, [len(shard)]])
+                for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                    step = np.diff(low[a:b], prepend=np.uint64(0))
+                    out = (kind, int(shard[a]), row["block"], (step & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes(), _pack(step >> np.uint64(32), "<u2"), _pack(every[a:b], "<u4"), _pack(kept[a:b], "<u4"))
+                    kinds = (pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 4)
+                    yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(out, kinds, strict=True)], [c.split()[0] for c in REQUESTS.split(", ")])
 
     return made.mapInArrow(task, REQUESTS)
 
@@ -172,25 +225,43 @@ def _answers(requests: DataFrame) -> DataFrame:
     return store.table(requests.groupBy("kind", "shard").applyInPandas(add, ANSWERS), "lm-counts")
 
 
-def _answered(made: DataFrame, answers: DataFrame) -> DataFrame:
-    """Blocks with all their answers, which a block's own size bounds."""
-    got = answers.filter("block >= 0").groupBy(F.col("block").alias("b")).agg(F.sort_array(F.collect_list(F.struct("kind", "shard", "all", "kept"))).alias("answers"))
+def _answered(made: DataFrame, answers: DataFrame, column: str) -> DataFrame:
+    """Blocks with the counts ``column`` ("all" or "kept") of all their
+    answers, which a block's own size bounds."""
+    got = answers.filter("block >= 0").groupBy(F.col("block").alias("b")).agg(F.sort_array(F.collect_list(F.struct("kind", "shard", F.col(column).alias("n")))).alias("answers"))
     return made.join(got, made.block == got.b)
 
 
-def _counts(row: dict, own: Block, shards: tuple[int, int], column: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Count of each token's context, word and bigram."""
-    by_kind = []
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows one by one: the others of a batch stay packed in Arrow."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield {c: batch[c][i].as_py() for c in batch.schema.names}
+
+
+def _counts(row: dict, shards: tuple[int, int]) -> tuple[Block, Iterator[tuple[slice, slice, np.ndarray, np.ndarray, np.ndarray]]]:
+    """The block, and by runs of its documents: documents, tokens, count of
+    each token's context, word and bigram."""
+    own, by_kind = Block(row), []
     for kind in (0, 1):
         low, place, _ = own.keys(kind, shards[kind])
-        n = np.concatenate([_unpack(a[column], "<u4") for a in row["answers"] if a["kind"] == kind]).astype(np.int64)
+        n = np.concatenate([_unpack(a["n"], "<u4") for a in row["answers"] if a["kind"] == kind])
         if len(n) != len(low):
             raise ValueError("answers don't match their requests")
         by_kind.append((n, place))
+    del low
+    row.clear()
     (words, at), (pairs, pair_at) = by_kind
-    of_word = np.zeros(len(own.vocab), np.int64)
-    of_word[own.ids] = words[at]
-    return of_word[own.before], of_word[own.ids], pairs[pair_at]
+
+    def runs() -> Iterator[tuple[slice, slice, np.ndarray, np.ndarray, np.ndarray]]:
+        last = words[at[-1]]  # before the first token, as before
+        for docs, span in own.spans():
+            word = words[at[span]].astype(np.int64)
+            context = np.concatenate([[np.int64(last)], word[:-1]])
+            last = word[-1]
+            yield docs, span, context, word, pairs[pair_at[span]].astype(np.int64)
+
+    return own, runs()
 
 
 def bucket(context: np.ndarray) -> np.ndarray:
@@ -203,11 +274,11 @@ def _statistics(held: DataFrame, shards: tuple[int, int], n: int, v: int) -> pd.
     unigram estimates to the uniform one (0: the estimate is zero)."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                own = Block(row)
-                context, word, pair = (x[own.fold == DELETED] for x in _counts(row, own, shards, "kept"))
-                ratio = lambda a, b: np.where(a > 0, np.maximum(1, np.round(np.log2(np.maximum(a, 1) / np.maximum(b, 1) * (v + 1)) / BIN) + 2000), 0).astype(np.int64)
+        ratio = lambda a, b: np.where(a > 0, np.maximum(1, np.round(np.log2(np.maximum(a, 1) / np.maximum(b, 1) * (v + 1)) / BIN) + 2000), 0).astype(np.int64)
+        for row in _rows(batches):
+            own, runs = _counts(row, shards)
+            for _, span, *found in runs:
+                context, word, pair = (x[own.fold[span] == DELETED] for x in found)
                 key = (bucket(context) * 10_000 + ratio(pair, context)) * 10_000 + ratio(word, n)
                 used, count = np.unique(key, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(count)], ["key", "n"])
@@ -245,17 +316,17 @@ def learn(statistics: pd.DataFrame, rounds: int = 200, tolerance: float = 1e-7)
 
 def _scored(answered: DataFrame, shards: tuple[int, int], n: int, v: int, weights: np.ndarray) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                own = Block(row)
-                context, word, pair = _counts(row, own, shards, "all")
+        for row in _rows(batches):
+            ids = [None if z else d for z, d in zip(row["nulls"], np.frombuffer(row["doc_ids"], "<i8").tolist(), strict=True)]
+            own, runs = _counts(row, shards)
+            for docs, _, context, word, pair in runs:
                 w = weights[bucket(context)]
                 p = w[:, 0] * pair / np.maximum(context, 1) + w[:, 1] * word / max(n, 1) + w[:, 2] / (v + 1)
                 base = np.log10((word + 0.1) / (n + 0.1 * (v + 1)))
-                at = np.cumsum(own.lens) - own.lens
+                lens = own.lens[docs]
+                at = np.cumsum(lens) - lens
                 score, low, known = (np.add.reduceat(x, at) for x in (np.log10(p), base, (word > 0).astype(np.int64)))
-                ids = [None if z else d for z, d in zip(row["nulls"], np.frombuffer(row["doc_ids"], "<i8").tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(own.folds.astype(np.int32)), pa.array(own.lens), pa.array(known), pa.array(low), pa.array(score)], [c.split()[0] for c in SCORES.split(", ")])
+                yield pa.RecordBatch.from_arrays([pa.array(ids[docs], pa.int64()), pa.array(own.folds[docs].astype(np.int32)), pa.array(lens), pa.array(known), pa.array(low), pa.array(score)], [c.split()[0] for c in SCORES.split(", ")])
 
     return answered.mapInArrow(task, SCORES)
 
@@ -275,5 +346,5 @@ def score(documents: DataFrame, block_bytes: int = 16 << 20) -> tuple[DataFrame,
     answers = _answers(_requests(made, shards))
     n, v, n_kept, v_kept = (x or 0 for x in answers.filter("kind = 0 and block = -1").agg(F.sum("n_all"), F.sum("v_all"), F.sum("n_kept"), F.sum("v_kept")).first())
     held = made.filter("held").select("block").withColumnRenamed("block", "h")
-    weights = learn(_statistics(_answered(made.filter("held"), answers.join(held, answers.block == held.h, "left_semi")), shards, n_kept, v_kept))
-    return _scored(_answered(made, answers), shards, n, v, weights), n, v, weights
+    weights = learn(_statistics(_answered(made.filter("held"), answers.join(held, answers.block == held.h, "left_semi"), "kept"), shards, n_kept, v_kept))
+    return _scored(_answered(made, answers, "all"), shards, n, v, weights), n, v, weights

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -85,3 +86,18 @@ def test_weights_find_a_planted_mixture():
     for other in (true, [0.5, 0.4, 0.1], [0.7, 0.2, 0.1], [0.34, 0.33, 0.33]):
         assert like(w[3]) >= like(np.array(other)) - 1e-3
     assert w[4].tolist() == w[3].tolist() and w[2].tolist() == [0.0, 0.9, 0.1]
+
+
+def test_memory_of_a_block():
+    """A block's keys take some 50 bytes a token at most, the rest comes in runs of documents."""
+    r = np.random.default_rng(0)
+    n, v = 1 << 20, 50_000
+    control, data = lm.encode(np.minimum(r.zipf(1.3, n), v - 1).astype(np.uint32))
+    row = {"folds": bytes([2] * 1024), "lens": np.full(1024, n // 1024, "<u4").tobytes(), "n_tokens": n, "control": control, "data": data, "vocab": r.integers(0, 2**63, v).astype(np.uint64).tobytes()}
+    tracemalloc.start()
+    own = lm.Block(row)
+    low, place, shard = own.keys(1, 4)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (np.bincount(place, minlength=len(low)) > 0).all() and (np.diff(shard.astype(int)) >= 0).all()
+    assert peak < 50 * n
