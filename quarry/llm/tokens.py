@@ -12,6 +12,8 @@ these are recognised.
 from __future__ import annotations
 
 import json
+import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +27,9 @@ from quarry.llm.text import CACHES, give_back
 #: Pre-tokenizer patterns of the two layouts that may be cut at spaces (fixed values of the public vocabularies).
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Chunks whose normal form and lower case are the same character by character: ASCII and precomposed Latin letters.
-SIMPLE = regex.compile(r"[\x00-\x1b\x20-\x7e¡-¬®-įı-ǃǍ-ǰǴ-ɏ]*")
+#: What makes a chunk odd: characters other than ASCII and precomposed Latin letters, whose normal form and lower
+#: case are the same character by character, and white space at its end.
+ODD = re.compile(r"[^\x00-\x1b\x20-\x7e¡-¬®-įı-ǃǍ-ǰǴ-ɏ]|\s(?=\x00|\Z)")
 #: White space other than ASCII's, and the separators on which libraries differ, in UTF-8.
 ODD_SPACE = regex.compile(rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe1\xa0\x8e|\xe2\x80[\x80-\x8f\xa8-\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 ODD_LEADS = (b"\x1c", b"\x1d", b"\x1e", b"\x1f", b"\xc2", b"\xe1", b"\xe2", b"\xe3")
@@ -49,20 +52,21 @@ class Runs:
     """Runs of ids by the 128-bit hash of a key, in plain arrays: some 40 bytes
     a key, where a dictionary of byte strings takes four times as much."""
 
-    def __init__(self, most: int) -> None:
+    def __init__(self, most: int, kind: type = np.uint32) -> None:
         self.most = most
-        self.a, self.b = np.zeros(0, np.uint64), np.zeros(0, np.uint64)  # both halves of the hash, ascending by the first
-        self.start, self.size, self.uses = np.zeros(0, np.uint32), np.zeros(0, np.uint32), np.zeros(0, np.uint8)
-        self.ids = np.zeros(0, np.uint32)
+        self.a, self.row = np.zeros(0, np.uint64), np.zeros(0, np.uint32)  # first half of the hash, ascending, and the key's place in the others
+        self.b, self.start, self.size, self.uses = np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.uint32), np.zeros(0, np.uint8)
+        self.ids = np.zeros(0, kind)
 
     def _trim(self) -> None:
         """Keep the most used half of ``most`` keys, so memory is bounded
         whatever the texts."""
-        keep = np.sort(np.argsort(255 - self.uses, kind="stable")[: self.most // 2])
-        start, size = self.start[keep], self.size[keep]
+        keep = np.sort(np.argsort(255 - self.uses[self.row], kind="stable")[: self.most // 2])
+        self.a, row = self.a[keep], self.row[keep]
+        start, size = self.start[row], self.size[row]
         self.ids = self.ids[spread(start, size)]
-        self.a, self.b, self.uses, self.size = self.a[keep], self.b[keep], self.uses[keep] // 2, size
-        self.start = (np.cumsum(size) - size).astype(np.uint32)
+        self.b, self.uses, self.size = self.b[row], self.uses[row] // 2, size
+        self.start, self.row = (np.cumsum(size) - size).astype(np.uint32), np.arange(len(row), dtype=np.uint32)
 
     def runs(self, keys: list[bytes], learn) -> tuple[np.ndarray, np.ndarray]:
         """Start in ``ids`` and size of each of the distinct ``keys``'s run;
@@ -70,25 +74,26 @@ class Runs:
         if len(self.a) + len(keys) > self.most and len(self.a) > self.most // 2:
             self._trim()
         hashes = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, keys)), np.uint64).reshape(-1, 2)
-        a, b = hashes[:, 0], hashes[:, 1]
+        order = np.argsort(hashes[:, 0])  # neighbours are looked up one after the other
+        a, b = hashes[order, 0], hashes[order, 1]
         at = np.searchsorted(self.a, a)
-        near = np.minimum(at, len(self.a) - 1)
-        known = (self.a[near] == a) & (self.b[near] == b) if len(self.a) else np.zeros(len(keys), bool)
-        start, size = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
-        own = at[known]
-        start[known], size[known] = self.start[own], self.size[own]
-        self.uses[own] = np.minimum(self.uses[own], 254) + 1
+        row, known = np.zeros(len(keys), np.uint32), np.zeros(len(keys), bool)
+        if len(self.a):
+            near = np.minimum(at, len(self.a) - 1)
+            row = self.row[near]
+            known = (self.a[near] == a) & (self.b[row] == b)
+            self.uses[row[known]] = np.minimum(self.uses[row[known]], 254) + 1
         fresh = np.flatnonzero(~known)
         if len(fresh):
-            ids, lens = learn([keys[i] for i in fresh.tolist()])
-            start[fresh], size[fresh] = len(self.ids) + np.cumsum(lens) - lens, lens
-            self.ids = np.concatenate([self.ids, ids.astype(np.uint32)])
-            new = fresh[np.argsort(a[fresh], kind="stable")]
-            where = at[new]
-            for name, values in (("a", a), ("b", b), ("start", start), ("size", size), ("uses", np.zeros(len(keys)))):
+            ids, lens = learn([keys[i] for i in order[fresh].tolist()])
+            row[fresh] = len(self.b) + np.arange(len(fresh))
+            self.a, self.row = np.insert(self.a, at[fresh], a[fresh]), np.insert(self.row, at[fresh], row[fresh])
+            for name, more in (("b", b[fresh]), ("start", len(self.ids) + np.cumsum(lens) - lens), ("size", lens), ("uses", np.zeros(len(fresh))), ("ids", ids)):
                 old = getattr(self, name)
-                setattr(self, name, np.insert(old, where, values[new].astype(old.dtype)))
-        return start, size
+                setattr(self, name, np.concatenate([old, more.astype(old.dtype)]))
+        out = np.empty((2, len(keys)), np.int64)
+        out[:, order] = self.start[row], self.size[row]
+        return out[0], out[1]
 
 
 def spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -121,7 +126,7 @@ class Encoder:
     ``special``: the strings of special tokens in a text become their ids, as
     by the library's default; else they are ordinary text."""
 
-    def __init__(self, path: str, special: bool = False, most: int = 800_000) -> None:
+    def __init__(self, path: str, special: bool = False, most: int = 600_000) -> None:
         self.library = tokenizers.Tokenizer.from_file(path)
         self.library.encode_special_tokens = not special
         layout = json.loads(self.library.to_str())
@@ -136,7 +141,8 @@ class Encoder:
         self.bytes = not normal and before.get("type") == "ByteLevel" and not before["add_prefix_space"]
         own = (WORD_PATTERN if self.words else BYTE_PATTERN).replace(r"[^\s\p{L}\p{N}]", r"[^\s\p{L}\p{N}\x00]")
         self._cut = regex.compile(SEPARATOR + "|" + own).findall
-        self._runs, self._parts, self._letters = Runs(most), Runs(most // 2), byte_letters()
+        kind = np.uint16 if max([*layout["model"]["vocab"].values(), *(x["id"] for x in layout["added_tokens"])]) < 1 << 16 else np.uint32
+        self._runs, self._parts, self._letters = Runs(most, kind), Runs(most // 2, kind), byte_letters()
         del layout, added  # the vocabulary as Python objects
         give_back()
 
@@ -147,11 +153,17 @@ class Encoder:
             text = [c[1:].decode() if c[:1] == FIRST else " " + c.decode() for c in fresh]
         else:
             text = [c.decode() for c in fresh]
-        odd = [i for i, t in enumerate(text) if SEPARATOR in t or not t.isascii() and not SIMPLE.fullmatch(t) or t[-1].isspace()]
-        direct = [e.ids for e in self.library.encode_batch([text[i] for i in odd], add_special_tokens=False)] if odd else []
-        for i in odd:
-            text[i] = ""  # no parts
         joined = SEPARATOR.join(text)
+        if joined.count(SEPARATOR) < len(text):
+            ends = np.cumsum(np.fromiter(map(len, text), np.int64, len(text)) + 1)
+            odd = np.unique(np.searchsorted(ends, [m.start() for m in ODD.finditer(joined)], "right")).tolist()
+        else:
+            odd = [i for i, t in enumerate(text) if SEPARATOR in t or ODD.search(t)]
+        direct = [e.ids for e in self.library.encode_batch([text[i] for i in odd], add_special_tokens=False)] if odd else []
+        if odd:
+            for i in odd:
+                text[i] = ""  # no parts
+            joined = SEPARATOR.join(text)
         number, parts = distinct(pa.array(self._cut(joined.lower() if self.words else joined), pa.large_string()))
         start, size = self._parts.runs(as_bytes(parts), self._learn_parts)
         ids = self._parts.ids[spread(start[number], size[number])]
@@ -165,10 +177,11 @@ class Encoder:
 
     def _learn_parts(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of new pre-tokens by the library's model; the separator has none."""
-        tokenize, letters = self.library.model.tokenize, self._letters
-        found = [[] if p == b"\0" else tokenize(p.decode().replace(" ", letters[32]) if p.isascii() and p.decode().isprintable() else p.decode("latin-1").translate(letters)) for p in parts]
+        written = b"\0".join(p if p != b"\0" else b"" for p in parts).decode("latin-1").translate(self._letters).split(self._letters[0])
+        tokenize = self.library.model.tokenize
+        found = [[t.id for t in tokenize(w)] if w else [] for w in written]
         lens = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter((t.id for run in found for t in run), np.uint32, int(lens.sum())), lens
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(lens.sum())), lens
 
     def _normal(self, text: str) -> str:
         return self.library.normalizer.normalize_str(text) if self.library.normalizer else text
@@ -212,7 +225,7 @@ class Encoder:
         chunks, counts = self._chunks([b"" if i in direct else x for i, x in enumerate(docs)])
         number, keys = distinct(chunks)
         start, size = self._runs.runs(as_bytes(keys), self._learn)
-        flat = self._runs.ids[spread(start[number], size[number])]
+        flat = self._runs.ids[spread(start[number], size[number])].astype(np.uint32)
         edges = np.concatenate([[0], np.cumsum(size[number])])[np.concatenate([[0], np.cumsum(counts)])]
         if not direct:
             return flat, edges

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import json
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -14,7 +15,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from quarry.llm import packing, store, token_file
-from quarry.llm.tokens import encoder
+from quarry.llm.tokens import Encoder, encoder
 
 WORD, BYTE = (public_tokenizers.path(n) for n in ("word_bpe_49k.json", "byte_bpe_50k.json"))
 TEXTS = [
@@ -149,3 +150,26 @@ def test_special_strings_in_files_and_sequences(spark):
     for i, t in enumerate(SPECIAL):
         ids = np.array([*unchanged(BYTE).encode(t, add_special_tokens=False).ids, 2], "<u4")
         assert (packed[i].length, packed[i].ids_crc32) == (len(ids), zlib.crc32(ids))
+
+
+def test_codes_in_steps():
+    """Coding holds a few bytes a value, whatever the number of values."""
+    for n in (0, 1, 5, 65535, 65536, (1 << 18) + 3):
+        x = (np.random.default_rng(n).integers(0, 2**32, n) >> np.arange(n) % 32).astype(np.uint32)
+        assert (token_file.decode(*token_file.encode(x), n) == x).all()
+    x = np.arange(1 << 21, dtype=np.uint32) % 300
+    tracemalloc.start()
+    control, data = token_file.encode(x)
+    token_file.decode(control, data, len(x))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16 * len(x)
+
+
+def test_odd_chunks_among_others():
+    """Chunks that go to the library whole, between others and alone."""
+    for path in (WORD, BYTE):
+        whole = Tokenizer.from_file(path)
+        for docs in (["x\x1c", "plain"], ["a\x00b c", "é é z"], ["\x00"], ["one"], ["ein 中文 zwei\x1f drei \x7f", "\x1d", ""]):
+            ids, offsets = Encoder(path, special=True).encode([d.encode() for d in docs])
+            assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == [whole.encode(d, add_special_tokens=False).ids for d in docs]
