@@ -19,10 +19,10 @@ from quarry.session import checkpoint_dir
 
 
 #: Bytes of an Arrow batch between Spark and Python.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
-def _bounded_batches(spark: SparkSession) -> None:
+def bounded_batches(spark: SparkSession) -> None:
     """Spark's 64 MB batches are held several times over, by the JVM and by
     each Python worker; unless the session names a size, take smaller ones."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -32,7 +32,7 @@ def _bounded_batches(spark: SparkSession) -> None:
 
 def folder(spark: SparkSession, name: str) -> str:
     """A new shared folder's URI."""
-    _bounded_batches(spark)
+    bounded_batches(spark)
     return f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 

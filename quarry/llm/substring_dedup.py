@@ -32,6 +32,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm import store
 from quarry.llm.text import Cut, Words, covered, field, mixed, pieces, sliding_min, spaced, starts, texts, windows
 
 #: Cells of a slice of a sketch row, as a power of two.
@@ -179,14 +180,16 @@ def repeats(documents: DataFrame, repeated: Broadcast, size: int, anchor: int, r
     return later.groupBy("doc_id", text_key.alias("text_key")).agg(F.collect_list(start).alias("starts"))
 
 
-def marked(documents: DataFrame, keep: list[str], size: int = 50, anchor_words: int = 8, rows: int = 2, bits: int | None = None) -> DataFrame:
-    """The documents, as struct ``kept`` (columns ``keep`` and text), with
-    ``starts`` of the windows to remove (null: none).
+def marked(documents: DataFrame, keep: list[str], size: int = 50, anchor_words: int = 8, rows: int = 2, bits: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """The documents, as struct ``kept`` (columns ``keep`` and text): those
+    that may repeat windows, with ``starts`` of the windows to remove (null:
+    none), and the others, of which nothing goes.
 
     A document with a null doc_id keeps all words and removes none from
     others.  Rows that repeat a doc_id and text are treated alike; rows that
     repeat a doc_id with another text don't remove each other's words."""
     spark = documents.sparkSession
+    store.bounded_batches(spark)
     anchor = min(anchor_words, size)
     bits = bits or sketch_bits(documents)
     shared = spark.sparkContext.broadcast(repeated_cells(documents, size, anchor, rows, bits))
@@ -205,7 +208,7 @@ def marked(documents: DataFrame, keep: list[str], size: int = 50, anchor_words:
     # only texts with a window estimated repeated meet the exact result; the others aren't shuffled
     asked = own.mapInArrow(ask, schema)
     hit = asked.filter("some").join(later, (F.col("id") == later.doc_id) & (F.col("key") == later.text_key), "left").select("kept", "starts")
-    return hit.unionByName(asked.filter("not some").select("kept", F.lit(None).cast("array<int>").alias("starts")))
+    return hit, asked.filter("not some").select("kept")
 
 
 def removed(doc: list[bytes], at: list[int] | None, size: int, words: Words) -> np.ndarray:
@@ -234,7 +237,8 @@ def summary(documents: DataFrame, size: int = 50, **options) -> DataFrame:
                 sha.append(hashlib.sha256(b" ".join(w for w, x in zip(words, out.tolist(), strict=True) if not x) if at else b" ".join(words)).hexdigest())
             yield pa.RecordBatch.from_arrays([field(batch, "kept.doc_id").cast(pa.int64()), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(sha)], ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
-    return marked(documents, ["doc_id"], size, **options).mapInArrow(task, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    hit, rest = marked(documents, ["doc_id"], size, **options)
+    return hit.unionByName(rest.withColumn("starts", F.lit(None).cast("array<int>"))).mapInArrow(task, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def clean(documents: DataFrame, size: int = 50, **options) -> DataFrame:
@@ -253,7 +257,9 @@ def clean(documents: DataFrame, size: int = 50, **options) -> DataFrame:
                     text[i] = without(text[i], at, size, table)
             yield pa.RecordBatch.from_arrays([pa.array(text, pa.string()) if c == "text" else field(batch, f"kept.{c}") for c in columns], columns)
 
-    return marked(documents, columns, size, **options).mapInArrow(task, documents.schema)
+    # the others leave as they are, through no second Python worker
+    hit, rest = marked(documents, columns, size, **options)
+    return hit.mapInArrow(task, documents.schema).unionByName(rest.select(*(F.col("kept").getField(c).cast(documents.schema[c].dataType).alias(c) for c in columns)))
 
 
 def without(text: str, at: list[int], size: int, words: Words) -> str:

@@ -87,3 +87,12 @@ def test_helpers():
     x = np.random.default_rng(0).integers(0, 2**63, 50).astype(np.uint64)
     for n in (1, 2, 3, 7, 8, 50):
         assert sliding_min(x, n).tolist() == [x[i : i + n].min() for i in range(51 - n)]
+
+
+def test_untouched_texts_pass_no_second_worker(spark):
+    """Only documents with repeated windows go through the Python step that cuts them."""
+    docs = spark.createDataFrame([(1, "a b c d", "x"), (2, "q a b c", "y"), (3, None, None)], "doc_id long, text string, starts string")
+    clean = substring_dedup.clean(docs, size=3, anchor_words=2)
+    plan = clean._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Union") < plan.index("MapInArrow") and clean.schema == docs.schema
+    assert sorted(tuple(r) for r in clean.collect() if r.text) == [(1, "a b c d", "x"), (2, "q ", "y")] and clean.count() == 3
