@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm import store
 from quarry.llm.text import pieces, ragged, texts
-from quarry.llm.tokens import ENCODERS, encoder, with_end
+from quarry.llm.tokens import ENCODERS, PIECE, encoder, with_end
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, bin long, offset long, fill long"
 MOVES = "bin long, parent long, base long, fill long"
@@ -87,10 +87,10 @@ def pack(documents: DataFrame, tokenizer: str | None = None, end: int = 2, capac
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, rows = encoder(tokenizer, special=True), []
-        for batch in pieces(batches, keep=ENCODERS):
+        for batch in pieces(batches, most=PIECE, keep=ENCODERS):
             flat, offsets = with_end(*own.encode(texts(batch["text"])), end)
             doc, number, start, length = cut(np.diff(offsets), capacity)
-            flat = flat.astype("<u4")
+            flat = flat.astype("<u4", copy=False)
             at = offsets[doc] + start
             sums = [zlib.crc32(flat[a:b]) for a, b in zip(at.tolist(), (at + length).tolist(), strict=True)]
             rows.append(pa.table({"doc_id": batch["doc_id"].take(pa.array(doc)), "piece": pa.array(number, pa.int32()), "start": start, "length": length, "ids_crc32": pa.array(sums, pa.int64())}))

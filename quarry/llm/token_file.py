@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm import store
 from quarry.llm.text import pieces, texts
-from quarry.llm.tokens import ENCODERS, encoder, with_end
+from quarry.llm.tokens import ENCODERS, PIECE, encoder, with_end
 
 MAGIC = b"QVB1"
 #: Lengths of the four codes of a control byte.
@@ -138,7 +138,7 @@ def write(documents: DataFrame, folder: str, tokenizer: str | None = None, end:
             ids.clear()
 
         own = encoder(tokenizer, special=True)
-        for batch in pieces(batches, keep=ENCODERS):
+        for batch in pieces(batches, most=PIECE, keep=ENCODERS):
             flat, offsets = with_end(*own.encode(texts(batch["text"])), end)
             names.extend(batch["doc_id"].to_pylist())
             lens.append(np.diff(offsets))

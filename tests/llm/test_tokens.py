@@ -173,3 +173,35 @@ def test_odd_chunks_among_others():
         for docs in (["x\x1c", "plain"], ["a\x00b c", "é é z"], ["\x00"], ["one"], ["ein 中文 zwei\x1f drei \x7f", "\x1d", ""]):
             ids, offsets = Encoder(path, special=True).encode([d.encode() for d in docs])
             assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == [whole.encode(d, add_special_tokens=False).ids for d in docs]
+
+
+PLAIN = ["and more ", "plain  ", "a ", "Été À ŸŽſ ıİ", "a×b÷c", "x'll 'S y've", "12ab34.,!5", "fifteen-letters sixteen--letters " + "long" * 9, "\x7f %%%", "", "ŉ ǅ ƀ"]
+
+
+def test_a_few_kept_chunks_give_the_same_ids():
+    """Chunks that are learnt, dropped and learnt again, plain ones and others."""
+    for path in (WORD, BYTE):
+        whole, own = Tokenizer.from_file(path), Encoder(path, special=True, most=6)
+        for docs in (PLAIN, PLAIN[::-1], PLAIN[3:5], PLAIN):
+            ids, offsets = own.encode([d.encode() for d in docs])
+            assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == [whole.encode(d, add_special_tokens=False).ids for d in docs]
+
+
+def test_idle_encoders_hold_few_chunks():
+    """Between tasks a worker keeps the chunks that it met most, not all."""
+    own = Encoder(BYTE, most=400)
+    own.encode([b"often " * 3 + b" ".join(b"w%d" % i for i in range(300)), b"often again"])
+    own.encode([b"often"])
+    before = own.encode([b"often again"])[0].tolist()
+    own.rest()
+    assert own._runs.n <= 100 and own._parts.n <= 50 and len(own._runs.ids) <= 500
+    assert own.encode([b"often again"])[0].tolist() == before
+
+
+def test_plain_chunks_need_no_pattern():
+    """Chunks of letters, digits and signs are cut without the pattern's pass over them."""
+    text = "Plain words, of 12 letters; à la carte (Žižek) and signs $%! "
+    for path in (WORD, BYTE):
+        own = Encoder(path)
+        own._cut = None
+        assert own.encode([text.strip().encode()])[0].tolist() == library(path).encode(text.strip(), add_special_tokens=False).ids
