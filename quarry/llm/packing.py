@@ -94,6 +94,7 @@ def pack(documents: DataFrame, tokenizer: str | None = None, end: int = 2, capac
             at = offsets[doc] + start
             sums = [zlib.crc32(flat[a:b]) for a, b in zip(at.tolist(), (at + length).tolist(), strict=True)]
             rows.append(pa.table({"doc_id": batch["doc_id"].take(pa.array(doc)), "piece": pa.array(number, pa.int32()), "start": start, "length": length, "ids_crc32": pa.array(sums, pa.int64())}))
+        own.rest()
         if not rows:
             return
         out = pa.concat_tables(rows)

@@ -147,6 +147,7 @@ def write(documents: DataFrame, folder: str, tokenizer: str | None = None, end:
                 close()
         if names:
             close()
+        own.rest()
         for row in rows:
             yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, (pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64()), strict=True)], ["part", "file", "path", "n_docs", "n_ids", "n_bytes"])
 
