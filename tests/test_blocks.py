@@ -92,3 +92,113 @@ def test_patterns_are_sieved_before_their_trigrams_are_rows(spark):
         S.materialize = real
     assert got == {(1, "www.example.org"), (1, "other.example.com"), (3, "other.example.com"), (3, "www.example.org")}
     assert dict(made)["sieved_patterns"].count() <= 3 and "rx" not in dict(made)["sieved_patterns"].columns
+
+
+def in_small_chunks(monkeypatch):
+    """Three terms a chunk (a changed function goes to workers with its globals)."""
+    real = BL._chunks
+
+    def small(batches):
+        names = real.__globals__
+        most, names["CHUNK_TERMS"] = names["CHUNK_TERMS"], 3
+        try:
+            yield from real(batches)
+        finally:
+            names["CHUNK_TERMS"] = most
+
+    monkeypatch.setattr(BL, "_chunks", small)
+
+
+def test_a_block_goes_to_python_once(spark, monkeypatch):
+    """Not with each chunk that meets it."""
+    _, idx = corpus(spark, n=60, shards=3)
+    in_small_chunks(monkeypatch)
+
+    def probe(*_):
+        def run(batches):
+            for b in batches:
+                blocks, chunks = ([x is not None for x in b.column(c).to_pylist()] for c in ("docs", "qtno"))
+                yield pa.RecordBatch.from_arrays([pa.array([int(x) for x in blocks], pa.int64()), pa.array([int(x) for x in chunks], pa.int64()), pa.array([0.0] * b.num_rows)], names=["query_id", "doc_id", "score"])
+        return run
+
+    monkeypatch.setattr(BL, "_met", probe)
+    rows = S.bm25_scores(idx, queries(spark, QUERIES), ["content"], k=2).collect()
+    blocks, pairs = sum(r.query_id for r in rows), sum(r.doc_id for r in rows)
+    assert blocks == 3 and pairs >= 4 * blocks and not [r for r in rows if r.query_id and r.doc_id]
+
+
+def test_rounds_of_chunks_give_the_same(spark, monkeypatch):
+    _, idx = corpus(spark, n=120)
+    q = queries(spark, QUERIES)
+    want = sorted(map(tuple, S.match_query(idx, q, "content", k=4).collect()))
+    in_small_chunks(monkeypatch)
+    monkeypatch.setattr(BL, "CHUNK_BYTES", 200)
+    made, real = [], BL.materialize
+    monkeypatch.setattr(BL, "materialize", lambda df, name: made.append(name) or real(df, name))
+    got = sorted(map(tuple, S.match_query(idx, q, "content", k=4).collect()))
+    assert got == want and made.count("round_hits") >= 2 and made.count("blocks") == 1
+
+
+def test_groups_hold_all_chunks():
+    sizes = [(str(i), s) for i, s in enumerate([5, BL.CHUNK_BYTES, 1, 2, BL.CHUNK_BYTES + 1, 7])]
+    groups = BL._groups(sizes)
+    assert [x for g in groups for x in g] == [k for k, _ in sizes] and BL._groups([]) == []
+    assert all(sum(dict(sizes)[x] for x in g) <= BL.CHUNK_BYTES or len(g) == 1 for g in groups)
+
+
+def row_block(rows):
+    b = next(BL._blocks(iter([batch(rows)])))
+    return BL._Block(b.rename_columns(["ids", *b.schema.names[1:]]), 0)
+
+
+def test_later_blocks_leave_out_what_cannot_be_best():
+    r, k = np.random.default_rng(1), 3
+    docs = [(d, [(int(t), float(r.random())) for t in np.flatnonzero(r.random(40) < r.choice([0.05, 0.3, 0.9]))]) for d in range(300)]
+    asked = [sorted(r.choice(45, r.integers(0, 9), replace=False).tolist()) for _ in range(50)]
+    w = [r.random(len(a)) for a in asked]
+    chunk = type("C", (), {"key": "c", "ids": list(range(50)), "ptr": np.append(0, np.cumsum([len(a) for a in asked])), "tno": np.array(sum(asked, [])), "grp": np.ones(sum(map(len, asked)), int), "w": np.concatenate(w), "floors": np.zeros(50)})
+    tops, found, n = BL._Tops(k), {}, []
+    for at in range(0, 300, 60):
+        block, before = row_block(docs[at : at + 60]), sum(map(len, found.values()))
+        for qs, ds, scores in BL._scored(block, chunk, False, k, tops.get(chunk)):
+            for q, d, s in zip(qs, ds, scores):
+                found.setdefault(int(q), {})[block.ids[int(d)].as_py()] = s
+        n.append(sum(map(len, found.values())) - before)
+    for q, (terms, weights) in enumerate(zip(asked, w)):
+        every = {d: sum(x * dict(e).get(t, 0) for t, x in zip(terms, weights)) for d, e in docs}
+        want = sorted((d for d in every if every[d] > 0), key=lambda d: (-round(every[d], 4), d))[:k]
+        assert set(want) <= set(found.get(q, {})) and all(abs(found[q][d] - every[d]) < 1e-9 for d in want)
+    assert n[-1] < n[0] / 2
+
+
+def test_postings_become_documents_across_batches():
+    rows = [(1, 4), (1, 5), (2, 4), (3, 1), (3, 2), (3, 3), (3, 4), (4, 9)]
+    for size in (1, 2, 3, 8):
+        flat = [pa.RecordBatch.from_pylist([{"doc_id": d, "tno": t, "share": t / 8, "n": 1 + sum(x[0] == d for x in rows[:i])} for i, (d, t) in enumerate(rows)][at : at + size]) for at in range(0, len(rows), size)]
+        got = [(x["doc_id"], [(e["tno"], e["share"]) for e in x["entries"]]) for b in BL._docs(iter(flat)) for x in b.to_pylist()]
+        assert got == [(d, [(t, t / 8) for x, t in rows if x == d]) for d in (1, 2, 3, 4)]
+
+
+def test_one_sort_brings_a_documents_postings_together(spark):
+    """No aggregation of postings to arrays in the JVM, which sorts them twice more."""
+    _, idx = corpus(spark)
+    plan = S.match_query(idx, queries(spark, QUERIES), "content")._jdf.queryExecution().executedPlan().toString()
+    blocks = plan[plan.rindex("MapInArrow") :].split("postings_")[0]
+    assert blocks.count("Sort [") == 1 and "collect_list" not in blocks
+
+
+def test_buckets_are_written_without_a_sort_by_file(spark):
+    from quarry.operators.common import materialize_bucketed
+
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key, None)
+    seen = []
+    df = spark.range(100).selectExpr("id", "id % 3 AS part").repartition(4, "id")
+    real = type(df.write).saveAsTable
+    try:
+        type(df.write).saveAsTable = lambda self, *a, **b: seen.append(spark.conf.get(key)) or real(self, *a, **b)
+        table = materialize_bucketed(df, "few", "id", 4, ["part"])
+    finally:
+        type(df.write).saveAsTable = real
+    assert int(seen[0]) >= 3 and spark.conf.get(key, None) == before
+    assert sorted((r.id, r.part) for r in table.collect()) == [(i, i % 3) for i in range(100)]
