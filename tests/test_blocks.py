@@ -133,6 +133,7 @@ def test_rounds_of_chunks_give_the_same(spark, monkeypatch):
     want = sorted(map(tuple, S.match_query(idx, q, "content", k=4).collect()))
     in_small_chunks(monkeypatch)
     monkeypatch.setattr(BL, "CHUNK_BYTES", 200)
+    monkeypatch.setattr(BL, "ROUND_BYTES", 200)
     made, real = [], BL.materialize
     monkeypatch.setattr(BL, "materialize", lambda df, name: made.append(name) or real(df, name))
     got = sorted(map(tuple, S.match_query(idx, q, "content", k=4).collect()))
@@ -143,7 +144,31 @@ def test_groups_hold_all_chunks():
     sizes = [(str(i), s) for i, s in enumerate([5, BL.CHUNK_BYTES, 1, 2, BL.CHUNK_BYTES + 1, 7])]
     groups = BL._groups(sizes)
     assert [x for g in groups for x in g] == [k for k, _ in sizes] and BL._groups([]) == []
-    assert all(sum(dict(sizes)[x] for x in g) <= BL.CHUNK_BYTES or len(g) == 1 for g in groups)
+    assert all(sum(dict(sizes)[x] for x in g) <= BL.ROUND_BYTES or len(g) == 1 for g in groups)
+    assert len(BL._groups([("a", BL.CHUNK_BYTES - 1), ("b", 1)])) == 1 and BL.ROUND_BYTES < BL.CHUNK_BYTES
+
+
+def test_all_phrases_in_rounds_need_no_product_of_blocks_and_chunks(spark, monkeypatch):
+    """Queries beyond the broadcast bound meet the blocks in rounds; a cartesian
+    product held a partition's chunks, and sent the block with each."""
+    _, idx = corpus(spark, n=120)
+    asked = queries(spark, [(1, "w0 w1 w2"), (2, "w3 w3"), (3, "w0 absent"), (4, "w5,w6 w1"), (5, "w4"), (6, "w1 w0"), (7, "w0,w1")])
+    want = sorted(map(tuple, S.multi_phrase_search(idx, asked, "content", k=3).collect()))
+    in_small_chunks(monkeypatch)
+    monkeypatch.setattr(BL, "CHUNK_BYTES", 200)
+    monkeypatch.setattr(BL, "ROUND_BYTES", 200)
+    plans, real = [], BL.materialize
+
+    def spy(df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return real(df, name)
+
+    monkeypatch.setattr(BL, "materialize", spy)
+    got = S.multi_phrase_search(idx, asked, "content", k=3)
+    assert sorted(map(tuple, got.collect())) == want and want
+    rounds = [p for name, p in plans if name == "round_hits"]
+    assert len(rounds) >= 3 and all("BroadcastNestedLoopJoin" in p and "CartesianProduct" not in p for p in rounds)
+    assert "CartesianProduct" not in got._jdf.queryExecution().executedPlan().toString()
 
 
 def row_block(rows):
